@@ -52,6 +52,8 @@ def upper_gamma(a: float, x: float) -> float:
     """Regularised upper incomplete gamma Q(a, x)."""
     if x <= 0.0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     scale = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1.0:
         term = total = 1.0 / a
