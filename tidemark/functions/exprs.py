@@ -17,9 +17,18 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(as_column(numerator).cast("double"), as_column(denominator).cast("double"))
 
 
+def stable_round(value: Column | str, digits: int) -> Column:
+    """Half-up decimal rounding that ignores the last bits of a sum.
+
+    The order in which partial sums meet differs between runs of a distributed job. Rounding three
+    digits further out first keeps a value that sits on a tie from flipping with that order.
+    """
+    return F.round(F.round(as_column(value).cast("double"), digits + 3), digits)
+
+
 def pct(numerator: Column | str, denominator: Column | str, digits: int = 2) -> Column:
     scaled = as_column(numerator).cast("double") * F.lit(100.0)
-    return F.round(F.try_divide(scaled, as_column(denominator).cast("double")), digits)
+    return stable_round(F.try_divide(scaled, as_column(denominator).cast("double")), digits)
 
 
 def count_rows(alias: str) -> Column:

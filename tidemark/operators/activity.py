@@ -15,6 +15,7 @@ from tidemark.functions.exprs import (
     flag,
     pct,
     ratio,
+    stable_round,
     trailing_rows,
     week_start,
 )
@@ -82,7 +83,7 @@ def signup_activation(users: DataFrame, cohorts: DataFrame, within: int = 7) ->
         total.alias("new_users"),
         reached.alias("activated_within_7d"),
         pct(reached, total).alias("activation_rate_pct"),
-        F.round(ratio(F.sum(days * F.col("n")), known), 2).alias("avg_days_to_activation"),
+        stable_round(ratio(F.sum(days * F.col("n")), known), 2).alias("avg_days_to_activation"),
         F.expr("percentile(days_to_activation, 0.5, n)").alias("median_days_to_activation"),
     )
 
@@ -209,9 +210,9 @@ def lifecycle_segments(daily: DataFrame, mode: str = "rows") -> DataFrame:
         classified = classified.unionByName(_absent_days(daily))
     return classified.groupBy("activity_date", F.col("stage").alias("lifecycle_stage")).agg(
         F.count("user_id").alias("user_count"),
-        F.round(ratio(F.sum("tasks_touched"), F.count("tasks_touched")), 2).alias("avg_tasks_touched"),
+        stable_round(ratio(F.sum("tasks_touched"), F.count("tasks_touched")), 2).alias("avg_tasks_touched"),
         F.sum("had_export").alias("users_with_export"),
-        F.round(ratio(F.sum("had_export"), F.count("had_export")) * 100, 2).alias("export_pct"),
+        stable_round(ratio(F.sum("had_export"), F.count("had_export")) * 100, 2).alias("export_pct"),
     )
 
 
@@ -256,8 +257,8 @@ def streak_days(daily: DataFrame) -> DataFrame:
         F.count("user_id").alias("active_users"),
         F.count_if("middle").alias("streak_users"),
         pct(F.count_if("middle"), F.count("user_id")).alias("streak_users_pct"),
-        F.round(ratio(F.sum("tasks_touched"), F.count("tasks_touched")), 2).alias("avg_tasks_touched"),
-        F.round(ratio(F.sum(streak_tasks), F.count(streak_tasks)), 2).alias("avg_streak_tasks_touched"),
+        stable_round(ratio(F.sum("tasks_touched"), F.count("tasks_touched")), 2).alias("avg_tasks_touched"),
+        stable_round(ratio(F.sum(streak_tasks), F.count(streak_tasks)), 2).alias("avg_streak_tasks_touched"),
         F.sum("had_export").alias("exporting_users"),
     )
 

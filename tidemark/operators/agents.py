@@ -13,6 +13,7 @@ from tidemark.functions.exprs import (
     pct,
     ratio,
     running_rows,
+    stable_round,
     trailing_rows,
 )
 from tidemark.functions.order_stats import exact_percentiles
@@ -245,7 +246,7 @@ def token_cost(
         F.lit(0.0),
     )
     cost = F.col(input_tokens) * price(0) + F.col(output_tokens) * price(1)
-    return rows.withColumn(out, F.round(cost / F.lit(1_000_000.0), 6))
+    return rows.withColumn(out, stable_round(cost / F.lit(1_000_000.0), 6))
 
 
 def agent_success_trend(runs: DataFrame, days: int = 7) -> DataFrame:
@@ -254,9 +255,9 @@ def agent_success_trend(runs: DataFrame, days: int = 7) -> DataFrame:
         count_rows("total_runs"),
         F.count_if("success_flag").alias("successful_runs"),
         pct(F.count_if("success_flag"), F.count(F.lit(1))).alias("success_rate_pct"),
-        F.round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
-        F.round(_mean("estimated_cost_usd"), 6).alias("avg_cost_usd"),
-        F.round(_mean("retry_count"), 2).alias("avg_retry_count"),
+        stable_round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
+        stable_round(_mean("estimated_cost_usd"), 6).alias("avg_cost_usd"),
+        stable_round(_mean("retry_count"), 2).alias("avg_retry_count"),
     )
     recent = trailing_rows("run_date", days)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
@@ -265,9 +266,9 @@ def agent_success_trend(runs: DataFrame, days: int = 7) -> DataFrame:
         "total_runs",
         "successful_runs",
         zero("success_rate_pct"),
-        F.round(F.avg("success_rate_pct").over(recent), 2).alias("moving_avg_7d_success_rate"),
+        stable_round(F.avg("success_rate_pct").over(recent), 2).alias("moving_avg_7d_success_rate"),
         zero("avg_latency_ms"),
-        F.round(F.avg("avg_latency_ms").over(recent), 2).alias("moving_avg_7d_latency"),
+        stable_round(F.avg("avg_latency_ms").over(recent), 2).alias("moving_avg_7d_latency"),
         zero("avg_cost_usd"),
         zero("avg_retry_count"),
     )
@@ -289,7 +290,7 @@ def latency_percentiles(runs: DataFrame) -> DataFrame:
         count_rows("total_runs"),
         F.min("total_latency_ms").cast("double").alias("min_latency_ms"),
         F.max("total_latency_ms").cast("double").alias("max_latency_ms"),
-        F.round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
+        stable_round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
     )
     found = null_safe_join(
         totals, exact_percentiles(known, key, "total_latency_ms", MODEL_PERCENTILES), key
@@ -298,13 +299,13 @@ def latency_percentiles(runs: DataFrame) -> DataFrame:
     return found.select(
         *key,
         "total_runs",
-        *[F.round(F.col(c), 2).alias(c) for c in MODEL_PERCENTILES],
+        *[stable_round(F.col(c), 2).alias(c) for c in MODEL_PERCENTILES],
         "min_latency_ms",
         "max_latency_ms",
         "avg_latency_ms",
-        F.round(p99 - p50, 2).alias("p99_to_p50_spread"),
-        F.round(ratio(p99 - p50, p50), 4).alias("relative_spread_p99_to_p50"),
-        F.round(ratio(p95 * 100.0, p50), 2).alias("p95_as_pct_of_median"),
+        stable_round(p99 - p50, 2).alias("p99_to_p50_spread"),
+        stable_round(ratio(p99 - p50, p50), 4).alias("relative_spread_p99_to_p50"),
+        stable_round(ratio(p95 * 100.0, p50), 2).alias("p95_as_pct_of_median"),
     )
 
 
@@ -341,15 +342,15 @@ def token_cost_trend(runs: DataFrame, days: int = 7) -> DataFrame:
         zero("daily_output_tokens"),
         zero("daily_total_tokens"),
         F.coalesce("daily_cost_usd", F.lit(0.0)).alias("daily_cost_usd"),
-        F.coalesce(F.round("avg_cost", 6), F.lit(0.0)).alias("avg_cost_per_run"),
+        F.coalesce(stable_round("avg_cost", 6), F.lit(0.0)).alias("avg_cost_per_run"),
         "distinct_users",
         F.sum("daily_total_tokens").over(so_far).alias("cum_total_tokens"),
         F.sum("daily_input_tokens").over(so_far).alias("cum_input_tokens"),
         F.sum("daily_output_tokens").over(so_far).alias("cum_output_tokens"),
-        F.round(F.sum("daily_cost_usd").over(so_far), 4).alias("cum_cost_usd"),
-        F.round(F.sum("daily_cost_usd").over(recent), 4).alias("rolling_7d_cost_usd"),
+        stable_round(F.sum("daily_cost_usd").over(so_far), 4).alias("cum_cost_usd"),
+        stable_round(F.sum("daily_cost_usd").over(recent), 4).alias("rolling_7d_cost_usd"),
         F.when(
-            F.col("daily_total_tokens") > 0, F.round(ratio("daily_cost_usd", "daily_total_tokens"), 8)
+            F.col("daily_total_tokens") > 0, stable_round(ratio("daily_cost_usd", "daily_total_tokens"), 8)
         ).alias("cost_per_token"),
     )
 
@@ -366,15 +367,15 @@ def model_cost_quality(runs: DataFrame) -> DataFrame:
         count_rows("run_count"),
         F.count_if("success_flag").alias("successful_runs"),
         pct(F.count_if("success_flag"), F.count(F.lit(1))).alias("success_rate_pct"),
-        F.round(cost, 6).alias("avg_cost_usd"),
-        F.round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
-        F.round(quality, 2).alias("avg_quality_score"),
-        F.round(accuracy, 2).alias("avg_field_accuracy"),
-        F.round(F.avg(tokens), 1).alias("avg_total_tokens"),
-        F.round(_mean("retry_count"), 2).alias("avg_retry_count"),
-        F.round(_mean("manual_edit_count"), 2).alias("avg_manual_edit_count"),
-        F.round(ratio(cost, accuracy), 8).alias("cost_per_accuracy_point"),
-        F.round(ratio(cost, quality), 8).alias("cost_per_quality_point"),
+        stable_round(cost, 6).alias("avg_cost_usd"),
+        stable_round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
+        stable_round(quality, 2).alias("avg_quality_score"),
+        stable_round(accuracy, 2).alias("avg_field_accuracy"),
+        stable_round(F.avg(tokens), 1).alias("avg_total_tokens"),
+        stable_round(_mean("retry_count"), 2).alias("avg_retry_count"),
+        stable_round(_mean("manual_edit_count"), 2).alias("avg_manual_edit_count"),
+        stable_round(ratio(cost, accuracy), 8).alias("cost_per_accuracy_point"),
+        stable_round(ratio(cost, quality), 8).alias("cost_per_quality_point"),
     )
     latency = exact_percentiles(known, key, "total_latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
     # model and prompt break ties, so the rank does not depend on row order
@@ -385,8 +386,8 @@ def model_cost_quality(runs: DataFrame) -> DataFrame:
         *totals.columns,
         "p50_latency_ms",
         "p95_latency_ms",
-        F.round(ratio(F.col("avg_quality_score") * 100.0, "avg_cost_usd"), 2).alias("quality_per_dollar"),
-        F.round(ratio(F.col("avg_field_accuracy") * 100.0, "avg_cost_usd"), 2).alias("accuracy_per_dollar"),
+        stable_round(ratio(F.col("avg_quality_score") * 100.0, "avg_cost_usd"), 2).alias("quality_per_dollar"),
+        stable_round(ratio(F.col("avg_field_accuracy") * 100.0, "avg_cost_usd"), 2).alias("accuracy_per_dollar"),
         F.row_number().over(best_first).alias("efficiency_rank"),
     )
 
@@ -405,7 +406,7 @@ def error_pareto(classified: DataFrame, cutoff: float = 80.0) -> DataFrame:
         "error_count",
         F.row_number().over(Window.orderBy(*order)).alias("rank_by_frequency"),
         F.sum("error_count").over(everything).alias("total_error_count"),
-        F.round(
+        stable_round(
             ratio(F.col("error_count") * 100.0, F.sum("error_count").over(everything)), 4
         ).alias("error_share_pct"),
         F.max("error_count").over(everything).alias("__top"),
@@ -416,7 +417,7 @@ def error_pareto(classified: DataFrame, cutoff: float = 80.0) -> DataFrame:
         "error_count",
         "rank_by_frequency",
         "error_share_pct",
-        F.round(cumulative, 4).alias("cumulative_share_pct"),
+        stable_round(cumulative, 4).alias("cumulative_share_pct"),
         ((cumulative <= cutoff) | (cumulative - F.col("error_share_pct") < cutoff)).alias("in_pareto_top_80"),
         "total_error_count",
         pct("error_count", "__top").alias("pct_of_most_frequent"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import count_rows, flag, ratio
+from tidemark.functions.exprs import count_rows, flag, ratio, stable_round
 from tidemark.functions.order_stats import exact_percentiles
 
 
@@ -20,11 +20,11 @@ def contrast_record(
         F.lit(phenomenon).alias("phenomenon_id"),
         F.lit(metric).alias("metric"),
         F.lit(baseline).alias("baseline_group"),
-        F.round(low, 6).alias("baseline_value"),
+        stable_round(low, 6).alias("baseline_value"),
         F.lit(affected).alias("affected_group"),
-        F.round(high, 6).alias("affected_value"),
-        F.round(difference, 6).alias("absolute_difference"),
-        F.round(difference / F.greatest(F.abs(low), F.lit(1e-10)), 6).alias("relative_difference"),
+        stable_round(high, 6).alias("affected_value"),
+        stable_round(difference, 6).alias("absolute_difference"),
+        stable_round(difference / F.greatest(F.abs(low), F.lit(1e-10)), 6).alias("relative_difference"),
         F.col("baseline_n"),
         F.col("affected_n"),
         F.lit("affected > baseline" if rises else "affected < baseline").alias("expected_direction"),
@@ -165,8 +165,8 @@ def duplicate_rate(events: DataFrame, threshold: float = 0.05) -> DataFrame:
     worst = F.max(F.struct(F.col("rate"), (-F.datediff("event_date", F.lit("1970-01-01"))).alias("o"), "event_date", "total"))
     totals = rated.agg(worst.alias("w"), F.sum("total").alias("t"), F.sum("repeats").alias("r"))
     sides = totals.select(
-        F.round(ratio("r", F.greatest(F.col("t"), F.lit(1))), 6).alias("low"),
-        F.round(F.col("w.rate"), 6).alias("high"),
+        stable_round(ratio("r", F.greatest(F.col("t"), F.lit(1))), 6).alias("low"),
+        stable_round(F.col("w.rate"), 6).alias("high"),
         F.col("t").alias("baseline_n"),
         F.col("w.total").alias("affected_n"),
         F.col("w.event_date").alias("day"),
@@ -179,8 +179,8 @@ def duplicate_rate(events: DataFrame, threshold: float = 0.05) -> DataFrame:
         F.col("low").alias("baseline_value"),
         F.concat(F.lit("day_"), F.col("day").cast("string")).alias("affected_group"),
         F.col("high").alias("affected_value"),
-        F.round(F.col("high") - F.col("low"), 6).alias("absolute_difference"),
-        F.round((F.col("high") - F.col("low")) / F.greatest(F.abs("low"), F.lit(1e-10)), 6).alias(
+        stable_round(F.col("high") - F.col("low"), 6).alias("absolute_difference"),
+        stable_round((F.col("high") - F.col("low")) / F.greatest(F.abs("low"), F.lit(1e-10)), 6).alias(
             "relative_difference"
         ),
         "baseline_n",
@@ -239,14 +239,14 @@ def export_impact(events: DataFrame, share: float = 0.20) -> DataFrame:
     return counted.select(
         F.lit("P10").alias("phenomenon_id"),
         F.lit("overall_export_impact").alias("metric"),
-        F.round(ratio("ocr_failed_tasks", at_least_one("total_tasks")), 6).alias("ocr_failure_rate"),
-        F.round(ratio("exported_tasks", at_least_one("total_tasks")), 6).alias("overall_export_rate"),
+        stable_round(ratio("ocr_failed_tasks", at_least_one("total_tasks")), 6).alias("ocr_failure_rate"),
+        stable_round(ratio("exported_tasks", at_least_one("total_tasks")), 6).alias("overall_export_rate"),
         "total_tasks",
         "ocr_failed_tasks",
         "exported_tasks",
         "tasks_lost_after_ocr_failure",
         "total_not_exported",
-        F.round(lost, 6).alias("ocr_attributable_share"),
+        stable_round(lost, 6).alias("ocr_attributable_share"),
         ((lost >= share) & (F.col("ocr_failed_tasks") > 0)).alias("passed"),
     )
 

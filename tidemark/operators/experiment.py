@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_date, count_rows, null_safe_join, pct, ratio
+from tidemark.functions.exprs import as_date, count_rows, null_safe_join, pct, ratio, stable_round
 from tidemark.functions.order_stats import exact_percentiles
 from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critical, t_pvalue
 
@@ -520,10 +520,10 @@ def srm_daily_inputs(clean: DataFrame, assignments: DataFrame) -> DataFrame:
         "clean_user_count",
         "raw_user_count",
         "total_clean_users_for_experiment",
-        F.round(observed, 4).alias("observed_allocation_pct"),
-        F.round(even, 4).alias("expected_allocation_pct"),
-        F.round(observed - even, 4).alias("deviation_from_expected_pp"),
-        F.round(
+        stable_round(observed, 4).alias("observed_allocation_pct"),
+        stable_round(even, 4).alias("expected_allocation_pct"),
+        stable_round(observed - even, 4).alias("deviation_from_expected_pp"),
+        stable_round(
             F.try_divide(F.pow(F.col("clean_user_count") - fair, F.lit(2.0)), fair), 4
         ).alias("chi_squared_contribution"),
         (F.col("raw_user_count") - F.col("clean_user_count")).alias("potentially_contaminated_users"),
@@ -909,14 +909,14 @@ def latest_assignment_metrics(
         "assigned_at",
         "total_tasks",
         "exported_tasks",
-        F.round("export_rate", 4).alias("export_rate"),
-        F.round("avg_field_accuracy", 2).alias("avg_field_accuracy"),
-        F.round("avg_latency_ms", 2).alias("avg_latency_ms"),
-        F.round("total_cost_usd", 6).alias("total_cost_usd"),
+        stable_round("export_rate", 4).alias("export_rate"),
+        stable_round("avg_field_accuracy", 2).alias("avg_field_accuracy"),
+        stable_round("avg_latency_ms", 2).alias("avg_latency_ms"),
+        stable_round("total_cost_usd", 6).alias("total_cost_usd"),
         ratio("exported_tasks", "total_tasks").alias("task_success_rate"),
-        F.round(F.col("avg_latency_ms") * F.col("exported_tasks"), 2).alias("total_latency_cost"),
+        stable_round(F.col("avg_latency_ms") * F.col("exported_tasks"), 2).alias("total_latency_cost"),
         F.when(
-            F.col("exported_tasks") > 0, F.round(ratio("total_cost_usd", "exported_tasks"), 8)
+            F.col("exported_tasks") > 0, stable_round(ratio("total_cost_usd", "exported_tasks"), 8)
         ).alias("cost_per_successful_task"),
         F.when(F.col("experiment_group") == control, 0).otherwise(1).alias("is_treatment"),
         F.datediff(as_of, as_date("assigned_at")).alias("days_since_assignment"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import pct, ratio
+from tidemark.functions.exprs import pct, ratio, stable_round
 
 # --- fixed values: funnel order ----------------------------------------------------------------
 STEPS = {
@@ -98,7 +98,7 @@ def full_task_funnel(flags: DataFrame) -> DataFrame:
         (F.col("tasks") - before).alias("dropoff_from_prior"),
         pct("tasks", before).alias("step_conversion_pct"),
         pct("tasks", first).alias("overall_conversion_pct"),
-        F.round(F.lit(1.0) - ratio("tasks", before), 4).alias("step_dropoff_rate"),
+        stable_round(F.lit(1.0) - ratio("tasks", before), 4).alias("step_dropoff_rate"),
     )
 
 
@@ -135,8 +135,8 @@ def channel_funnel(flags: DataFrame, users: DataFrame) -> DataFrame:
         F.count_if(has_task & F.col("did_complete_autofill")).alias("completed_autofill"),
         F.count_if(has_task & F.col("did_start_review")).alias("started_review"),
         F.count_if(has_task & F.col("did_export")).alias("exported"),
-        F.round(ratio(F.sum("edits"), F.sum("rows")), 2).alias("avg_field_edits"),
-        F.round(ratio(F.sum("events"), F.sum("rows")), 1).alias("avg_events_per_task"),
+        stable_round(ratio(F.sum("edits"), F.sum("rows")), 2).alias("avg_field_edits"),
+        stable_round(ratio(F.sum("events"), F.sum("rows")), 1).alias("avg_events_per_task"),
     )
     return counted.select(
         "acquisition_channel",

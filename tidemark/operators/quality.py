@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import count_rows, flag, in_unit_interval, is_finite, ratio
+from tidemark.functions.exprs import count_rows, flag, in_unit_interval, is_finite, ratio, stable_round
 from tidemark.sources.contracts import CONTRACTS, Contract
 
 FAILURE_SCHEMA = T.StructType(
@@ -452,10 +452,10 @@ def task_linkage(runs: DataFrame, events: DataFrame) -> DataFrame:
         "agent_task_count",
         "product_task_count",
         "matching_task_count",
-        F.round(ratio("matching_task_count", F.greatest(F.col("agent_task_count"), F.lit(1))), 6).alias(
+        stable_round(ratio("matching_task_count", F.greatest(F.col("agent_task_count"), F.lit(1))), 6).alias(
             "agent_run_task_match_rate"
         ),
-        F.round(ratio("matching_task_count", F.greatest(F.col("product_task_count"), F.lit(1))), 6).alias(
+        stable_round(ratio("matching_task_count", F.greatest(F.col("product_task_count"), F.lit(1))), 6).alias(
             "product_task_agent_coverage_rate"
         ),
         "user_id_consistency_violations",
@@ -475,7 +475,7 @@ def ab_metric_integrity(summary: DataFrame, user_metrics: DataFrame, events: Dat
     def coverage(keys: DataFrame, column: str) -> Column:
         have = runs.select(column).where(F.col(column).isNotNull()).distinct().withColumn("__hit", F.lit(True))
         covered = keys.where(F.col(column).isNotNull()).distinct().join(have, column, "left")
-        return covered.agg(F.round(F.coalesce(ratio(F.count("__hit"), F.count(F.lit(1))), F.lit(0.0)), 6)).scalar()
+        return covered.agg(stable_round(F.coalesce(ratio(F.count("__hit"), F.count(F.lit(1))), F.lit(0.0)), 6)).scalar()
 
     tasks = events.where(F.col("experiment_group").isin("A", "B")).select("task_id")
     return base.select(

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import ratio
+from tidemark.functions.exprs import ratio, stable_round
 
 
 def pick_windows(days: DataFrame, date_column: str, length: int = 7) -> DataFrame:
     """One row: the last ``length`` days of the data and the ``length`` days before them."""
-    last = days.agg(F.max(date_column).alias("current_end"))
+    last = days.agg(F.max(date_column).cast("date").alias("current_end"))
     return last.select(
         F.date_sub("current_end", length - 1).alias("current_start"),
         "current_end",
@@ -73,9 +73,9 @@ def dimension_decomposition(
     """Kitagawa decomposition of every dimension of a daily rate table.
 
     Both windows are summed in one conditional aggregate. ``windows`` is one row from
-    :func:`pick_windows` and enters as scalar subqueries.
+    :func:`pick_windows` and enters as one scalar subquery.
     """
-    at = {c: windows.select(c).scalar() for c in windows.columns}
+    at = windows.select(F.struct(*windows.columns)).scalar()
     day = F.col("event_date")
     is_current = day.between(at["current_start"], at["current_end"])
     is_prior = day.between(at["prior_start"], at["prior_end"])
@@ -107,7 +107,7 @@ def top_contributors(effects: DataFrame, k: int = 5) -> DataFrame:
         "direction", F.when(F.col("total_effect") > 0, "positive").otherwise("negative")
     )
     strongest = Window.partitionBy("direction").orderBy(
-        F.round(F.abs(F.col("total_effect")), 12).desc(), "dimension_name", "segment"
+        stable_round(F.abs(F.col("total_effect")), 12).desc(), "dimension_name", "segment"
     )
     return (
         signed.withColumn("position", F.row_number().over(strongest))

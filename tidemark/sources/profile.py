@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import count_rows, ratio
+from tidemark.functions.exprs import count_rows, ratio, stable_round
 from tidemark.sources.contracts import Contract
 
 
@@ -61,7 +61,7 @@ def target_deviation(tables: Mapping[str, DataFrame], targets: Mapping[str, int]
         "table_name",
         target.alias("configured_target"),
         F.col("row_count").alias("actual_rows"),
-        F.round(ratio(F.col("row_count") - target, F.greatest(target, F.lit(1))), 4).alias("deviation_ratio"),
+        stable_round(ratio(F.col("row_count") - target, F.greatest(target, F.lit(1))), 4).alias("deviation_ratio"),
     )
 
 

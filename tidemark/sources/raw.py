@@ -34,6 +34,8 @@ def with_lineage(
     """Add run id, config hash, load time and source file to every row.
 
     The load time is fixed when the frame is built, so every task and every retry writes one value.
+    Without ``source_file`` the name of the scanned file is taken, which needs a frame that is a
+    plain scan of one source.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
     stamp = loaded_at.strftime("%Y-%m-%d %H:%M:%S")
