@@ -11,9 +11,9 @@ from tidemark.functions.order_stats import exact_percentiles, order_code, positi
 PROBS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
 
 
-def check(spark, data, **kw):
+def check(spark, data, rows_per_bin=16, **kw):
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", PROBS, **kw).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", PROBS, rows_per_bin=rows_per_bin, **kw).collect()}
     groups = {g for g, v in data if v is not None}
     assert set(got) == groups
     for g in groups:
@@ -45,13 +45,20 @@ def test_weights_count_as_copies(spark):
     assert got["p80"] == pytest.approx(np.percentile(expanded, 80))
 
 
+def test_carried_sums_include_rows_without_a_value(spark):
+    data = [("a", 1.0, 10), ("a", 1.0, 20), ("a", 3.0, None), ("a", None, 5), ("b", None, 7)]
+    df = spark.createDataFrame(data, "g string, v double, x int")
+    out = exact_percentiles(df, ["g"], "v", {"p50": 0.5}, carry={"x": F.col("x"), "n": F.lit(1)}, rows_per_bin=1)
+    assert {tuple(r) for r in out.select("g", "x", "n", "p50").collect()} == {("a", 35, 4, 1.0), ("b", 7, 1, None)}
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 def test_positions_match_a_plain_row_number(spark, kind):
     rng = random.Random(11)
     keys = rng.sample(range(10_000_000), 900)
     data = [("hot" if i % 3 else "cold", k if kind == "bigint" else f"user_{k:08d}") for i, k in enumerate(keys)]
     df = spark.createDataFrame(data, f"g string, k {kind}").repartition(7)
-    got = {(r["g"], r["k"]): r["n"] for r in positions_within(df, ["g"], "k", "n", bins=16).collect()}
+    got = {(r["g"], r["k"]): r["n"] for r in positions_within(df, ["g"], "k", "n", bins=16, rows_per_bin=8).collect()}
     for g in ("hot", "cold"):
         ordered = sorted(k for name, k in data if name == g)
         assert [got[(g, k)] for k in ordered] == list(range(1, len(ordered) + 1))

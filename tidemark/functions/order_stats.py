@@ -20,11 +20,18 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import null_safe_join
 
 DEFAULT_BINS = 1024
+# a group with fewer rows than this is sorted as one bin
+ROWS_PER_BIN = 4096
 
 
-def _bin_index(code: Column, low: Column, high: Column, bins: int) -> Column:
-    position = F.floor((code - low) / (high - low) * F.lit(float(bins)))
-    return F.when(high > low, F.least(position, F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+def _bin_index(code: Column, low: Column, high: Column, bins: Column) -> Column:
+    position = F.floor((code - low) / (high - low) * bins)
+    return F.when(high > low, F.least(position, bins - 1)).otherwise(F.lit(0)).cast("int")
+
+
+def _bins_for(rows: Column, most: int, rows_per_bin: int) -> Column:
+    """Number of bins of a group: one per ``rows_per_bin`` rows, at most ``most``."""
+    return F.least(F.ceil(rows / F.lit(float(rows_per_bin))), F.lit(most))
 
 
 def exact_percentiles(
@@ -33,7 +40,9 @@ def exact_percentiles(
     value: str,
     probs: Mapping[str, float],
     weight: str | None = None,
+    carry: Mapping[str, Column] | None = None,
     bins: int = DEFAULT_BINS,
+    rows_per_bin: int = ROWS_PER_BIN,
 ) -> DataFrame:
     """Continuous (interpolated) percentiles per group, one output column per entry of ``probs``.
 
@@ -41,36 +50,45 @@ def exact_percentiles(
     costs one row however often it occurs. Bins are cut on a logarithmic scale, which keeps a few
     extreme values from pushing all others into one bin. Only bins that contain a wanted rank are
     sorted. ``weight`` gives each row an integer multiplicity.
+
+    ``carry`` adds per-group sums over all rows (NULL values included) to the result. They travel
+    with the collapsed rows, so an expensive input such as a join is computed once. Without it
+    groups that hold only NULLs are left out.
     """
-    by = list(by)
+    by, carry = list(by), dict(carry or {})
     if not by:
         raise ValueError("exact_percentiles needs at least one grouping column")
     number = F.col(value).cast("double")
     amount = F.sum(F.col(weight)).cast("double") if weight else F.count(F.lit(1)).cast("double")
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, number.alias("__v"))
-        .agg(amount.alias("__n"))
-        .where(F.col("__n") > 0)
+    source = df if carry else df.where(F.col(value).isNotNull())
+    counts = source.groupBy(*by, number.alias("__v")).agg(
+        amount.alias("__n"), *[F.sum(c).alias(name) for name, c in carry.items()]
+    )
+    known = F.col("__v").isNotNull() & (F.col("__n") > 0)
+    code = F.when(known, F.signum("__v") * F.log1p(F.abs(F.col("__v"))))
+    groups = counts.groupBy(*by).agg(
+        F.min(code).alias("__low"),
+        F.max(code).alias("__high"),
+        F.count(code).alias("__rows"),
+        F.sum(F.when(known, F.col("__n"))).alias("__total"),
+        *[F.sum(name).alias(name) for name in carry],
     )
-    code = F.signum("__v") * F.log1p(F.abs(F.col("__v")))
-    span = counts.groupBy(*by).agg(F.min(code).alias("__low"), F.max(code).alias("__high"))
-    binned = null_safe_join(counts, span, by).select(
-        *by, "__v", "__n", _bin_index(code, F.col("__low"), F.col("__high"), bins).alias("__bin")
+    span = groups.select(*by, "__low", "__high", "__total", _bins_for(F.col("__rows"), bins, rows_per_bin).alias("__k"))
+    binned = null_safe_join(counts.where(known).select(*by, "__v", "__n"), span, by).select(
+        *by,
+        "__v",
+        "__n",
+        "__total",
+        _bin_index(
+            F.signum("__v") * F.log1p(F.abs(F.col("__v"))), F.col("__low"), F.col("__high"), F.col("__k")
+        ).alias("__bin"),
     )
 
     ordered = Window.partitionBy(*by).orderBy("__bin")
-    whole = Window.partitionBy(*by)
     per_bin = (
         binned.groupBy(*by, "__bin")
-        .agg(F.sum("__n").alias("__size"))
-        .select(
-            *by,
-            "__bin",
-            "__size",
-            (F.sum("__size").over(ordered) - F.col("__size")).alias("__before"),
-            F.sum("__size").over(whole).alias("__total"),
-        )
+        .agg(F.sum("__n").alias("__size"), F.max("__total").alias("__total"))
+        .withColumn("__before", F.sum("__size").over(ordered) - F.col("__size"))
     )
     rank = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
 
@@ -82,7 +100,7 @@ def exact_percentiles(
         for end in (F.floor(position), F.ceil(position)):
             hit = holds(end, F.col("__before"), F.col("__size"))
             wanted = hit if wanted is None else wanted | hit
-    targets = per_bin.where(wanted).select(*by, "__bin", "__before", "__total")
+    targets = per_bin.where(wanted).select(*by, "__bin", "__before")
 
     inside = Window.partitionBy(*by, "__bin").orderBy("__v")
     placed = null_safe_join(binned, targets, [*by, "__bin"]).withColumn(
@@ -101,7 +119,8 @@ def exact_percentiles(
     for name, position in rank.items():
         low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return found.select(*by, *out)
+    result = found.select(*by, *out)
+    return null_safe_join(groups.select(*by, *carry), result, by, "left") if carry else result
 
 
 def order_code(df: DataFrame, column: str) -> Column:
@@ -122,7 +141,12 @@ def order_code(df: DataFrame, column: str) -> Column:
 
 
 def positions_within(
-    df: DataFrame, by: Sequence[str], order: str, out: str, bins: int = DEFAULT_BINS
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    out: str,
+    bins: int = DEFAULT_BINS,
+    rows_per_bin: int = ROWS_PER_BIN,
 ) -> DataFrame:
     """Add ``row_number() over (partition by <by> order by <order>)`` as ``out``.
 
@@ -130,10 +154,13 @@ def positions_within(
     """
     by = list(by)
     coded = df.withColumn("__code", order_code(df, order))
-    # numeric codes need no scalar subquery of their own; the range is one row per group
-    span = coded.groupBy(*by).agg(F.min("__code").alias("__low"), F.max("__code").alias("__high"))
+    span = coded.groupBy(*by).agg(
+        F.min("__code").alias("__low"),
+        F.max("__code").alias("__high"),
+        _bins_for(F.count("__code"), bins, rows_per_bin).alias("__k"),
+    )
     binned = null_safe_join(coded, span, by).withColumn(
-        "__bin", _bin_index(F.col("__code"), F.col("__low"), F.col("__high"), bins)
+        "__bin", _bin_index(F.col("__code"), F.col("__low"), F.col("__high"), F.col("__k"))
     )
     sizes = binned.groupBy(*by, "__bin").agg(F.count(F.lit(1)).alias("__size"))
     ordered = Window.partitionBy(*by).orderBy("__bin")

@@ -7,15 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import (
-    count_rows,
-    null_safe_join,
-    pct,
-    ratio,
-    running_rows,
-    stable_round,
-    trailing_rows,
-)
+from tidemark.functions.exprs import count_rows, pct, ratio, running_rows, stable_round, trailing_rows
 from tidemark.functions.order_stats import exact_percentiles
 
 # --- fixed values ------------------------------------------------------------------------------
@@ -123,27 +115,53 @@ def _success_rate() -> Column:
     return ratio(F.count_if("success_flag"), F.count(F.lit(1)))
 
 
+def _carried(means: Sequence[str], where: Column | None = None) -> dict[str, Column]:
+    """Sum and row count of each column, to be turned into a mean by :func:`_carried_mean`."""
+    out = {}
+    for c in means:
+        value = F.col(c).cast("double")
+        kept = value if where is None else F.when(where, value)
+        out[f"__sum_{c}"] = kept
+        out[f"__rows_{c}"] = kept.isNotNull().cast("int")
+    return out
+
+
+def _carried_mean(column: str) -> Column:
+    return ratio(f"__sum_{column}", f"__rows_{column}")
+
+
+def _ones(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
+
+
 def agent_daily_kpis(runs: DataFrame, per_trace: DataFrame) -> DataFrame:
     """Per run date: volume, success, tool errors, retries, latency percentiles, tokens, cost."""
     failed = per_trace.select("trace_id", (F.col("failed_span_count") > 0).alias("had_failed_span"))
-    daily = (
-        runs.join(failed, "trace_id", "left")
-        .groupBy("run_date")
-        .agg(
-            count_rows("total_runs"),
-            _success_rate().alias("agent_success_rate"),
-            ratio(F.count_if("had_failed_span"), F.count(F.lit(1))).alias("tool_error_rate"),
-            _mean("retry_count").alias("avg_retry_count"),
-            _mean("total_input_tokens").alias("avg_input_tokens"),
-            _mean("total_output_tokens").alias("avg_output_tokens"),
-            _mean("estimated_cost_usd").alias("avg_cost_per_run"),
-            ratio(F.sum("estimated_cost_usd"), F.count_if("success_flag")).alias("cost_per_successful_task"),
-            _mean("field_accuracy").alias("avg_field_accuracy"),
-            _mean("manual_edit_count").alias("avg_manual_edit_count"),
-        )
+    joined = runs.join(failed, "trace_id", "left")
+    means = {
+        "retry_count": "avg_retry_count",
+        "total_input_tokens": "avg_input_tokens",
+        "total_output_tokens": "avg_output_tokens",
+        "estimated_cost_usd": "avg_cost_per_run",
+        "field_accuracy": "avg_field_accuracy",
+        "manual_edit_count": "avg_manual_edit_count",
+    }
+    sums = {
+        "total_runs": F.lit(1),
+        "__success": _ones(F.col("success_flag")),
+        "__failed": _ones(F.col("had_failed_span")),
+        **_carried(list(means)),
+    }
+    stats = exact_percentiles(joined, ["run_date"], "total_latency_ms", DAY_PERCENTILES, carry=sums)
+    return stats.select(
+        "run_date",
+        "total_runs",
+        ratio("__success", "total_runs").alias("agent_success_rate"),
+        ratio("__failed", "total_runs").alias("tool_error_rate"),
+        *DAY_PERCENTILES,
+        ratio("__sum_estimated_cost_usd", "__success").alias("cost_per_successful_task"),
+        *[_carried_mean(c).alias(out) for c, out in means.items()],
     )
-    latency = exact_percentiles(runs, ["run_date"], "total_latency_ms", DAY_PERCENTILES)
-    return null_safe_join(daily, latency, ["run_date"], "left")
 
 
 def agent_stage_performance(spans: DataFrame, runs: DataFrame) -> DataFrame:
@@ -159,17 +177,27 @@ def agent_stage_performance(spans: DataFrame, runs: DataFrame) -> DataFrame:
         "output_tokens",
         "estimated_cost_usd",
     ).join(runs.select("trace_id", "run_date"), "trace_id")
-    model_call = lambda c: F.avg(F.when(F.col("span_type") == "llm", F.col(c).cast("double")))
-    totals = joined.groupBy(*key).agg(
-        count_rows("span_count"),
-        _mean("latency_ms").alias("avg_latency_ms"),
-        ratio(F.count_if(F.col("status") == "error"), F.count(F.lit(1))).alias("error_rate"),
-        model_call("input_tokens").alias("avg_input_tokens"),
-        model_call("output_tokens").alias("avg_output_tokens"),
-        model_call("estimated_cost_usd").alias("avg_cost_usd"),
+    model_call = F.col("span_type") == "llm"
+    means = {"input_tokens": "avg_input_tokens", "output_tokens": "avg_output_tokens", "estimated_cost_usd": "avg_cost_usd"}
+    sums = {
+        "span_count": F.lit(1),
+        "__errors": _ones(F.col("status") == "error"),
+        **_carried(["latency_ms"]),
+        **_carried(list(means), model_call),
+    }
+    # spans meet runs once: totals travel with the collapsed latencies
+    stats = exact_percentiles(
+        joined, key, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}, carry=sums
+    )
+    return stats.select(
+        *key,
+        "span_count",
+        _carried_mean("latency_ms").alias("avg_latency_ms"),
+        "p50_latency_ms",
+        "p95_latency_ms",
+        ratio("__errors", "span_count").alias("error_rate"),
+        *[_carried_mean(c).alias(out) for c, out in means.items()],
     )
-    latency = exact_percentiles(joined, key, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
-    return null_safe_join(totals, latency, key, "left")
 
 
 def error_root_cause(classified: DataFrame) -> DataFrame:
@@ -202,16 +230,23 @@ def error_root_cause(classified: DataFrame) -> DataFrame:
 def cost_quality_tradeoff(runs: DataFrame) -> DataFrame:
     """(model, prompt): cost, accuracy, quality, cost per accuracy point, success, p95 latency."""
     key = ["model_name", "prompt_version"]
-    totals = runs.groupBy(*key).agg(
-        count_rows("run_count"),
-        _mean("estimated_cost_usd").alias("avg_cost_usd"),
-        _mean("field_accuracy").alias("avg_field_accuracy"),
-        _mean("quality_score").alias("avg_quality_score"),
-        ratio(_mean("estimated_cost_usd"), _mean("field_accuracy")).alias("cost_per_accuracy_point"),
-        _success_rate().alias("success_rate"),
+    sums = {
+        "run_count": F.lit(1),
+        "__success": _ones(F.col("success_flag")),
+        **_carried(["estimated_cost_usd", "field_accuracy", "quality_score"]),
+    }
+    stats = exact_percentiles(runs, key, "total_latency_ms", {"p95_latency_ms": 0.95}, carry=sums)
+    cost, accuracy = _carried_mean("estimated_cost_usd"), _carried_mean("field_accuracy")
+    return stats.select(
+        *key,
+        "run_count",
+        cost.alias("avg_cost_usd"),
+        accuracy.alias("avg_field_accuracy"),
+        _carried_mean("quality_score").alias("avg_quality_score"),
+        ratio(cost, accuracy).alias("cost_per_accuracy_point"),
+        ratio("__success", "run_count").alias("success_rate"),
+        "p95_latency_ms",
     )
-    p95 = exact_percentiles(runs, key, "total_latency_ms", {"p95_latency_ms": 0.95})
-    return null_safe_join(totals, p95, key, "left")
 
 
 def model_version_comparison(runs: DataFrame) -> DataFrame:
@@ -285,16 +320,10 @@ MODEL_PERCENTILES = {
 def latency_percentiles(runs: DataFrame) -> DataFrame:
     """(run date, model): latency percentiles, extremes, mean and spreads."""
     key = ["run_date", "model_name"]
+    wanted = {**MODEL_PERCENTILES, "min_latency_ms": 0.0, "max_latency_ms": 1.0}
     known = runs.where(F.col("total_latency_ms").isNotNull())
-    totals = known.groupBy(*key).agg(
-        count_rows("total_runs"),
-        F.min("total_latency_ms").cast("double").alias("min_latency_ms"),
-        F.max("total_latency_ms").cast("double").alias("max_latency_ms"),
-        stable_round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
-    )
-    found = null_safe_join(
-        totals, exact_percentiles(known, key, "total_latency_ms", MODEL_PERCENTILES), key
-    )
+    sums = {"total_runs": F.lit(1), **_carried(["total_latency_ms"])}
+    found = exact_percentiles(known, key, "total_latency_ms", wanted, carry=sums)
     p50, p95, p99 = (F.col(f"p{n}_latency_ms") for n in (50, 95, 99))
     return found.select(
         *key,
@@ -302,7 +331,7 @@ def latency_percentiles(runs: DataFrame) -> DataFrame:
         *[stable_round(F.col(c), 2).alias(c) for c in MODEL_PERCENTILES],
         "min_latency_ms",
         "max_latency_ms",
-        "avg_latency_ms",
+        stable_round(_carried_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
         stable_round(p99 - p50, 2).alias("p99_to_p50_spread"),
         stable_round(ratio(p99 - p50, p50), 4).alias("relative_spread_p99_to_p50"),
         stable_round(ratio(p95 * 100.0, p50), 2).alias("p95_as_pct_of_median"),
@@ -359,33 +388,39 @@ def model_cost_quality(runs: DataFrame) -> DataFrame:
     """(model, prompt): cost, quality and per-dollar ratios, ranked by quality then cost."""
     key = ["model_name", "prompt_version"]
     known = runs.where(F.col("estimated_cost_usd").isNotNull() & F.col("quality_score").isNotNull())
+    tokens = known.withColumn("total_tokens", F.col("total_input_tokens") + F.col("total_output_tokens"))
+    # means and the digits they are shown with
+    shown = {
+        "total_latency_ms": ("avg_latency_ms", 2),
+        "quality_score": ("avg_quality_score", 2),
+        "field_accuracy": ("avg_field_accuracy", 2),
+        "total_tokens": ("avg_total_tokens", 1),
+        "retry_count": ("avg_retry_count", 2),
+        "manual_edit_count": ("avg_manual_edit_count", 2),
+        "estimated_cost_usd": ("avg_cost_usd", 6),
+    }
+    sums = {"run_count": F.lit(1), "successful_runs": _ones(F.col("success_flag")), **_carried(list(shown))}
+    wanted = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
+    stats = exact_percentiles(tokens, key, "total_latency_ms", wanted, carry=sums)
     cost, quality, accuracy = (
-        _mean(c) for c in ("estimated_cost_usd", "quality_score", "field_accuracy")
+        _carried_mean(c) for c in ("estimated_cost_usd", "quality_score", "field_accuracy")
     )
-    tokens = (F.col("total_input_tokens") + F.col("total_output_tokens")).cast("double")
-    totals = known.groupBy(*key).agg(
-        count_rows("run_count"),
-        F.count_if("success_flag").alias("successful_runs"),
-        pct(F.count_if("success_flag"), F.count(F.lit(1))).alias("success_rate_pct"),
-        stable_round(cost, 6).alias("avg_cost_usd"),
-        stable_round(_mean("total_latency_ms"), 2).alias("avg_latency_ms"),
-        stable_round(quality, 2).alias("avg_quality_score"),
-        stable_round(accuracy, 2).alias("avg_field_accuracy"),
-        stable_round(F.avg(tokens), 1).alias("avg_total_tokens"),
-        stable_round(_mean("retry_count"), 2).alias("avg_retry_count"),
-        stable_round(_mean("manual_edit_count"), 2).alias("avg_manual_edit_count"),
+    totals = stats.select(
+        *key,
+        "run_count",
+        "successful_runs",
+        pct("successful_runs", "run_count").alias("success_rate_pct"),
+        *[stable_round(_carried_mean(c), digits).alias(name) for c, (name, digits) in shown.items()],
         stable_round(ratio(cost, accuracy), 8).alias("cost_per_accuracy_point"),
         stable_round(ratio(cost, quality), 8).alias("cost_per_quality_point"),
+        *wanted,
     )
-    latency = exact_percentiles(known, key, "total_latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
     # model and prompt break ties, so the rank does not depend on row order
     best_first = Window.orderBy(
         F.col("avg_quality_score").desc_nulls_last(), "avg_cost_usd", "model_name", "prompt_version"
     )
-    return null_safe_join(totals, latency, key, "left").select(
-        *totals.columns,
-        "p50_latency_ms",
-        "p95_latency_ms",
+    return totals.select(
+        "*",
         stable_round(ratio(F.col("avg_quality_score") * 100.0, "avg_cost_usd"), 2).alias("quality_per_dollar"),
         stable_round(ratio(F.col("avg_field_accuracy") * 100.0, "avg_cost_usd"), 2).alias("accuracy_per_dollar"),
         F.row_number().over(best_first).alias("efficiency_rank"),

@@ -634,6 +634,12 @@ def poisson_weights(
     One md5 gives four replicates (32 bits each). Zero weights are dropped at once. No random
     generator is involved: repartitioning, retries and lost executors cannot change a weight.
     """
+    # The rows multiply here, so they are spread first: AQE sizes tasks by input bytes and would
+    # leave a small input in one task. A hash of the key keeps the planner from dropping the
+    # exchange in favour of an existing partitioning by the key itself.
+    session = users.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    users = users.repartition(tasks, F.xxhash64(user))
     blocks = F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // 4)))
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(user).cast("string"), F.col("__block").cast("string")))
     hashed = users.withColumn("__block", blocks).withColumn("__digest", digest)

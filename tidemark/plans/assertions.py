@@ -60,14 +60,20 @@ def agent_coverage_per_group(w: Warehouse) -> DataFrame:
     )
 
 
+def _summary_not_finite() -> Column:
+    return _any([F.col(m).isNotNull() & ~is_finite(m) for m in SUMMARY_METRICS])
+
+
+def _summary_null() -> Column:
+    return _any([F.col(m).isNull() for m in SUMMARY_METRICS])
+
+
 def summary_metrics_finite(w: Warehouse) -> DataFrame:
-    bad = _any([F.col(m).isNotNull() & ~is_finite(m) for m in SUMMARY_METRICS])
-    return w.ab_test_summary.where(bad).select("experiment_group", *SUMMARY_METRICS)
+    return w.ab_test_summary.where(_summary_not_finite()).select("experiment_group", *SUMMARY_METRICS)
 
 
 def summary_metrics_non_null(w: Warehouse) -> DataFrame:
-    bad = _any([F.col(m).isNull() for m in SUMMARY_METRICS])
-    return w.ab_test_summary.where(bad).select("experiment_group", *SUMMARY_METRICS)
+    return w.ab_test_summary.where(_summary_null()).select("experiment_group", *SUMMARY_METRICS)
 
 
 def run_task_exists(w: Warehouse) -> DataFrame:
@@ -135,21 +141,32 @@ def one_clean_assignment(w: Warehouse) -> DataFrame:
     return rows.where(F.col("assignment_count") > 1)
 
 
+def _export_without_review() -> Column:
+    return F.col("did_export") & ~F.col("did_start_review")
+
+
+def _export_and_abandon() -> Column:
+    return F.col("did_export") & F.col("did_abandon")
+
+
 def export_requires_review(w: Warehouse) -> DataFrame:
-    flags = w.task_funnel_flags.where(F.col("did_export") & ~F.col("did_start_review"))
-    return flags.select("task_id", "did_export", "did_start_review")
+    return w.task_funnel_flags.where(_export_without_review()).select("task_id", "did_export", "did_start_review")
 
 
 def timestamps_monotone(w: Warehouse) -> DataFrame:
     return _out_of_order(w.task_event_sequence, PIPELINE)
 
 
+def _no_runs() -> Column:
+    return F.coalesce("total_runs", F.lit(0)) == 0
+
+
 def denominators_nonzero(w: Warehouse) -> DataFrame:
-    return w.agent_daily_kpis.where(F.coalesce("total_runs", F.lit(0)) == 0).select("run_date", "total_runs")
+    return w.agent_daily_kpis.where(_no_runs()).select("run_date", "total_runs")
 
 
 def no_export_abandon_conflict(w: Warehouse) -> DataFrame:
-    return w.task_funnel_flags.where(F.col("did_export") & F.col("did_abandon")).select("task_id")
+    return w.task_funnel_flags.where(_export_and_abandon()).select("task_id")
 
 
 def _rates(extra: Sequence[str]) -> list[str]:
@@ -160,37 +177,57 @@ def _rate(n: int) -> Column:
     return F.col(f"d{n}_retention_rate")
 
 
+def _matured_out_of_range() -> Column:
+    return _any([F.col(f"d{n}_matured") & ~in_unit_interval(_rate(n)) for n in HORIZONS])
+
+
+def _rate_out_of_range() -> Column:
+    return _any([~in_unit_interval(_rate(n)) for n in HORIZONS])
+
+
+def _known_out_of_range() -> Column:
+    return _any([_rate(n).isNotNull() & ~in_unit_interval(_rate(n)) for n in HORIZONS])
+
+
+def _unmatured_with_rate() -> Column:
+    return _any([~F.col(f"d{n}_matured") & _rate(n).isNotNull() for n in HORIZONS])
+
+
 def matured_rates_in_range(w: Warehouse) -> DataFrame:
-    bad = _any([F.col(f"d{n}_matured") & ~in_unit_interval(_rate(n)) for n in HORIZONS])
     shown = [c for n in HORIZONS for c in (f"d{n}_matured", f"d{n}_retention_rate")]
-    return w.retention_cohort.where(bad).select(*_rates(shown))
+    return w.retention_cohort.where(_matured_out_of_range()).select(*_rates(shown))
 
 
 def retention_bounds(w: Warehouse) -> DataFrame:
-    bad = _any([~in_unit_interval(_rate(n)) for n in HORIZONS])
     shown = ["eligible_users", *[f"d{n}_retained_users" for n in HORIZONS], *[f"d{n}_retention_rate" for n in HORIZONS]]
-    return w.retention_cohort.where(bad).select(*_rates(shown))
+    return w.retention_cohort.where(_rate_out_of_range()).select(*_rates(shown))
 
 
 def known_rates_in_unit_interval(w: Warehouse) -> DataFrame:
-    bad = _any([_rate(n).isNotNull() & ~in_unit_interval(_rate(n)) for n in HORIZONS])
-    return w.retention_cohort.where(bad).select(*_rates([f"d{n}_retention_rate" for n in HORIZONS]))
+    return w.retention_cohort.where(_known_out_of_range()).select(*_rates([f"d{n}_retention_rate" for n in HORIZONS]))
+
+
+def _span_reversed() -> Column:
+    return F.col("end_time") < F.col("start_time")
+
+
+def _success_unknown() -> Column:
+    return F.col("success_flag").isNull()
 
 
 def span_ends_after_start(w: Warehouse) -> DataFrame:
-    return w.spans.where(F.col("end_time") < F.col("start_time")).select(
+    return w.spans.where(_span_reversed()).select(
         "span_id", "trace_id", "span_name", "start_time", "end_time"
     )
 
 
 def success_flag_known(w: Warehouse) -> DataFrame:
-    return w.runs.where(F.col("success_flag").isNull()).select("agent_run_id", "trace_id", "success_flag")
+    return w.runs.where(_success_unknown()).select("agent_run_id", "trace_id", "success_flag")
 
 
 def unmatured_rate_is_null(w: Warehouse) -> DataFrame:
-    bad = _any([~F.col(f"d{n}_matured") & _rate(n).isNotNull() for n in HORIZONS])
     shown = [c for n in HORIZONS for c in (f"d{n}_matured", f"d{n}_retention_rate")]
-    return w.retention_cohort.where(bad).select(*_rates(shown))
+    return w.retention_cohort.where(_unmatured_with_rate()).select(*_rates(shown))
 
 
 ASSERTIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -223,11 +260,38 @@ ASSERTIONS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
+# row rules: assertion -> (model, condition of a violating row). Rules on one model are counted in a
+# single pass over it.
+ROW_RULES: dict[str, tuple[str, Callable[[], Column]]] = {
+    "summary_metrics_finite": ("ab_test_summary", _summary_not_finite),
+    "summary_metrics_non_null": ("ab_test_summary", _summary_null),
+    "export_requires_review": ("task_funnel_flags", _export_without_review),
+    "no_export_abandon_conflict": ("task_funnel_flags", _export_and_abandon),
+    "matured_rates_in_range": ("retention_cohort", _matured_out_of_range),
+    "retention_bounds": ("retention_cohort", _rate_out_of_range),
+    "known_rates_in_unit_interval": ("retention_cohort", _known_out_of_range),
+    "unmatured_rate_is_null": ("retention_cohort", _unmatured_with_rate),
+    "denominators_nonzero": ("agent_daily_kpis", _no_runs),
+    "span_ends_after_start": ("spans", _span_reversed),
+    "success_flag_known": ("runs", _success_unknown),
+}
+
+
+def _count_rules(w: Warehouse, model: str, rules: Sequence[str]) -> DataFrame:
+    totals = getattr(w, model).agg(*[F.count_if(ROW_RULES[r][1]()).alias(r) for r in rules], F.lit(0).alias("__k"))
+    return totals.unpivot(["__k"], list(rules), "assertion", "violations").drop("__k")
+
+
 def assertion_summary(w: Warehouse) -> DataFrame:
     """One row per assertion: name, violating rows, passed."""
-    parts = [
+    by_model: dict[str, list[str]] = {}
+    for rule, (model, _) in ROW_RULES.items():
+        by_model.setdefault(model, []).append(rule)
+    parts = [_count_rules(w, model, rules) for model, rules in by_model.items()]
+    parts += [
         check(w).agg(count_rows("violations")).select(F.lit(name).alias("assertion"), "violations")
         for name, check in ASSERTIONS.items()
+        if name not in ROW_RULES
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -8,6 +8,7 @@ the mart layer, ``persist`` keeps chosen frames between queries.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -42,6 +43,8 @@ MARTS = (
     "ab_test_segment_effects",
     "experiment_guardrails",
 )
+# marts that other marts read
+FOUNDATION_MARTS = ("daily_product_kpis", "retention_cohort", "agent_daily_kpis")
 
 
 class Warehouse:
@@ -237,14 +240,21 @@ class Warehouse:
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MARTS}
 
-    def materialise_marts(self, folder: str) -> dict[str, DataFrame]:
+    def materialise_marts(self, folder: str, at_once: int = 4) -> dict[str, DataFrame]:
         """Write every mart as Parquet and return frames over the written files.
 
-        The task-level frame feeds most marts, so it is written first and read back: later marts
-        scan tasks, not events.
+        Frames that several marts read are written first and read back, so a later mart scans tasks or
+        days instead of events again. Marts of one wave do not depend on each other; their jobs
+        share the cluster.
         """
-        base = sinks.materialise({"task_event_sequence": self.task_event_sequence}, folder)
-        self.__dict__.update(base)
-        for dependent in ("task_funnel_flags", "task_funnel_enriched", "task_outcomes"):
-            self.__dict__.pop(dependent, None)
-        return sinks.materialise(self.marts(), folder)
+        self._write_wave(folder, ("task_event_sequence", "agent_error_classification"), at_once)
+        self._write_wave(folder, ("task_funnel_enriched", "experiment_user_metrics", *FOUNDATION_MARTS), at_once)
+        self._write_wave(folder, tuple(m for m in MARTS if m not in FOUNDATION_MARTS), at_once)
+        return {name: getattr(self, name) for name in MARTS}
+
+    def _write_wave(self, folder: str, names: tuple[str, ...], at_once: int) -> None:
+        frames = {name: getattr(self, name) for name in names}
+        with ThreadPoolExecutor(at_once) as pool:
+            written = list(pool.map(lambda item: sinks.materialise(dict([item]), folder), frames.items()))
+        for part in written:
+            self.__dict__.update(part)

@@ -16,6 +16,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# Static settings, taken when a session is created. Call-site capture costs a stack walk per
+# column expression while a plan is built.
+STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,7 +26,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(SQL_DEFAULTS)
+    settings = {**SQL_DEFAULTS, **STATIC_DEFAULTS}
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -12,7 +12,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SOURCE_TABLES = ("customer", "nation", "region", "part", "orders", "lineitem", "events")
+# --- fixed values: schemas of the source tables, so planning reads no file footers ---------------
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+SOURCE_TABLES = tuple(SOURCE_SCHEMAS)
 
 USERS = """
 SELECT c_custkey AS user_id,
@@ -250,7 +269,8 @@ def bind(spark: SparkSession, folder: str, binding: dict[str, str]) -> dict[str,
                 needed = [n for n in (*SOURCE_TABLES, "product_events") if "{" + n + "}" in text]
                 cache[name] = spark.sql(text, **{n: frame(n) for n in needed})
             else:
-                cache[name] = spark.read.parquet(f"{folder}/{name}.parquet")
+                scan = spark.read.schema(SOURCE_SCHEMAS[name])
+                cache[name] = scan.parquet(f"{folder}/{name}.parquet")
         return cache[name]
 
     return {name: (lambda n=name: frame(n)) for name in binding}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import count_rows
@@ -13,15 +13,15 @@ from tidemark.sources.raw import LINEAGE
 
 
 
-def _derived(name: str) -> dict[str, Column]:
-    return {
-        "users": {"signup_date": F.col("signup_time").cast("date")},
-        "documents": {
-            "created_date": F.col("created_at").cast("date"),
-            "is_complex": F.coalesce(F.col("complexity_level") == "complex", F.lit(False)),
-        },
-        "agent_runs": {"run_date": F.col("started_at").cast("date")},
-    }.get(name, {})
+# --- fixed values: columns staging derives from others of the same row --------------------------
+DERIVED = {
+    "users": ["CAST(signup_time AS DATE) AS signup_date"],
+    "documents": [
+        "CAST(created_at AS DATE) AS created_date",
+        "coalesce(complexity_level = 'complex', false) AS is_complex",
+    ],
+    "agent_runs": ["CAST(started_at AS DATE) AS run_date"],
+}
 
 
 def stage(raw: DataFrame, contract: Contract, key_type: str | None = None) -> DataFrame:
@@ -33,17 +33,14 @@ def stage(raw: DataFrame, contract: Contract, key_type: str | None = None) -> Da
     found = dict(raw.dtypes)
     columns = []
     for name, kind in contract.types.items():
-        is_id = name.endswith("_id")
+        wanted = kind
         if kind == "string":
-            wanted = key_type if (is_id and key_type) else found[name]
-            column = F.col(name) if wanted == found[name] else F.col(name).cast(wanted)
-        else:
-            column = F.col(name) if found[name] == kind else F.col(name).cast(kind)
-        columns.append(column.alias(name))
-    columns.extend(F.col(c) for c in LINEAGE if c in found)
-    staged = raw.select(*columns)
-    extra = _derived(contract.name)
-    return staged.select("*", *[c.alias(n) for n, c in extra.items()]) if extra else staged
+            wanted = key_type if (name.endswith("_id") and key_type) else found[name]
+        columns.append(name if wanted == found[name] else f"CAST({name} AS {wanted}) AS {name}")
+    columns.extend(c for c in LINEAGE if c in found)
+    staged = raw.selectExpr(*columns)
+    derived = DERIVED.get(contract.name)
+    return staged.selectExpr("*", *derived) if derived else staged
 
 
 def cast_rejects(raw: DataFrame, contract: Contract) -> DataFrame:
