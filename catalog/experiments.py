@@ -139,6 +139,17 @@ WELCH = f"""SELECT metric, a_n, b_n, a_mean, b_mean, a_std, b_std, mean_diff, t
        mean_diff - {t_quantile(Z975, 'df')} * se AS ci_lower, mean_diff + {t_quantile(Z975, 'df')} * se AS ci_upper FROM welch"""
 WELCH_DOUBLES = "a_mean b_mean a_std b_std mean_diff welch_t_stat welch_df welch_p_value cohens_d ci_lower ci_upper"
 register("continuous_effect", lambda w: ex.continuous_effect(long(w)), WELCH, WELCH_DOUBLES)
+register(
+    "continuous_effect_by_segment",
+    lambda w: ex.continuous_effect(
+        long(w).join(w.users.select("user_id", "user_segment"), "user_id"), ["user_segment", "metric"]
+    ).drop("ci_lower", "ci_upper"),
+    """SELECT user_segment, metric, a_n, b_n, a_mean, b_mean, a_std, b_std, mean_diff, t AS welch_t_stat, df AS welch_df,
+              p AS welch_p_value,
+              CASE WHEN a_std + b_std > 0 THEN mean_diff / sqrt((a_std ^ 2 + b_std ^ 2) / 2) ELSE 0 END AS cohens_d
+       FROM welch_seg WHERE a_n >= 2 AND b_n >= 2""",
+    "a_mean b_mean a_std b_std mean_diff welch_t_stat welch_df welch_p_value cohens_d",
+)
 BH = """WITH r AS (SELECT metric, p AS p_value, row_number() OVER (ORDER BY p, metric) AS k, count(*) OVER () AS n FROM {src})
        SELECT metric, p_value, least(1, min(p_value * n / k) OVER (ORDER BY k DESC)) AS adjusted_p,
               least(1, min(p_value * n / k) OVER (ORDER BY k DESC)) <= 0.05 AS rejected FROM r"""

@@ -21,6 +21,7 @@ from tidemark.sources.contracts import (
     DOCUMENTS,
     EVENT_NAMES,
     PRODUCT_EVENTS,
+    SESSIONS,
     USERS,
     contract_report,
 )
@@ -263,6 +264,7 @@ def _rule_sql(contract, table: str) -> str:
 for _name, _contract, _binding in (
     ("schema_contract_users", USERS, "product"),
     ("schema_contract_documents", DOCUMENTS, "product"),
+    ("schema_contract_sessions", SESSIONS, "product"),
     ("schema_contract_events", PRODUCT_EVENTS, "product"),
     ("schema_contract_runs", AGENT_RUNS, "traces"),
     ("schema_contract_spans", AGENT_SPANS, "traces"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import SMALL
@@ -23,6 +24,22 @@ def engine():
     connection.close()
 
 
+@pytest.fixture(scope="module")
+def results(spark):
+    """All queries, a few at a time: most of their time at this scale is waiting between stages."""
+
+    def run(name):
+        try:
+            frame = driver.queries()[name](spark, SMALL)
+            return frame.columns, frame.collect()
+        except Exception as error:  # reported by the test of that query
+            return error
+
+    names = sorted(driver.queries())
+    with ThreadPoolExecutor(6) as pool:
+        return dict(zip(names, pool.map(run, names), strict=True))
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if value != value else round(value, 6) + 0.0
@@ -39,11 +56,13 @@ def test_every_query_has_a_counterpart():
 
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_matches_sql(spark, engine, name):
-    frame = driver.queries()[name](spark, SMALL)
+def test_matches_sql(results, engine, name):
+    if isinstance(results[name], Exception):
+        raise results[name]
+    columns, rows = results[name]
     relation = engine.sql(driver.oracle_sql()[name])
-    assert sorted(frame.columns) == sorted(relation.columns)
-    assert table(frame.columns, frame.collect()) == table(relation.columns, relation.fetchall())
+    assert sorted(columns) == sorted(relation.columns)
+    assert table(columns, rows) == table(relation.columns, relation.fetchall())
 
 
 def test_entry_runs(spark):

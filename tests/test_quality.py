@@ -179,6 +179,24 @@ def test_content_hash_ignores_order_and_sees_changes(spark):
     assert profile.content_hash(frame.union(frame.limit(1)), "t").first() != base
 
 
+def test_layer_as_views(spark):
+    raw.register_views({"users": users(spark, USER_ROW)}, "stg_")
+    found = spark.sql("SELECT user_id FROM stg_users WHERE country = :country", args={"country": "DE"})
+    assert rows(found, "user_id") == {("u1",)}
+
+
+def test_materialised_layer_equals_the_lazy_one(spark, tmp_path):
+    from catalog.registry import warehouse
+    from conftest import SMALL
+
+    lazy, written = warehouse(spark, SMALL), warehouse(spark, SMALL).materialise_marts(str(tmp_path))
+    assert len(written) == 21
+    for name in ("conversion_funnel", "executive_daily_scorecard", "alerts", "ab_test_summary", "export_rate_dimension_daily"):
+        expected = getattr(lazy, name)
+        shown = [F.round(c, 6) if t == "double" else F.col(c) for c, t in expected.dtypes]
+        assert sorted(map(repr, expected.select(*shown).collect())) == sorted(map(repr, written[name].select(*shown).collect()))
+
+
 def test_verify_raw(spark):
     tables = {"users": users(spark, USER_ROW)}
     manifest = lambda n: spark.createDataFrame([("users", n)], "table_name string, expected_rows bigint")

@@ -110,9 +110,3 @@ def trailing_rows(order: str, rows: int) -> Window:
 
 def running_rows(*order: Column | str):
     return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def single_row(frame: DataFrame) -> Column:
-    """A one-row, one-column frame as a scalar subquery: attaches a global value to every row
-    without a join of any kind."""
-    return frame.scalar()

@@ -123,6 +123,59 @@ def exact_percentiles(
     return null_safe_join(groups.select(*by, *carry), result, by, "left") if carry else result
 
 
+def replicate_medians(
+    values: DataFrame, replicates: DataFrame, by: Sequence[str], value: str, rep: str, weight: str, out: str,
+    bins: int = 256,
+) -> DataFrame:
+    """Weighted median per (group, replicate) without shuffling one row per value and replicate.
+
+    ``values`` holds each value once, ``replicates`` the same rows repeated per replicate with an
+    integer weight. The bins of a group are the same in every replicate, so the first pass combines
+    map-side to groups x replicates x bins counts. Only values inside a bin that holds a middle rank
+    are shuffled. The two broadcast frames have at most groups and 2 x groups x replicates rows.
+    """
+    by = list(by)
+    cell = [*by, rep]
+    known = values.where(F.col(value).isNotNull())
+    span = known.groupBy(*by).agg(
+        F.min(F.col(value).cast("double")).alias("__low"), F.max(F.col(value).cast("double")).alias("__high")
+    )
+    number = F.col(value).cast("double")
+    binned = null_safe_join(
+        replicates.where(F.col(value).isNotNull() & (F.col(weight) > 0)), F.broadcast(span), by
+    ).select(
+        *cell,
+        number.alias("__v"),
+        F.col(weight).alias("__n"),
+        _bin_index(number, F.col("__low"), F.col("__high"), F.lit(bins)).alias("__bin"),
+    )
+    ordered = Window.partitionBy(*cell).orderBy("__bin")
+    sizes = binned.groupBy(*cell, "__bin").agg(F.sum("__n").alias("__size"))
+    placed = sizes.withColumns(
+        {
+            "__before": F.sum("__size").over(ordered) - F.col("__size"),
+            "__total": F.sum("__size").over(Window.partitionBy(*cell)),
+        }
+    )
+    middle = (F.col("__total") - 1) / F.lit(2.0)
+    ends = (F.floor(middle), F.ceil(middle))
+
+    def covers(position: Column, start: Column, size: Column) -> Column:
+        return (position >= start) & (position < start + size)
+
+    hit = covers(ends[0], F.col("__before"), F.col("__size")) | covers(ends[1], F.col("__before"), F.col("__size"))
+    targets = placed.where(hit).select(*cell, "__bin", "__before", "__total")
+    inside = Window.partitionBy(*cell, "__bin").orderBy("__v")
+    near = (
+        null_safe_join(binned, F.broadcast(targets), [*cell, "__bin"])
+        .groupBy(*cell, "__bin", "__before", "__total", "__v")
+        .agg(F.sum("__n").alias("__n"))
+        .withColumn("__start", F.col("__before") + F.sum("__n").over(inside) - F.col("__n"))
+    )
+    at = [F.max(F.when(covers(e, F.col("__start"), F.col("__n")), F.col("__v"))) for e in ends]
+    return near.groupBy(*cell).agg(((at[0] + at[1]) / 2.0).alias(out))
+
+
 def order_code(df: DataFrame, column: str) -> Column:
     """A double that never decreases when ``column`` increases, for numbers and strings.
 

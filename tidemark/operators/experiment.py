@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_date, count_rows, null_safe_join, pct, ratio, stable_round
-from tidemark.functions.order_stats import exact_percentiles
+from tidemark.functions.exprs import as_date, count_rows, null_safe_join, ratio, stable_round
+from tidemark.functions.order_stats import exact_percentiles, replicate_medians
 from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critical, t_pvalue
 
 # ---- assignments -------------------------------------------------------------------------------
@@ -87,10 +87,6 @@ def _run_totals(runs: DataFrame) -> DataFrame:
     )
 
 
-def _additive(*names: str) -> list[Column]:
-    return [F.sum(n).alias(n) for n in names]
-
-
 RUN_SUMS = ("acc", "acc_n", "lat", "lat_n", "cost")
 
 
@@ -661,7 +657,8 @@ def _replicate_diffs(
     control: str, treatment: str,
 ) -> DataFrame:
     """(metric, rep, diff): the statistic of treatment minus control in every replicate."""
-    weighted = poisson_weights(wide.where(F.col("experiment_group").isin(control, treatment)), iterations, seed)
+    compared = wide.where(F.col("experiment_group").isin(control, treatment))
+    weighted = poisson_weights(compared, iterations, seed)
     if statistic == "mean":
         # all metrics share the weights: one pass, and each task emits at most reps x groups rows
         sums = weighted.groupBy("rep", "experiment_group").agg(
@@ -671,11 +668,14 @@ def _replicate_diffs(
             "rep", "experiment_group", *[ratio(m, "__w").alias(m) for m in metrics]
         ).unpivot(["rep", "experiment_group"], list(metrics), "metric", "stat")
     else:
-        long = weighted.unpivot(
-            ["rep", "experiment_group", "weight"], list(metrics), "metric", "value"
-        )
-        per_group = exact_percentiles(
-            long, ["metric", "rep", "experiment_group"], "value", {"stat": 0.5}, weight="weight"
+        per_group = replicate_medians(
+            compared.unpivot(["experiment_group"], list(metrics), "metric", "value"),
+            weighted.unpivot(["rep", "experiment_group", "weight"], list(metrics), "metric", "value"),
+            ["metric", "experiment_group"],
+            "value",
+            "rep",
+            "weight",
+            "stat",
         )
     side = lambda g: F.max(F.when(F.col("experiment_group") == g, F.col("stat")))
     return per_group.groupBy("metric", "rep").agg((side(treatment) - side(control)).alias("diff"))

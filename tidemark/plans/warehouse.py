@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tidemark.operators import activity, adoption, agents, executive, experiment, funnel, retention, segments
+from tidemark.operators import adoption, agents, executive, experiment, funnel, retention, segments
 from tidemark.operators import sequences as seq
 from tidemark.sources import sinks
 from tidemark.sources.contracts import CONTRACTS

@@ -49,7 +49,7 @@ def with_lineage(
     )
 
 
-def register_raw(tables: Mapping[str, DataFrame], prefix: str = "raw_") -> None:
-    """Expose raw frames to SQL as temporary views."""
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Expose a layer to SQL as temporary views; nothing is written or computed."""
     for name, frame in tables.items():
         frame.createOrReplaceTempView(f"{prefix}{name}")

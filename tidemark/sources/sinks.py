@@ -35,12 +35,6 @@ def materialise(
     return written
 
 
-def register_views(models: Mapping[str, DataFrame]) -> None:
-    """Keep a layer lazy: temporary views instead of files."""
-    for name, frame in models.items():
-        frame.createOrReplaceTempView(name)
-
-
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """UTF-8 CSV with a header line; an empty result still writes the header.
 
