@@ -11,7 +11,7 @@ from catalog.registry import register
 from tidemark.operators import agents, contrasts
 from tidemark.operators import quality as q
 from tidemark.plans import assertions
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import shared_folder
 from tidemark.sources import profile, raw, sinks, staging
 from tidemark.sources.contracts import (
     AGENT_RUNS,
@@ -178,7 +178,7 @@ register(
 
 def _scratch(w) -> str:
     spark = w.users.sparkSession
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/tidemark/{uuid.uuid4().hex}"
 
 
 def _csv_roundtrip(w) -> DataFrame:

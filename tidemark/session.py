@@ -1,4 +1,4 @@
-"""Session defaults and the one place that decides where checkpoints go."""
+"""Session defaults and the one place that decides where shared scratch data goes."""
 
 from __future__ import annotations
 
@@ -40,19 +40,18 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names, or set a scratch one in local runs only.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir`` for data that must outlive executors.
 
-    A checkpoint must outlive the executor that wrote it, so on a cluster the folder has to be
-    shared storage named by ``spark.checkpoint.dir``; a machine-local folder is refused there.
+    Where it is unset a scratch folder is made, in local mode only: on a cluster a machine-local
+    folder would be lost with its machine, so that is refused.
     """
-    context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        context.setCheckpointDir(configured)
         return configured
+    context = spark.sparkContext
     if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before checkpointing")
-    folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
