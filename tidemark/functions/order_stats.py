@@ -2,11 +2,11 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer and
 ``row_number`` sorts a whole group in one task; either stalls when one group holds a large part
-of the rows. Both functions here first cut each group into order-preserving bins, count the bins
-(a frame of at most ``bins`` rows per group), and then only sort inside single bins.
+of the rows. The functions here first cut each group into order-preserving bins, count the bins (a
+small frame), and then only sort inside single bins.
 
-The bin of a value is a pure function of the value and the group's exact minimum and maximum, so
-a recomputed task always produces the same bins.
+The bin of a value is a pure function of the value (and, for row numbers, of the group's exact
+minimum and maximum), so a recomputed task always produces the same bins.
 """
 
 from __future__ import annotations
@@ -19,11 +19,19 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import null_safe_join
 
+# slices per unit of the natural logarithm in exact_percentiles: each spans under one percent
+BINS_PER_UNIT = 128
+# largest number of equal slices a group is cut into by positions_within
 DEFAULT_BINS = 1024
 # a group with fewer rows than this is sorted as one bin
 ROWS_PER_BIN = 4096
 
 
+def _log_bin(value: Column, per_unit: int) -> Column:
+    """Slice of the signed logarithmic scale; never decreases when the value increases."""
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(float(per_unit))).cast("int")
+
+
 def _bin_index(code: Column, low: Column, high: Column, bins: Column) -> Column:
     position = F.floor((code - low) / (high - low) * bins)
     return F.when(high > low, F.least(position, bins - 1)).otherwise(F.lit(0)).cast("int")
@@ -41,70 +49,79 @@ def exact_percentiles(
     probs: Mapping[str, float],
     weight: str | None = None,
     carry: Mapping[str, Column] | None = None,
-    bins: int = DEFAULT_BINS,
-    rows_per_bin: int = ROWS_PER_BIN,
+    bounded_groups: bool = False,
+    bins_per_unit: int = BINS_PER_UNIT,
 ) -> DataFrame:
     """Continuous (interpolated) percentiles per group, one output column per entry of ``probs``.
 
-    Rows are collapsed to (group, value, count) with map-side combine, so a repeated value
-    costs one row however often it occurs. Bins are cut on a logarithmic scale, which keeps a few
-    extreme values from pushing all others into one bin. Only bins that contain a wanted rank are
-    sorted. ``weight`` gives each row an integer multiplicity.
+    Two passes over the input. The first counts rows per (group, bin), combined map-side, where a
+    bin is a slice of the logarithmic scale and depends on nothing but the value. A running count
+    over the bins of a group finds the few bins that hold a wanted rank. The second pass keeps only
+    rows in those bins, collapses them to (group, value, count) and sorts inside single bins.
+    ``weight`` gives each row an integer multiplicity.
+
+    ``carry`` adds per-group sums over all rows (NULL values included) to the result; they ride
+    along with the bin counts. Without it groups that hold only NULLs are left out.
 
-    ``carry`` adds per-group sums over all rows (NULL values included) to the result. They travel
-    with the collapsed rows, so an expensive input such as a join is computed once. Without it
-    groups that hold only NULLs are left out.
+    ``bounded_groups`` states that the number of groups is bounded by the data model (days of the
+    calendar, variants of an experiment). The per-group frame is then broadcast and the second
+    pass shuffles nothing but rows of wanted bins. Otherwise AQE decides by measured size.
     """
     by, carry = list(by), dict(carry or {})
     if not by:
         raise ValueError("exact_percentiles needs at least one grouping column")
     number = F.col(value).cast("double")
-    amount = F.sum(F.col(weight)).cast("double") if weight else F.count(F.lit(1)).cast("double")
+    known = F.col("__v").isNotNull()
     source = df if carry else df.where(F.col(value).isNotNull())
-    counts = source.groupBy(*by, number.alias("__v")).agg(
-        amount.alias("__n"), *[F.sum(c).alias(name) for name, c in carry.items()]
-    )
-    known = F.col("__v").isNotNull() & (F.col("__n") > 0)
-    code = F.when(known, F.signum("__v") * F.log1p(F.abs(F.col("__v"))))
-    groups = counts.groupBy(*by).agg(
-        F.min(code).alias("__low"),
-        F.max(code).alias("__high"),
-        F.count(code).alias("__rows"),
-        F.sum(F.when(known, F.col("__n"))).alias("__total"),
-        *[F.sum(name).alias(name) for name in carry],
-    )
-    span = groups.select(*by, "__low", "__high", "__total", _bins_for(F.col("__rows"), bins, rows_per_bin).alias("__k"))
-    binned = null_safe_join(counts.where(known).select(*by, "__v", "__n"), span, by).select(
-        *by,
-        "__v",
-        "__n",
-        "__total",
-        _bin_index(
-            F.signum("__v") * F.log1p(F.abs(F.col("__v"))), F.col("__low"), F.col("__high"), F.col("__k")
-        ).alias("__bin"),
-    )
+    rows = source.select("*", number.alias("__v")).withColumn("__bin", _log_bin(F.col("__v"), bins_per_unit))
+    amount = (F.col(weight) if weight else F.lit(1)).cast("double")
 
+    per_bin = rows.groupBy(*by, "__bin").agg(
+        F.sum(F.when(known, amount)).alias("__size"), *[F.sum(c).alias(name) for name, c in carry.items()]
+    )
     ordered = Window.partitionBy(*by).orderBy("__bin")
-    per_bin = (
-        binned.groupBy(*by, "__bin")
-        .agg(F.sum("__n").alias("__size"), F.max("__total").alias("__total"))
-        .withColumn("__before", F.sum("__size").over(ordered) - F.col("__size"))
+    whole = Window.partitionBy(*by)
+    counted = per_bin.withColumns(
+        {
+            "__before": F.sum("__size").over(ordered) - F.col("__size"),
+            "__total": F.sum("__size").over(whole),
+        }
     )
     rank = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
 
     def holds(position: Column, start: Column, size: Column) -> Column:
         return (position >= start) & (position < start + size)
 
-    wanted = None
+    wanted = F.lit(False)
     for position in rank.values():
         for end in (F.floor(position), F.ceil(position)):
-            hit = holds(end, F.col("__before"), F.col("__size"))
-            wanted = hit if wanted is None else wanted | hit
-    targets = per_bin.where(wanted).select(*by, "__bin", "__before")
+            wanted = wanted | holds(end, F.col("__before"), F.col("__size"))
+    # at most two bins per percentile
+    targets = F.map_from_entries(F.collect_list(F.when(wanted, F.struct("__bin", "__before"))))
+    groups = counted.groupBy(*by).agg(
+        F.max("__total").alias("__total"),
+        targets.alias("__targets"),
+        *[F.sum(name).alias(name) for name in carry],
+    )
 
+    kept = null_safe_join(
+        rows.select(*by, "__v", "__bin", amount.alias("__n")),
+        F.broadcast(groups) if bounded_groups else groups,
+        by,
+    ).withColumn("__before", F.try_element_at("__targets", F.col("__bin")))
+    # rows without a value only keep their group in the result
+    collapsed = (
+        kept.where(F.col("__before").isNotNull() | ~known)
+        .groupBy(*by, "__bin", "__v")
+        .agg(
+            F.sum("__n").alias("__n"),
+            *[F.first(c).alias(c) for c in ("__before", "__total", *carry)],
+        )
+        .where(~known | (F.col("__n") > 0))
+    )
     inside = Window.partitionBy(*by, "__bin").orderBy("__v")
-    placed = null_safe_join(binned, targets, [*by, "__bin"]).withColumn(
-        "__start", F.col("__before") + F.sum("__n").over(inside) - F.col("__n")
+    placed = collapsed.withColumn(
+        "__start", F.when(known, F.col("__before") + F.sum("__n").over(inside) - F.col("__n"))
     )
 
     def value_at(position: Column) -> Column:
@@ -114,13 +131,14 @@ def exact_percentiles(
     for name, position in rank.items():
         pieces.append(value_at(F.floor(position)).alias(f"__lo_{name}"))
         pieces.append(value_at(F.ceil(position)).alias(f"__hi_{name}"))
-    found = placed.groupBy(*by).agg(F.max("__total").alias("__total"), *pieces)
+    found = placed.groupBy(*by).agg(
+        F.max("__total").alias("__total"), *pieces, *[F.first(name).alias(name) for name in carry]
+    )
     out = []
     for name, position in rank.items():
         low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    result = found.select(*by, *out)
-    return null_safe_join(groups.select(*by, *carry), result, by, "left") if carry else result
+    return found.select(*by, *carry, *out)
 
 
 def replicate_medians(

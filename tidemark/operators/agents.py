@@ -152,7 +152,10 @@ def agent_daily_kpis(runs: DataFrame, per_trace: DataFrame) -> DataFrame:
         "__failed": _ones(F.col("had_failed_span")),
         **_carried(list(means)),
     }
-    stats = exact_percentiles(joined, ["run_date"], "total_latency_ms", DAY_PERCENTILES, carry=sums)
+    # one group per calendar day
+    stats = exact_percentiles(
+        joined, ["run_date"], "total_latency_ms", DAY_PERCENTILES, carry=sums, bounded_groups=True
+    )
     return stats.select(
         "run_date",
         "total_runs",

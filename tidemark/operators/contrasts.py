@@ -57,9 +57,9 @@ def ocr_latency(events: DataFrame, version: str = "2.3.0") -> DataFrame:
     ocr = events.where(F.col("event_name").isin("ocr_started", "ocr_completed")).select(
         (F.col("app_version") == version).alias("hit"), "latency_ms"
     )
-    p95 = exact_percentiles(ocr, ["hit"], "latency_ms", {"p95": 0.95})
-    sizes = ocr.groupBy("hit").agg(count_rows("n"))
-    both = p95.join(sizes, "hit")
+    both = exact_percentiles(
+        ocr, ["hit"], "latency_ms", {"p95": 0.95}, carry={"n": F.lit(1)}, bounded_groups=True
+    )
     side = lambda c, hit: F.max(F.when(F.col("hit") == hit, F.col(c)))
     sides = both.agg(
         side("p95", False).alias("baseline_value"),

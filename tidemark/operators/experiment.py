@@ -260,7 +260,9 @@ def experiment_guardrails(
             "agent_error_rate",
         )
     run_rows = runs.select("user_id", "total_latency_ms").join(users, "user_id")
-    p95 = exact_percentiles(run_rows, ["experiment_group"], "total_latency_ms", {"p95_latency_ms": 0.95})
+    p95 = exact_percentiles(
+        run_rows, ["experiment_group"], "total_latency_ms", {"p95_latency_ms": 0.95}, bounded_groups=True
+    )
     return null_safe_join(out, p95, ["experiment_group"], "left").select(
         "experiment_group",
         "user_count",
