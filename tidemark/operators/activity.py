@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from tidemark.functions.exprs import (
     flag,
     pct,
     ratio,
+    running_rows,
     stable_round,
     trailing_rows,
     week_start,
@@ -22,44 +23,61 @@ from tidemark.functions.exprs import (
 from tidemark.functions.order_stats import positions_within
 
 
-def trailing_distinct(user_days: DataFrame, days: int, out: str) -> DataFrame:
-    """Distinct users seen in the ``days`` days ending at each date, without a range join.
+def trailing_distinct(user_days: DataFrame, windows: Mapping[str, int], day_count: str = "dau") -> DataFrame:
+    """Per date: users that day, and distinct users in the n days ending that day for each window.
 
-    Input: distinct (user_id, event_date). A user covers the dates [d, d + days) after each active
+    Input: distinct (user_id, event_date). A user covers the dates [d, d + n) after each active
     day, cut short by the next active day. Each piece adds +1 where it starts and -1 where it
-    ends, and a running sum over the calendar gives the answer. Work is linear in user-days.
+    ends, and a running sum over the calendar gives the answer. All windows share one pass; work
+    is linear in user-days and the calendar is the only thing ordered globally.
     """
     per_user = Window.partitionBy("user_id").orderBy("event_date")
-    until = F.date_add("event_date", days)
     following = F.lead("event_date").over(per_user)
-    edges = user_days.select(
-        "event_date", F.least(until, F.coalesce(following, until)).alias("ends")
-    ).select(
-        F.explode(
-            F.array(
-                F.struct(F.col("event_date").alias("at"), F.lit(1).alias("change")),
-                F.struct(F.col("ends").alias("at"), F.lit(-1).alias("change")),
-            )
-        ).alias("e")
+    known = F.when(F.col("user_id").isNotNull(), 1).otherwise(0)
+    spans = user_days.select("event_date", following.alias("next_date"), known.alias("n"))
+
+    def edge(at: Column, starts: bool, closing: str | None = None) -> Column:
+        changes = [
+            (F.col("n") if starts else (-F.col("n") if name == closing else F.lit(0))).alias(name)
+            for name in windows
+        ]
+        return F.struct(
+            at.alias("at"),
+            F.lit(1 if starts else 0).alias("is_day"),
+            (F.col("n") if starts else F.lit(0)).alias(day_count),
+            *changes,
+        )
+
+    edges = [edge(F.col("event_date"), True)]
+    for name, days in windows.items():
+        until = F.date_add("event_date", days)
+        edges.append(edge(F.least(until, F.coalesce(F.col("next_date"), until)), False, name))
+    daily = (
+        spans.select(F.explode(F.array(*edges)).alias("e"))
+        .groupBy(F.col("e.at").alias("event_date"))
+        .agg(
+            F.sum("e.is_day").alias("is_day"),
+            *[F.sum(f"e.{c}").alias(c) for c in (day_count, *windows)],
+        )
     )
-    daily = edges.groupBy(F.col("e.at").alias("event_date")).agg(F.sum("e.change").alias("change"))
-    running = Window.orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select("event_date", F.sum("change").over(running).alias(out))
+    running = running_rows("event_date")
+    summed = daily.select(
+        "event_date", "is_day", day_count, *[F.sum(name).over(running).alias(name) for name in windows]
+    )
+    return summed.where(F.col("is_day") > 0).drop("is_day")
 
 
 def rolling_active_users(events: DataFrame, week: int = 7, month: int = 30) -> DataFrame:
     """Per date: DAU, row-frame averages and true trailing distinct users."""
     user_days = events.select("user_id", "event_date").distinct()
-    dau = user_days.groupBy("event_date").agg(F.count("user_id").alias("dau"))
-    averaged = dau.select(
+    daily = trailing_distinct(user_days, {"wau_distinct": week, "mau_distinct": month})
+    return daily.select(
         "event_date",
         "dau",
         (F.sum("dau").over(trailing_rows("event_date", week)) / F.lit(float(week))).alias("wau_avg_daily"),
         (F.sum("dau").over(trailing_rows("event_date", month)) / F.lit(float(month))).alias("mau_avg_daily"),
-    )
-    known = user_days.where(F.col("user_id").isNotNull())
-    return averaged.join(trailing_distinct(known, week, "wau_distinct"), "event_date", "left").join(
-        trailing_distinct(known, month, "mau_distinct"), "event_date", "left"
+        "wau_distinct",
+        "mau_distinct",
     )
 
 

@@ -14,19 +14,19 @@ from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critic
 # ---- assignments -------------------------------------------------------------------------------
 
 
-def _multi_group(assignments: DataFrame) -> DataFrame:
-    """Users seen in more than one group, from distinct (user, group) pairs."""
-    pairs = assignments.select("user_id", "experiment_group").distinct()
-    return pairs.groupBy("user_id").agg(F.count("experiment_group").alias("group_count")).where(
-        F.col("group_count") > 1
-    )
-
-
 def contaminated_ids(assignments: DataFrame) -> DataFrame:
-    """Users in several groups through unflagged rows, plus users with a flagged row."""
+    """Users in several groups through unflagged rows, plus users with a flagged row.
+
+    A user is in several groups exactly when the smallest and the largest label differ, so one
+    combining aggregate answers both questions.
+    """
     flagged = F.col("is_intentional_contamination")
-    several = _multi_group(assignments.where(~flagged)).select("user_id")
-    return several.union(assignments.where(flagged).select("user_id")).distinct()
+    regular = F.when(~flagged, F.col("experiment_group"))
+    per_user = assignments.groupBy("user_id").agg(
+        F.max(flagged).alias("flagged"), F.min(regular).alias("lowest"), F.max(regular).alias("highest")
+    )
+    several = F.coalesce(F.col("lowest") < F.col("highest"), F.lit(False))
+    return per_user.where(F.col("flagged") | several).select("user_id")
 
 
 def clean_assignments(assignments: DataFrame) -> DataFrame:
