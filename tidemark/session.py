@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -30,14 +32,33 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per context: they need not share the driver's path."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return spark
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # else it already came in an archive
+        archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(archive)
+    context._tidemark_shipped = True
+    return spark
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Put the runtime defaults on a session somebody else created."""
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
-    return spark
+    return ship_package(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
