@@ -40,6 +40,7 @@ def texts(rng):
     out += [b + " tail" for b in base[6:12]]
     out += ["\n".join([sentence(rng, 5), *lines[:4], "", lines[4], sentence(rng, 4)]) for _ in range(3)]
     out += ["\n".join([lines[0], lines[1], lines[0], lines[1], lines[0]]), "\n\n\n", "", "   ", "é" * 150 + passage, None, None]
+    out += ["mail a.b@c.de or +49 (30) 555-1234, 10.0.0.255, 4111 1111 1111 1111.", "x@y.z 1.2.3.4 1.2.3.4"]
     out += ["ab" * 400, "x", "0 1 2 3", "Ünïcödé ☃ " * 40]
     out.append(" ".join(sentence(rng, 50) + "\n" + lines[2] + "\n" + lines[3] for _ in range(60)))
     return out
@@ -304,7 +305,7 @@ def test_ids_are_the_tokenizer_s(rows):
 
     path = packing._tokenizer_path(packing.TOKENIZER)
     whole = Tokenizer.from_file(path)
-    odd = ["á b", "<|endoftext|> x<|endoftext|>y", "don't I'll  we've", "é　 z q", "\x1c\x1d\x85t", "½ ﬁ Ⅳ"]
+    odd = ["á b", "<|endoftext|> x<|endoftext|>y", "don't I'll  we've", "é　 z q", "\x1c\x1d\x85t", "½ ﬁ Ⅳ", "a\x0bb\x0cc\td\r\ne\u2028f\u3000g\x1fh"]
     every = [r["text"] or "" for r in rows] + odd
     for text, ids in zip(every, packing.WordIds(path, most=50).batch(every), strict=True):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids

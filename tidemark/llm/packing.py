@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -21,7 +20,7 @@ TOKENIZER = "word_bpe_49k.json"
 PACKED_TOGETHER = 40_000
 # Exchanges between partitions that are not certified yet.
 MAX_EXCHANGES = 4
-# Words whose ids a worker remembers; the least recently used go first.
+# Words whose ids a worker remembers; the oldest go first.
 REMEMBERED_WORDS = 200_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -37,7 +36,7 @@ def _tokenizer_path(name: str) -> str:
 
 
 class WordIds:
-    """Token ids of texts. Words are tokenized once and remembered; white space only separates them.
+    """Token ids of texts. Words are tokenized once and remembered; ASCII white space only separates them.
 
     A tokenizer qualifies if ids do not depend on the neighbouring words, which holds for vocabularies
     with word ends that drop white space; the tests compare with whole texts.
@@ -47,16 +46,17 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: OrderedDict[str, tuple[int, ...]] = OrderedDict()
+        self.known: dict[bytes, tuple[int, ...]] = {}
         self.most = most
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        split = [x.split() for x in texts]
+        split = [x.encode("utf-8", "surrogatepass").split() for x in texts]
         known = self.known
         new = list({w for words in split for w in words if w not in known})
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            for word, made in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for word, made in zip(
+                part, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
                 known[word] = tuple(made.ids)
         out = []
         for words in split:

@@ -228,6 +228,10 @@ def score_graph(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> Da
     return found
 
 
+def _count_kind(number: int):
+    return F.size(F.filter("base", lambda x: x["k"] == number)).cast("long")
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found.
 
@@ -266,7 +270,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     listed = F.transform(
         F.array_sort(F.concat("base", "more")),
         lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string")))
-    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    counts = [_count_kind(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     out = joined.select(
         F.col("key").alias("doc_id"), *counts, "base_sha256", F.array_join(listed, ",").alias("spans"), F.size("more").cast("long").alias("n_found"))
     return doc_of(out, "doc_id")

@@ -61,7 +61,7 @@ def _fingerprints(width: int, seed: int):
 
 
 def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= most
+    return np.bitwise_count((a ^ b).view(np.uint64)) <= most  # of a signed number, it would count the absolute value's bits
 
 
 def _forest(fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
