@@ -276,6 +276,15 @@ def test_suffix_array(symbols, times):
     assert suffix_dedup.suffix_array(data).tolist() == sorted(range(len(data)), key=lambda i: data[i:].tolist())
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=60), st.integers(1, 3), st.integers(0, 2**32 - 1))
+def test_suffix_array_of_wanted_suffixes(symbols, times, seed):
+    data = np.array(symbols * times)
+    wanted = np.random.default_rng(seed).random(len(data)) < 0.4
+    got = [i for i in suffix_dedup.suffix_array(data, None, wanted).tolist() if wanted[i]]
+    assert got == sorted(np.flatnonzero(wanted).tolist(), key=lambda i: data[i:].tolist())
+
+
 @pytest.mark.parametrize("together", [3000, 0])
 def test_repeated_bytes(docs, rows, together):
     raws = [(r["text"] or "").encode() for r in rows]

@@ -15,8 +15,8 @@ from tidemark.llm.common import keep, prepare, shuffle_partitions, with_row_key
 LENGTH = 200
 # An anchor is the smallest-hashed gram of this many bytes in a window of LENGTH bytes. A power of 2.
 GRAM = 32
-# Fragments of one gram that are sorted in one suffix array; beyond, windows are counted by digest.
-SORTED_TOGETHER = 3000
+# Fragments of one core that are sorted in one suffix array; beyond, windows are counted by digest.
+SORTED_TOGETHER = 6000
 # Bytes that a suffix array takes in at once, and that the anchor search looks at in one step.
 SORTED_BYTES = 1 << 20
 SCANNED_BYTES = 1 << 20
@@ -86,28 +86,57 @@ def _row_hashes(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def _anchor_rows(length: int, gram: int):
-    """(gram, context, key, at) of every anchor; the context is what all windows around it can reach."""
+def _raw_texts(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, bytes]]:
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        if len(raw) >= length:
+            yield key, raw
+
+
+def _gram_rows(length: int, gram: int):
+    """The gram of every anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [anchors(np.frombuffer(raw, np.uint8), length, gram)[1] for _, raw in _raw_texts(batch, length)]
+            if grams:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["gram"])
+
+    return run
+
+
+def _fragment_rows(length: int, gram: int):
+    """The two fragments of every anchor: (gram, core, whole, key, begin, size), twice side by side.
+
+    Half of the windows around an anchor start so far left of it that they hold its left core, the
+    others hold its right core; a fragment is what the windows with one core can reach.
+    """
     import xxhash
 
+    half, reach = (length - gram) // 2, length - gram
+    sides = ((reach, half, 0), (half, 0, 1))  # starts of windows, from and to, left of the anchor
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = length - gram
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                if len(raw) < length:
-                    continue
+            rows: list[tuple] = []
+            grams_of: list[np.ndarray] = []
+            for key, raw in _raw_texts(batch, length):
                 at, grams = anchors(np.frombuffer(raw, np.uint8), length, gram)
-                digest = xxhash.xxh3_64_intdigest
-                context = np.fromiter(
-                    (digest(raw[max(0, p - reach) : p + length], min(p, reach)) for p in at.tolist()), np.uint64, len(at))
-                for column, values in zip(columns, (grams.view(np.int64), context.view(np.int64), np.full(len(at), key), at), strict=True):
-                    column.append(values)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), pa.int64()) for c in columns[:3]] + [pa.array(np.concatenate(columns[3]), pa.int32())],
-                    names=["gram", "context", "key", "at"])
+                grams_of.append(np.repeat(grams.view(np.int64), 2))
+                for p in at.tolist():
+                    for first, last, side in sides:
+                        begin, end = max(0, p - first), min(len(raw), p - last + length)
+                        core = raw[max(0, p - last) : p - first + length]
+                        # the seed tells sides and clipped starts apart
+                        rows.append((digest(core, side), digest(raw[begin:end], p - begin), key, begin, end - begin))
+            if rows:
+                core, whole, key, begin, size = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(grams_of)), pa.array(np.array(core, np.uint64).view(np.int64)),
+                    pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(key, pa.int64()),
+                    pa.array(begin, pa.int32()), pa.array(size, pa.int32()),
+                ], names=["gram", "core", "whole", "key", "begin", "size"])
 
     return run
 
@@ -115,34 +144,43 @@ def _anchor_rows(length: int, gram: int):
 # ---------------------------------------------------------------- suffix array by two-stage sorting
 
 
-def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Suffix array of integers from 0 to 510, by two-stage sorting.
+def suffix_array(data: np.ndarray, depth: int | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Suffix array of small integers, at most 2 ** 22 of them, by two-stage sorting.
 
     Suffixes that are smaller than their successors (type S) are sorted directly, by doubling of ranks
     among themselves; the others are induced: a scan through the buckets from the smallest suffix on
     puts the predecessor of each suffix found, if it is of the other type, at the front of its bucket.
     The scan takes whole runs of equal first symbols at a time. With ``depth``, suffixes that agree
-    in so many symbols may stand in any order.
+    in so many symbols may stand in any order. With ``wanted`` (marks), only marked suffixes and those
+    that induce them are sorted: from a marked one up to the next smaller suffix.
     """
     n = len(data)
     if n < 2:
         return np.arange(n)
-    data = data.astype(np.int64)
+    # symbols as small numbers, in their order
+    present = np.bincount(data) > 0
+    data = (np.cumsum(present) - 1)[data]
+    kinds = int(present.sum())
     # type S: smaller than its successor; the last suffix is larger than the empty one
     step = np.sign(np.diff(data))
-    change = np.flatnonzero(step)
-    following = np.searchsorted(change, np.arange(n - 1))
-    smaller = np.zeros(n, bool)
-    inside = following < len(change)
-    smaller[: n - 1][inside] = step[change[following[inside]]] > 0
-    small = _sort_directly(data, np.flatnonzero(smaller), n if depth is None else depth)
+    change = np.where(step != 0, np.arange(n - 1), n - 1)
+    following = np.minimum.accumulate(change[::-1])[::-1]  # the next place where the symbol changes
+    smaller = np.append(np.append(step, -1)[following] > 0, False)
+    if wanted is None:
+        needed = np.ones(n, bool)
+    else:
+        # a position is needed if a wanted one stands at or before it, after the last smaller suffix before it
+        run = np.concatenate([[0], np.cumsum(smaller)[:-1]])
+        last_wanted = np.maximum.accumulate(np.where(wanted, np.arange(n), -1))
+        needed = (last_wanted >= 0) & (run == run[last_wanted])
+    small = _sort_directly(data, np.flatnonzero(smaller & needed), n if depth is None else depth, kinds)
     # buckets: larger suffixes stand before smaller ones of the same symbol
-    symbols, counts = np.unique(data, return_counts=True)
-    bucket = np.searchsorted(symbols, data)
+    bucket = data
+    counts = np.bincount(bucket[needed], minlength=kinds)
     begin = np.concatenate([[0], np.cumsum(counts)])
-    out = np.full(n, -1, np.int64)
+    out = np.full(begin[-1], -1, np.int64)
     small_bucket = bucket[small]
-    small_counts = np.bincount(small_bucket, minlength=len(symbols))
+    small_counts = np.bincount(small_bucket, minlength=kinds)
     at = begin[1:] - small_counts
     out[np.repeat(at, small_counts) + np.arange(len(small)) - np.repeat(np.cumsum(small_counts) - small_counts, small_counts)] = small
     front = begin[:-1].copy()
@@ -159,10 +197,11 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
 
     def met(part: np.ndarray) -> np.ndarray:
         before = part[part > 0] - 1
-        return before[~smaller[before]]
+        return before[~smaller[before] & needed[before]]
 
-    put(np.array([n - 1]))  # the successor of the last suffix is the empty one
-    for c in range(len(symbols)):
+    if needed[n - 1]:
+        put(np.array([n - 1]))  # the successor of the last suffix is the empty one
+    for c in range(kinds):
         done = begin[c]
         while done < front[c]:  # larger suffixes of this bucket may induce more of it
             part = out[done : front[c]]
@@ -176,17 +215,18 @@ def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
     return out
 
 
-def _sort_directly(data: np.ndarray, chosen: np.ndarray, enough: int) -> np.ndarray:
-    """The chosen suffixes in order, by comparing seven symbols at a time until all differ."""
+def _sort_directly(data: np.ndarray, chosen: np.ndarray, enough: int, kinds: int) -> np.ndarray:
+    """The chosen suffixes in order, by comparing a word of symbols at a time until all differ."""
     if len(chosen) < 2:
         return chosen
     n = len(data)
-    width, bits = 7, 9
+    bits = kinds.bit_length()
+    width = max(1, 40 // bits)
     padded = np.concatenate([data + 1, np.zeros(width, np.int64)])
     word = np.zeros(n + 1, np.int64)
     for k in range(width):
         word[:n] = word[:n] << bits | padded[k : k + n]
-    order = chosen[np.argsort(word[chosen], kind="stable")]
+    order = chosen[np.argsort(word[chosen])]
     first = word[order]
     fresh = np.concatenate([[True], first[1:] != first[:-1]])
     depth = width
@@ -196,14 +236,12 @@ def _sort_directly(data: np.ndarray, chosen: np.ndarray, enough: int) -> np.ndar
         if not len(places):
             break
         members = order[places]
-        own = np.cumsum(fresh[places])
-        following = word[np.minimum(members + depth, n)]
-        again = np.lexsort((following, own))
+        own = np.cumsum(fresh[places])  # fits into the bits that a word leaves free
+        key = own << (bits * width) | word[np.minimum(members + depth, n)]
+        again = np.argsort(key)
         order[places] = members[again]
-        following, own = following[again], own[again]
-        differs = np.ones(len(places), bool)
-        differs[1:] = (own[1:] != own[:-1]) | (following[1:] != following[:-1])
-        fresh[places] = differs
+        key = key[again]
+        fresh[places] = np.concatenate([[True], key[1:] != key[:-1]])
         depth += width
     return order
 
@@ -227,12 +265,12 @@ def repeated_windows(fragments: list[bytes], keys: np.ndarray, begins: np.ndarra
     sizes = np.fromiter(map(len, fragments), np.int64, len(fragments))
     raw = np.frombuffer(b"\0".join(fragments) + b"\0" * 8, np.uint8)
     at = np.cumsum(sizes + 1) - sizes - 1
-    data = raw[: len(raw) - 8].astype(np.int64) + 1
+    data = raw[: len(raw) - 8].astype(np.int32) + 1
     data[at[1:] - 1] = 0  # what separates two fragments is smaller than any byte
     owner = np.repeat(np.arange(len(sizes)), sizes + 1)[: len(data)]
     inside = np.arange(len(data)) - at[owner]
     valid = inside + length <= sizes[owner]
-    suffixes = suffix_array(data, length)
+    suffixes = suffix_array(data, length, valid)
     suffixes = suffixes[valid[suffixes]]
     same = shares_prefix(raw, suffixes, length)
     if not same.any():
@@ -259,29 +297,27 @@ def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- the Spark side
 
 
-def _fragments(length: int, gram: int, together: int):
-    """The bytes around each wanted anchor."""
+def _fragments(together: int):
+    """The bytes of each wanted fragment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = length - gram
-        names = ["gram", "key", "begin", "twice", "crowded", "bytes"]
+        names = ["core", "key", "begin", "twice", "crowded", "bytes"]
         for batch in batches:
             for key, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 wanted = wanted.as_py()
-                begins = [max(0, w["at"] - reach) for w in wanted]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([w["gram"] for w in wanted], pa.int64()), pa.array([key] * len(wanted), pa.int64()),
-                    pa.array(begins, pa.int64()), pa.array([w["n"] > 1 for w in wanted]),
-                    pa.array([w["contexts"] > together for w in wanted]),
-                    pa.array([raw[b : w["at"] + length] for b, w in zip(begins, wanted, strict=True)], pa.binary()),
+                    pa.array([w["core"] for w in wanted], pa.int64()), pa.array([key] * len(wanted), pa.int64()),
+                    pa.array([w["begin"] for w in wanted], pa.int64()), pa.array([w["n"] > 1 for w in wanted]),
+                    pa.array([w["others"] > together for w in wanted]),
+                    pa.array([raw[w["begin"] : w["begin"] + w["size"]] for w in wanted], pa.binary()),
                 ], names=names)
 
     return run
 
 
 def _sorted_spans(length: int):
-    """Spans to remove, from suffix arrays over the fragments of whole grams."""
+    """Spans to remove, from suffix arrays over the fragments of whole cores."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch | None:
         keys = np.array([r[1] for r in rows], np.int64)
@@ -320,7 +356,7 @@ def _sorted_spans(length: int):
 
 
 def _window_digests(length: int):
-    """Digest, place and multiplicity of every window of the fragments of crowded grams."""
+    """Digest, place and multiplicity of every window of the fragments of crowded cores."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,12 +419,13 @@ def suffix_dedup(
     Every byte in a ``length``-byte string that also starts elsewhere is removed, the first copy too.
 
     1. Each window has one anchor. Equal windows have equal anchors, so only anchors whose gram occurs
-       twice matter, and all windows around an anchor lie in its fragment of fewer than 2 * length bytes.
+       twice matter. The windows around an anchor hold either its left or its right core, some 116
+       bytes, and lie in the fragment of that core, some 284 bytes.
     2. Fragments that are equal as a whole need no sorting: where one occurs twice, it is removed.
-       One copy of each different fragment goes to the task of its gram.
+       One copy of each different fragment goes to the task of its core.
     3. There, a suffix array over the fragments, by two-stage sorting, and the common prefixes of
-       neighbours show the windows that repeat. A gram with more than ``together``
-       different fragments is spread out instead: its windows are counted by 128-bit digest.
+       neighbours show the windows that repeat. A core with more than ``together`` different fragments
+       is spread out instead: its windows are counted by 128-bit digest.
 
     Null text counts as empty; texts shorter than ``length`` lose nothing; repeated rows are copies of
     each other; null and repeated identifiers are allowed; an empty table gives an empty result;
@@ -398,22 +435,25 @@ def suffix_dedup(
     n = shuffle_partitions(spark)
     rows, doc_of = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     rows = rows.select("key", "text")
-    found = rows.mapInArrow(_anchor_rows(length, GRAM), "gram long, context long, key long, at int")
-    shared = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    found = keep(found.join(shared, "gram", "left_semi"))
-    classes = found.groupBy("gram", "context").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("at").alias("at"))
+    grams = rows.mapInArrow(_gram_rows(length, GRAM), "gram long")
+    shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    found = rows.mapInArrow(_fragment_rows(length, GRAM), "gram long, core long, whole long, key long, begin int, size int")
+    found = found.where(F.col("size") >= length).join(shared, "gram", "left_semi").drop("gram")
+    found = keep(found)
+    classes = found.groupBy("core", "whole").agg(
+        F.count("*").alias("n"), F.first("key").alias("key"), F.first("begin").alias("begin"), F.first("size").alias("size"))
     classes = keep(classes)
-    copied = found.join(classes.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi").select(
-        "key", F.greatest(F.col("at") - (length - GRAM), F.lit(0)).cast("long").alias("from"), (F.col("at") + length).cast("long").alias("to"))
-    various = classes.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    wanted = classes.join(various, "gram").groupBy("key").agg(F.collect_list(F.struct("gram", "at", "n", "contexts")).alias("wanted"))
-    # both joins with the texts ask for the same exchange, which Spark then makes once
+    copied = found.join(classes.where("n > 1").select("core", "whole"), ["core", "whole"], "left_semi").select(
+        "key", F.col("begin").cast("long").alias("from"), (F.col("begin") + F.col("size")).cast("long").alias("to"))
+    various = classes.groupBy("core").agg(F.count("*").alias("others")).where("others > 1")
+    wanted = classes.join(various, "core").groupBy("key").agg(F.collect_list(F.struct("core", "begin", "size", "n", "others")).alias("wanted"))
+    # both joins with the texts ask for the same exchange
     texts = rows.where("key is not null").repartition(n, "key")
     fragments = texts.join(wanted, "key").select("key", "text", "wanted").mapInArrow(
-        _fragments(length, GRAM, together), "gram long, key long, begin long, twice boolean, crowded boolean, bytes binary")
+        _fragments(together), "core long, key long, begin long, twice boolean, crowded boolean, bytes binary")
     fragments = keep(fragments)
-    dealt = fragments.where("not crowded").select("gram", "key", "begin", "twice", "bytes")
-    dealt = dealt.repartition(n, "gram").sortWithinPartitions("gram")
+    dealt = fragments.where("not crowded").select("core", "key", "begin", "twice", "bytes")
+    dealt = dealt.repartition(n, "core").sortWithinPartitions("core")
     spans = "key long, from long, to long"
     sorted_spans = dealt.mapInArrow(_sorted_spans(length), spans)
     windows = fragments.where("crowded").select("key", "begin", "twice", "bytes").mapInArrow(
