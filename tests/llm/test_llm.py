@@ -285,6 +285,19 @@ def test_suffix_array_of_wanted_suffixes(symbols, times, seed):
     assert got == sorted(np.flatnonzero(wanted).tolist(), key=lambda i: data[i:].tolist())
 
 
+def test_anchors_side_by_side(monkeypatch):
+    rng = random.Random(12)
+    raws = [sentence(rng, rng.randint(40, 400)).encode() for _ in range(40)] + [b"ab" * 300, b"x" * 200]
+    for step in (1 << 20, 700):
+        monkeypatch.setattr(suffix_dedup, "SCANNED_BYTES", step)
+        for raw, (at, grams) in zip(raws, suffix_dedup.anchors_of_many(raws), strict=True):
+            data = np.frombuffer(raw, np.uint8)
+            h = suffix_dedup._gram_hashes(data) >> np.uint64(24)
+            want = sorted({p + int(h[p : p + 169].argmin()) for p in range(len(raw) - 199)})
+            assert at.tolist() == want
+            assert grams.tolist() == suffix_dedup._grams_at(data, np.array(want), 32).tolist()
+
+
 @pytest.mark.parametrize("together", [3000, 0])
 def test_repeated_bytes(docs, rows, together):
     raws = [(r["text"] or "").encode() for r in rows]

@@ -43,35 +43,68 @@ def _gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return h
 
 
+def _window_minima(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window, where its anchor is, and whether that differs from the window before."""
+    h = _gram_hashes(data, gram)
+    key = (h >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(h), dtype=np.uint64)
+    width, window = 1, length - gram + 1
+    while width * 2 <= window:
+        key = np.minimum(key[:-width], key[width:])
+        width *= 2
+    rest = window - width
+    if rest:
+        key = np.minimum(key[:-rest], key[rest:])
+    positions = (key & np.uint64((1 << 24) - 1)).astype(np.int64)
+    fresh = np.ones(len(positions), bool)
+    fresh[1:] = positions[1:] != positions[:-1]
+    return positions, fresh
+
+
+def _grams_at(data: np.ndarray, positions: np.ndarray, gram: int) -> np.ndarray:
+    if not len(positions):
+        return np.empty(0, np.uint64)
+    grams = np.lib.stride_tricks.sliding_window_view(data, gram)[positions]
+    return _row_hashes(np.ascontiguousarray(grams).view(np.uint64).reshape(len(positions), gram // 8))
+
+
 def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of one text: the leftmost smallest gram of each window.
 
     Equal windows choose the same gram at the same place, wherever they stand.
     """
     found: list[np.ndarray] = []
-    step = SCANNED_BYTES
-    for at in range(0, max(0, len(data) - length + 1), step):
-        part = data[at : at + step + length - 1]
-        h = _gram_hashes(part, gram)
-        key = (h >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(h), dtype=np.uint64)
-        width, window = 1, length - gram + 1
-        while width * 2 <= window:
-            key = np.minimum(key[:-width], key[width:])
-            width *= 2
-        rest = window - width
-        if rest:
-            key = np.minimum(key[:-rest], key[rest:])
-        positions = (key & np.uint64((1 << 24) - 1)).astype(np.int64)
-        changed = np.ones(len(positions), bool)
-        changed[1:] = positions[1:] != positions[:-1]
-        found.append(at + positions[changed])
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    positions = np.unique(np.concatenate(found))
-    grams = np.stack([data[p : p + gram] for p in positions]) if len(positions) < 64 else \
-        np.lib.stride_tricks.sliding_window_view(data, gram)[positions]
-    flat = np.ascontiguousarray(grams).view(np.uint64).reshape(len(positions), gram // 8)
-    return positions, _row_hashes(flat)
+    for at in range(0, max(0, len(data) - length + 1), SCANNED_BYTES):
+        positions, fresh = _window_minima(data[at : at + SCANNED_BYTES + length - 1], length, gram)
+        found.append(at + positions[fresh])
+    positions = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
+    return positions, _grams_at(data, positions, gram)
+
+
+def anchors_of_many(raws: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``anchors`` of each text; short texts are searched side by side, a window never spans two."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    at = 0
+    while at < len(raws):
+        end, size = at, 0
+        while end < len(raws) and (end == at or size + len(raws[end]) <= SCANNED_BYTES):
+            size += len(raws[end])
+            end += 1
+        if end - at == 1:
+            out.append(anchors(np.frombuffer(raws[at], np.uint8), length, gram))
+        else:
+            data = np.frombuffer(b"".join(raws[at:end]), np.uint8)
+            sizes = np.fromiter(map(len, raws[at:end]), np.int64, end - at)
+            begins = np.cumsum(sizes) - sizes
+            positions, fresh = _window_minima(data, length, gram)
+            # windows within one text only; the first of each text counts as new
+            fresh[begins[begins < len(fresh)]] = True
+            last = np.repeat(begins + sizes - length, sizes)[: len(fresh)]
+            chosen = np.unique(positions[fresh & (np.arange(len(fresh)) <= last)])
+            grams = _grams_at(data, chosen, gram)
+            cuts = np.searchsorted(chosen, np.append(begins, len(data)))
+            out += [(chosen[a:b] - begin, grams[a:b]) for a, b, begin in zip(cuts, cuts[1:], begins, strict=False)]
+        at = end
+    return out
 
 
 def _row_hashes(words: np.ndarray) -> np.ndarray:
@@ -98,7 +131,7 @@ def _gram_rows(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [anchors(np.frombuffer(raw, np.uint8), length, gram)[1] for _, raw in _raw_texts(batch, length)]
+            grams = [g for _, g in anchors_of_many([raw for _, raw in _raw_texts(batch, length)], length, gram)]
             if grams:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["gram"])
 
@@ -121,8 +154,9 @@ def _fragment_rows(length: int, gram: int):
         for batch in batches:
             rows: list[tuple] = []
             grams_of: list[np.ndarray] = []
-            for key, raw in _raw_texts(batch, length):
-                at, grams = anchors(np.frombuffer(raw, np.uint8), length, gram)
+            texts = list(_raw_texts(batch, length))
+            made = anchors_of_many([raw for _, raw in texts], length, gram)
+            for (key, raw), (at, grams) in zip(texts, made, strict=True):
                 grams_of.append(np.repeat(grams.view(np.int64), 2))
                 for p in at.tolist():
                     for first, last, side in sides:
