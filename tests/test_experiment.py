@@ -253,3 +253,27 @@ def test_balance(spark):
     status = rows(out, "dimension", "status")
     assert ("device_type", "balanced") in status and ("user_segment", "imbalanced") not in status
     assert rows(out.where("dimension = 'user_segment'"), "level", "a_share") == {("x", 0.0), ("y", 1.0)}
+
+
+def test_marts_count_users_not_assignments(spark):
+    from tidemark.operators import experiment
+
+    clean = spark.createDataFrame(
+        [("u1", "A", "x1", False), ("u1", "A", "x2", False), ("u2", "A", "x1", False)],
+        "user_id string, experiment_group string, experiment_id string, is_contaminated boolean",
+    )
+    metrics = spark.createDataFrame(
+        [("u1", "A", 2, 0.5, 1.0, 10.0, 3.0), ("u1", "A", 2, 0.5, 1.0, 10.0, 3.0), ("u2", "A", 1, 1.0, 1.0, 10.0, 1.0)],
+        "user_id string, experiment_group string, total_tasks int, export_rate double, avg_field_accuracy double, "
+        "avg_latency_ms double, total_cost_usd double",
+    )
+    users = spark.createDataFrame([("u1", "s", "c"), ("u2", "s", "c")], "user_id string, user_segment string, acquisition_channel string")
+    assert [r["user_count"] for r in experiment.ab_test_summary(metrics).collect()] == [2]
+    assert [r["user_count"] for r in experiment.ab_test_segment_effects(clean, users, metrics).collect()] == [2]
+    runs = spark.createDataFrame(
+        [("u1", "r1", "t1", 100.0, 2.0, None), ("u2", "r2", "t2", 400.0, 1.0, "e")],
+        "user_id string, run_id string, task_id string, total_latency_ms double, estimated_cost_usd double, error_type string",
+    )
+    flags = spark.createDataFrame([("u1", "t1", True, False), ("u2", "t2", True, True)], "user_id string, task_id string, did_upload boolean, did_export boolean")
+    made = experiment.experiment_guardrails(clean, runs, flags).collect()
+    assert [(r["user_count"], r["avg_latency_ms"], r["agent_error_rate"]) for r in made] == [(2, 250.0, 0.5)]

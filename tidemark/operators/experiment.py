@@ -135,7 +135,7 @@ def experiment_user_metrics(
 def ab_test_summary(user_metrics: DataFrame) -> DataFrame:
     """Per group: users, tasks, mean user metrics, cost and cost per task."""
     return user_metrics.groupBy("experiment_group").agg(
-        F.count("user_id").alias("user_count"),
+        F.count_distinct("user_id").alias("user_count"),
         F.sum("total_tasks").alias("total_tasks"),
         F.avg("export_rate").alias("avg_export_rate"),
         F.avg("avg_field_accuracy").alias("avg_field_accuracy"),
@@ -200,11 +200,11 @@ def ab_test_segment_effects(clean: DataFrame, users: DataFrame, user_metrics: Da
         .join(metrics, ["user_id", "experiment_group"], "left")
         .groupBy("user_segment", "acquisition_channel", "experiment_group")
         .agg(
-            F.count("user_id").alias("user_count"),
+            F.count_distinct("user_id").alias("user_count"),
             F.avg("export_rate").alias("avg_task_success_rate"),
             F.avg("avg_field_accuracy").alias("avg_field_accuracy"),
             F.avg("avg_latency_ms").alias("avg_agent_latency_ms"),
-            ratio(F.sum("total_cost_usd"), F.count("user_id")).alias("avg_cost_per_user"),
+            ratio(F.sum("total_cost_usd"), F.count_distinct("user_id")).alias("avg_cost_per_user"),
         )
     )
 
@@ -218,7 +218,8 @@ def experiment_guardrails(
     runs x tasks join per user, by weighting each user's sums with the other side's row count, so
     the joined rows are never built.
     """
-    users = clean.where(~F.col("is_contaminated")).select("user_id", "experiment_group")
+    # a user of a group counts once, in however many experiments
+    users = clean.where(~F.col("is_contaminated")).select("user_id", "experiment_group").distinct()
     per_user_runs = runs.groupBy("user_id").agg(
         count_rows("run_n"),
         F.sum("total_latency_ms").alias("lat"),
