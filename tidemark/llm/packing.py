@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -22,7 +23,7 @@ PACKED_TOGETHER = 40_000
 # Exchanges between partitions that are not certified yet.
 MAX_EXCHANGES = 4
 # Words whose ids a worker remembers; the oldest go first.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
 
 # A stop or comma that ends a word is no part of a longer run of punctuation.
 _STOP = re.compile(rb"[A-Za-z0-9][.,]$")
@@ -86,18 +87,30 @@ class WordIds:
             # names of special tokens are matched as they are written
             split.append((raw if b"<|" in raw else raw.lower()).split())
         known = self.known
-        if new := set().union(*split).difference(known):
+        found = [list(map(known.get, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(got) if ids is None] for got in found]
+        new = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
+        if new:
             self._learn(new)
-        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+        for words, got, places in zip(split, found, gaps, strict=True):
+            for i in places:
+                got[i] = known[words[i]]
+        out = [np.frombuffer(b"".join(got), "<u4") for got in found]
         if len(known) > self.most:  # the frequent words come back with the next batch
             for word in list(known)[: len(known) - self.most // 2]:
                 del known[word]
         return out
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One model per worker process: what a task has learned serves the next ones."""
+    return WordIds(path)
+
+
 def _pieces(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = WordIds(_tokenizer_path(tokenizer))
+        model = _word_ids(_tokenizer_path(tokenizer))
         for batch in batches:
             texts = batch.column(1)
             step = 100
