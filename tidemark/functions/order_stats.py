@@ -21,15 +21,20 @@ from tidemark.functions.exprs import null_safe_join
 
 # slices per unit of the natural logarithm in exact_percentiles: each spans under one percent
 BINS_PER_UNIT = 128
-# largest number of equal slices a group is cut into by positions_within
-DEFAULT_BINS = 1024
-# a group with fewer rows than this is sorted as one bin
+# slices per unit in replicate_medians, where each replicate has slices of its own
+REPLICATE_BINS_PER_UNIT = 16
+# a group has one slice per so many rows in positions_within
 ROWS_PER_BIN = 4096
 
 
 def _log_bin(value: Column, per_unit: int) -> Column:
-    """Slice of the signed logarithmic scale; never decreases when the value increases."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(float(per_unit))).cast("int")
+    """Slice of the signed logarithmic scale; never decreases when the value increases.
+
+    Slices have one relative width at every magnitude, cents and millions alike: the logarithm of the
+    smallest positive double is -744.4, so all shifted logarithms are positive.
+    """
+    size = (F.ln(F.abs(value)) + F.lit(746.0)) * F.lit(float(per_unit))
+    return F.when(value == 0, F.lit(0)).otherwise(F.floor(F.signum(value) * size).cast("int"))
 
 
 def _bin_index(code: Column, low: Column, high: Column, bins: Column) -> Column:
@@ -37,9 +42,10 @@ def _bin_index(code: Column, low: Column, high: Column, bins: Column) -> Column:
     return F.when(high > low, F.least(position, bins - 1)).otherwise(F.lit(0)).cast("int")
 
 
-def _bins_for(rows: Column, most: int, rows_per_bin: int) -> Column:
-    """Number of bins of a group: one per ``rows_per_bin`` rows, at most ``most``."""
-    return F.least(F.ceil(rows / F.lit(float(rows_per_bin))), F.lit(most))
+def _bins_for(rows: Column, most: int | None, rows_per_bin: int) -> Column:
+    """Number of bins of a group, in proportion to its rows; ``most`` is a ceiling where a caller wants one."""
+    wanted = F.ceil(rows / F.lit(float(rows_per_bin)))
+    return wanted if most is None else F.least(wanted, F.lit(most))
 
 
 def exact_percentiles(
@@ -142,30 +148,21 @@ def exact_percentiles(
 
 
 def replicate_medians(
-    values: DataFrame, replicates: DataFrame, by: Sequence[str], value: str, rep: str, weight: str, out: str,
-    bins: int = 256,
+    replicates: DataFrame, by: Sequence[str], value: str, rep: str, weight: str, out: str,
+    bins_per_unit: int = REPLICATE_BINS_PER_UNIT,
 ) -> DataFrame:
     """Weighted median per (group, replicate) without shuffling one row per value and replicate.
 
-    ``values`` holds each value once, ``replicates`` the same rows repeated per replicate with an
-    integer weight. The bins of a group are the same in every replicate, so the first pass combines
+    ``replicates`` holds each row once per replicate with an integer weight. A bin depends on the value
+    alone, so one outlier cannot crowd the others into one bin, and the first pass combines
     map-side to groups x replicates x bins counts. Only values inside a bin that holds a middle rank
-    are shuffled. The two broadcast frames have at most groups and 2 x groups x replicates rows.
+    are shuffled.
     """
     by = list(by)
     cell = [*by, rep]
-    known = values.where(F.col(value).isNotNull())
-    span = known.groupBy(*by).agg(
-        F.min(F.col(value).cast("double")).alias("__low"), F.max(F.col(value).cast("double")).alias("__high")
-    )
     number = F.col(value).cast("double")
-    binned = null_safe_join(
-        replicates.where(F.col(value).isNotNull() & (F.col(weight) > 0)), F.broadcast(span), by
-    ).select(
-        *cell,
-        number.alias("__v"),
-        F.col(weight).alias("__n"),
-        _bin_index(number, F.col("__low"), F.col("__high"), F.lit(bins)).alias("__bin"),
+    binned = replicates.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
+        *cell, number.alias("__v"), F.col(weight).alias("__n"), _log_bin(number, bins_per_unit).alias("__bin")
     )
     ordered = Window.partitionBy(*cell).orderBy("__bin")
     sizes = binned.groupBy(*cell, "__bin").agg(F.sum("__n").alias("__size"))
@@ -216,7 +213,7 @@ def positions_within(
     by: Sequence[str],
     order: str,
     out: str,
-    bins: int = DEFAULT_BINS,
+    bins: int | None = None,
     rows_per_bin: int = ROWS_PER_BIN,
 ) -> DataFrame:
     """Add ``row_number() over (partition by <by> order by <order>)`` as ``out``.

@@ -672,7 +672,6 @@ def _replicate_diffs(
         ).unpivot(["rep", "experiment_group"], list(metrics), "metric", "stat")
     else:
         per_group = replicate_medians(
-            compared.unpivot(["experiment_group"], list(metrics), "metric", "value"),
             weighted.unpivot(["rep", "experiment_group", "weight"], list(metrics), "metric", "value"),
             ["metric", "experiment_group"],
             "value",
