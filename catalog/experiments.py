@@ -13,7 +13,9 @@ from tidemark.operators import experiment as ex
 
 EXPERIMENT = "exp_autofill"
 MARGINS = {"avg_agent_latency_ms": 1.15, "total_cost_usd": 1.15, "avg_field_accuracy": 1.05}
-REPLICATES = 200
+REPLICATES = 10_000
+# medians repeat every user per replicate, means do not
+MEDIAN_REPLICATES = 200
 
 
 def wide(w):
@@ -186,12 +188,17 @@ register(
 
 # ---- bootstrap ---------------------------------------------------------------------------------
 _CDF = ", ".join(repr(p) for p in ex._POISSON_1)
-DRAWS = f"""
+
+
+def _draws(replicates: int) -> str:
+    return f"""
     h AS (SELECT xusers.*, b, md5('{ex.BOOTSTRAP_SEED}|' || user_id || '|' || b) AS d
-          FROM xusers, (SELECT unnest(range({REPLICATES // 4})) AS b) blocks),
+          FROM xusers, (SELECT unnest(range({replicates // 4})) AS b) blocks),
     x AS (SELECT h.*, b * 4 + i AS rep,
                  len(list_filter([{_CDF}]::DOUBLE[], lambda c: c <= ('0x' || substr(d, (8 * i + 1)::BIGINT, 8))::BIGINT / 4294967296)) AS w
           FROM h, (SELECT unnest(range(4)) AS i) parts)"""
+
+
 REPORT = """
     o AS (SELECT metric, max(s) FILTER (experiment_group = 'B') - max(s) FILTER (experiment_group = 'A') AS observed_diff
           FROM (SELECT metric, experiment_group, {stat}(value) AS s FROM xlong GROUP BY 1, 2) GROUP BY 1)
@@ -201,7 +208,7 @@ REPORT = """
     FROM r JOIN o USING (metric) GROUP BY metric, observed_diff"""
 BOOT_DOUBLES = "observed_diff bootstrap_mean estimate std_err ci_lower ci_upper"
 MEAN_COLUMNS = ", ".join(f"sum({m} * w) / sum(w) AS {m}" for m in ex.USER_METRICS)
-BOOT_MEAN = f"""WITH {DRAWS},
+BOOT_MEAN = f"""WITH {_draws(REPLICATES)},
         s AS (SELECT rep, experiment_group, {MEAN_COLUMNS} FROM x GROUP BY 1, 2),
         l AS (UNPIVOT s ON {', '.join(ex.USER_METRICS)} INTO NAME metric VALUE v),
         r AS (SELECT metric, rep, max(v) FILTER (experiment_group = 'B') - max(v) FILTER (experiment_group = 'A') AS diff
@@ -213,13 +220,12 @@ register(
     BOOT_MEAN,
     BOOT_DOUBLES,
 )
-MEDIAN_METRICS = ("total_tasks", "avg_agent_latency_ms")
 register(
     "bootstrap_median_difference",
-    lambda w: ex.bootstrap_diff(wide(w), metrics=MEDIAN_METRICS, iterations=REPLICATES, statistic="median"),
-    f"""WITH {DRAWS},
-        l AS (UNPIVOT (SELECT rep, experiment_group, w, {', '.join(MEDIAN_METRICS)} FROM x WHERE w > 0)
-              ON {', '.join(MEDIAN_METRICS)} INTO NAME metric VALUE v),
+    lambda w: ex.bootstrap_diff(wide(w), iterations=MEDIAN_REPLICATES, statistic="median"),
+    f"""WITH {_draws(MEDIAN_REPLICATES)},
+        l AS (UNPIVOT (SELECT rep, experiment_group, w, {', '.join(ex.USER_METRICS)} FROM x WHERE w > 0)
+              ON {', '.join(ex.USER_METRICS)} INTO NAME metric VALUE v),
         k AS (SELECT l.* FROM l, range(12) t(j) WHERE j < w),
         r AS (SELECT metric, rep, median(v) FILTER (experiment_group = 'B') - median(v) FILTER (experiment_group = 'A') AS diff
               FROM k GROUP BY 1, 2),

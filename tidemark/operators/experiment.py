@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -655,22 +658,79 @@ def poisson_weights(
     )
 
 
+# Users whose weights one task holds at a time.
+_USERS_AT_ONCE = 128
+
+
+def _weighted_sums(metrics: Sequence[str], iterations: int, seed: int):
+    """Arrow batches of (user, group, metrics) to sums per replicate and group, a fixed number of rows per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = [str(b).encode() for b in range((iterations - 1) // 4 + 1)]
+        bounds = np.array(_POISSON_1)
+        totals: dict[str | None, np.ndarray] = {}
+        for batch in batches:
+            users, groups = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=object)
+            values = [batch.column(2 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(metrics))]
+            known = [batch.column(2 + i).is_valid().to_numpy(zero_copy_only=False) for i in range(len(metrics))]
+            for at in range(0, len(users), _USERS_AT_ONCE):
+                chunk = slice(at, at + _USERS_AT_ONCE)
+                digests = bytearray()
+                for user in users[chunk]:
+                    stem = f"{seed}|".encode() + (b"" if user is None else f"{user}|".encode())
+                    digests += b"".join([md5(stem + b, usedforsecurity=False).digest() for b in blocks])
+                uniform = np.frombuffer(digests, ">u4").reshape(-1, 4 * len(blocks))[:, :iterations] / 4294967296.0
+                weights = np.searchsorted(bounds, uniform, side="right").astype(float)
+                # the sum of weights, then of each metric its weighted sum and whether it is known at all
+                parts = [np.ones(len(weights))]
+                for v, k in zip(values, known, strict=True):
+                    parts += [np.where(k[chunk], v[chunk], 0.0), k[chunk].astype(float)]
+                table = np.stack(parts, axis=1)
+                for group in set(groups[chunk]):
+                    own = groups[chunk] == group
+                    found = weights[own].T @ table[own]
+                    totals[group] = totals[group] + found if group in totals else found
+        for group, found in totals.items():
+            columns = [pa.array(np.arange(iterations, dtype=np.int64)), pa.array([group] * iterations, pa.string()), pa.array(found[:, 0])]
+            for i in range(len(metrics)):
+                columns.append(pa.array(found[:, 1 + 2 * i], mask=found[:, 2 + 2 * i] == 0))
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "experiment_group", "__w", *metrics])
+
+    return run
+
+
+def _replicate_sums(compared: DataFrame, metrics: Sequence[str], iterations: int, seed: int, user: str = "user_id") -> DataFrame:
+    """Sum of weights and weighted sum of each metric per (replicate, group), with the weights of ``poisson_weights``.
+
+    A task draws the weights of its users in memory and hands on replicates x groups rows: no row per
+    user and replicate exists anywhere.
+    """
+    session = compared.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    # work multiplies here, so a small input is spread first (see poisson_weights)
+    narrow = compared.select(
+        F.col(user).cast("string").alias("__user"), "experiment_group", *[F.col(m).cast("double").alias(m) for m in metrics]
+    ).repartition(tasks, F.xxhash64("__user"))
+    schema = "rep long, experiment_group string, __w double, " + ", ".join(f"`{m}` double" for m in metrics)
+    return narrow.mapInArrow(_weighted_sums(list(metrics), iterations, seed), schema)
+
+
 def _replicate_diffs(
     wide: DataFrame, metrics: Sequence[str], iterations: int, seed: int, statistic: str,
     control: str, treatment: str,
 ) -> DataFrame:
     """(metric, rep, diff): the statistic of treatment minus control in every replicate."""
     compared = wide.where(F.col("experiment_group").isin(control, treatment))
-    weighted = poisson_weights(compared, iterations, seed)
     if statistic == "mean":
-        # all metrics share the weights: one pass, and each task emits at most reps x groups rows
-        sums = weighted.groupBy("rep", "experiment_group").agg(
-            *[F.sum(F.col(m) * F.col("weight")).alias(m) for m in metrics], F.sum("weight").alias("__w")
-        )
+        # all metrics share the weights: one pass
+        drawn = _replicate_sums(compared, metrics, iterations, seed)
+        sums = drawn.groupBy("rep", "experiment_group").agg(*[F.sum(m).alias(m) for m in metrics], F.sum("__w").alias("__w"))
+        sums = sums.where(F.col("__w") > 0)
         per_group = sums.select(
             "rep", "experiment_group", *[ratio(m, "__w").alias(m) for m in metrics]
         ).unpivot(["rep", "experiment_group"], list(metrics), "metric", "stat")
     else:
+        weighted = poisson_weights(compared, iterations, seed)
         per_group = replicate_medians(
             weighted.unpivot(["rep", "experiment_group", "weight"], list(metrics), "metric", "value"),
             ["metric", "experiment_group"],
