@@ -12,11 +12,12 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     content_sort, ego_join, langid, line_dedup, mixing, packing, pii, queries, simhash, suffix_dedup, toxicity,
 )
-from tidemark.llm.common import components, keep
+from tidemark.llm.common import components, join_counted, keep
 
 SMALL = "/root/testdata/sf0.001"
 # the columns after source clash with names that operators use inside
@@ -96,6 +97,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hot_keys_are_spread(spark):
+    rows = [(1, i) for i in range(4000)] + [(k, k) for k in range(2, 1500)] + [(None, 5)]
+    left = spark.createDataFrame(rows, "k long, v long")
+    counts = left.where("k % 3 <> 0").groupBy("k").agg(F.count("*").alias("n"))
+    counts = keep(counts.withColumn("twice", F.col("k") * 2))
+    joined = join_counted(left, counts, ["k"], "n")
+    assert joined.columns == ["k", "v", "n", "twice"]
+    assert table(joined) == table(left.join(counts, "k").select("k", "v", "n", "twice"))
+    dealt = keep(joined).where("k = 1")
+    assert dealt.count() == 4000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, \(\(k#\d+L = k#\d+L\) AND \(__salt#\d+L = __salt#\d+L\)\)", plan), plan
+    assert not join_counted(left.limit(0), counts.limit(0), ["k"], "n").count()
+
+
 # ------------------------------------------------------------------ 2 exact duplicates
 
 

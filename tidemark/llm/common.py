@@ -97,6 +97,29 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+# A key with more than this share of all rows is a hot one; there are fewer of them than 1 / HOT_SHARE.
+HOT_SHARE = 0.001
+
+
+def join_counted(rows: DataFrame, table: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Inner join with a ``table`` that has one row per key, where column ``count`` says how many rows have the key.
+
+    Hot keys, those with more than ``HOT_SHARE`` of all rows, come from a broadcast of at most
+    1 / ``HOT_SHARE`` rows, and their rows are dealt by a salt; the others meet in a shuffled join.
+    """
+    values = [c for c in table.columns if c not in on]
+    hot_from = table.agg(F.sum(count) * F.lit(HOT_SHARE)).scalar()
+    hot = table.where(F.col(count) > hot_from).select(*on, F.struct(*values).alias("__hot"))
+    cold = table.where(F.col(count) <= hot_from)
+    # not a literal, or the salt would be folded out of the keys
+    cold = cold.select(*on, F.least(F.col(count), F.lit(0)).cast("long").alias("__salt"), F.struct(*values).alias("__cold"))
+    others = [c for c in rows.columns if c not in on]
+    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.xxhash64(*others))
+    marked = rows.join(F.broadcast(hot), on, "left").withColumn("__salt", salt)
+    joined = marked.join(cold, [*on, "__salt"], "left").withColumn("__found", F.coalesce("__hot", "__cold"))
+    return joined.where(F.col("__found").isNotNull()).select(*rows.columns, *[F.col("__found")[v].alias(v) for v in values])
+
+
 def with_row_key(rows: DataFrame, id_col: str = "doc_id", key: str = "key"):
     """Rows with a column ``key`` that tells them apart, and a function that puts the identifier back.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, forget, keep, prepare, text_or_empty, with_row_key
+from tidemark.llm.common import WORD, forget, join_counted, keep, prepare, text_or_empty, with_row_key
 
 # Lines that a repeated run has at least; a power of two.
 MIN_LINES = 2
@@ -18,8 +18,8 @@ _MOST_ROUNDS = 40
 
 
 def _first_ranks(lines: DataFrame) -> DataFrame:
-    """Repeated lines with the rank of their identifier: the number of smaller repeated lines, plus one."""
-    counts = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
+    """Repeated lines: how many, where first, and the rank of the identifier (one more than there are smaller ones)."""
+    counts = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
     counts = counts.withColumn("range", F.shiftright("h1", 64 - RANGE_BITS))
     ranges = counts.groupBy("range").agg(F.sum("n").alias("k"))
     # one row per range, a fixed number
@@ -27,7 +27,7 @@ def _first_ranks(lines: DataFrame) -> DataFrame:
     ranges = ranges.select("range", before.alias("at"))
     inside = W.partitionBy("range").orderBy("h1", "h2").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return counts.join(ranges, "range").select("h1", "h2", "n", (F.col("at") + F.col("inside") + 1).alias("r"))
+    return counts.join(ranges, "range").select("h1", "h2", "n", "first", (F.col("at") + F.col("inside") + 1).alias("r"))
 
 
 def _refine(rows: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def _refine(rows: DataFrame) -> DataFrame:
     cells = cells.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
     cells = cells.join(ranges, ["r", "range"]).select(
         "r", "r2", F.col("n").alias("n2"), "first", (F.col("r") + F.col("at") + F.col("inside")).alias("rank"))
-    big = big.drop("first").join(cells, ["r", "r2"]).withColumn("r", F.col("rank")).withColumn("n", F.col("n2"))
+    big = join_counted(big.drop("first"), cells, ["r", "r2"], "n2").withColumn("r", F.col("rank")).withColumn("n", F.col("n2"))
     columns = ["key", "segment", "pos", "line_no", "place", "rest", "r", "n", "first", "copied"]
     return small.select(*columns).unionByName(big.select(*columns))
 
@@ -70,20 +70,17 @@ def repeated_lines(rows: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         raise ValueError("min_lines must be a power of two")
     numbered = F.transform(F.split(text_or_empty("text"), "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
     filled = F.filter(numbered, lambda line: line["x"].rlike(WORD))
+    place = (F.col("key").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)")).cast("decimal(38,0)") + F.col("pos").cast("decimal(10,0)")
     lines = rows.select("key", F.posexplode(filled)).select(
-        "key", "pos", F.col("col.i").alias("line_no"),
+        "key", "pos", F.col("col.i").alias("line_no"), place.cast("decimal(38,0)").alias("place"),
         # 128 bits: two hashes with different seeds
         F.xxhash64("col.x").alias("h1"), F.xxhash64(F.lit("second"), F.col("col.x")).alias("h2"))
-    ranked = lines.join(_first_ranks(lines), ["h1", "h2"])
-    place = (F.col("key").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)")).cast("decimal(38,0)") + F.col("pos").cast("decimal(10,0)")
-    by_key = W.partitionBy("key").orderBy("pos")
-    segment = F.col("pos") - F.row_number().over(by_key)
-    table = ranked.withColumn("segment", segment).withColumn("place", place.cast("decimal(38,0)"))
+    table = join_counted(lines, keep(_first_ranks(lines)), ["h1", "h2"], "n")
+    segment = F.col("pos") - F.row_number().over(W.partitionBy("key").orderBy("pos"))
     along = W.partitionBy("key", "segment").orderBy("pos")
-    table = table.withColumn("rest", F.count("*").over(W.partitionBy("key", "segment")))
+    table = table.withColumn("segment", segment).withColumn("rest", F.count("*").over(W.partitionBy("key", "segment")))
     table = table.withColumn("rest", F.col("rest") - F.row_number().over(along) + 1)
-    least = table.groupBy("r").agg(F.min("place").alias("first"))
-    state = table.join(least, "r").select("key", "segment", "pos", "line_no", "place", "rest", "r", "n", "first")
+    state = table.select("key", "segment", "pos", "line_no", "place", "rest", "r", "n", "first")
     state = keep(state.withColumn("copied", _copied(1, min_lines, F.lit(0))))
     settled: list[DataFrame] = []
     depth = 1
