@@ -20,7 +20,7 @@ _MOST_ROUNDS = 40
 def _first_ranks(lines: DataFrame) -> DataFrame:
     """Repeated lines: how many, where first, and the rank of the identifier (one more than there are smaller ones)."""
     counts = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1")
-    counts = counts.withColumn("range", F.shiftright("h1", 64 - RANGE_BITS))
+    counts = keep(counts.withColumn("range", F.shiftright("h1", 64 - RANGE_BITS)))
     ranges = counts.groupBy("range").agg(F.sum("n").alias("k"))
     # one row per range, a fixed number
     before = F.coalesce(F.sum("k").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
