@@ -14,8 +14,6 @@ from tidemark.operators import experiment as ex
 EXPERIMENT = "exp_autofill"
 MARGINS = {"avg_agent_latency_ms": 1.15, "total_cost_usd": 1.15, "avg_field_accuracy": 1.05}
 REPLICATES = 10_000
-# medians repeat every user per replicate, means do not
-MEDIAN_REPLICATES = 200
 
 
 def wide(w):
@@ -220,15 +218,15 @@ register(
     BOOT_MEAN,
     BOOT_DOUBLES,
 )
+MEDIAN_COLUMNS = ", ".join(f"median({m}) AS {m}" for m in ex.USER_METRICS)
 register(
     "bootstrap_median_difference",
-    lambda w: ex.bootstrap_diff(wide(w), iterations=MEDIAN_REPLICATES, statistic="median"),
-    f"""WITH {_draws(MEDIAN_REPLICATES)},
-        l AS (UNPIVOT (SELECT rep, experiment_group, w, {', '.join(ex.USER_METRICS)} FROM x WHERE w > 0)
-              ON {', '.join(ex.USER_METRICS)} INTO NAME metric VALUE v),
-        k AS (SELECT l.* FROM l, range(12) t(j) WHERE j < w),
-        r AS (SELECT metric, rep, median(v) FILTER (experiment_group = 'B') - median(v) FILTER (experiment_group = 'A') AS diff
-              FROM k GROUP BY 1, 2),
+    lambda w: ex.bootstrap_diff(wide(w), iterations=REPLICATES, statistic="median"),
+    f"""WITH {_draws(REPLICATES)},
+        s AS (SELECT rep, experiment_group, {MEDIAN_COLUMNS} FROM x, range(12) t(j) WHERE j < w GROUP BY 1, 2),
+        l AS (UNPIVOT s ON {', '.join(ex.USER_METRICS)} INTO NAME metric VALUE v),
+        r AS (SELECT metric, rep, max(v) FILTER (experiment_group = 'B') - max(v) FILTER (experiment_group = 'A') AS diff
+              FROM l GROUP BY 1, 2),
         {REPORT.format(stat="median", seed=ex.BOOTSTRAP_SEED)}""",
     BOOT_DOUBLES,
 )

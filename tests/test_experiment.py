@@ -197,6 +197,33 @@ def test_median_bootstrap_matches_brute_force(spark):
     assert out["ci_lower"] == pytest.approx(np.percentile(diffs, 2.5))
 
 
+@pytest.mark.parametrize("digits", [None, 1, 0])
+def test_medians_of_chunks_in_brackets(spark, monkeypatch, digits):
+    """Few users in a bracket, several chunks of replicates, ties down to a handful of values, missing values."""
+    monkeypatch.setattr(ex, "_REPLICATES_AT_ONCE", 8)
+    data, _ = users_frame(spark, 300)
+    data = [(u, g, None if i % 17 == 0 else v if digits is None else round(v, digits)) for i, (u, g, v) in enumerate(data)]
+    frame = spark.createDataFrame(data, "user_id string, experiment_group string, m double")
+    weights = {(r["user_id"], r["rep"]): r["weight"] for r in ex.poisson_weights(frame, 30).collect()}
+    got = {(r["rep"], r["experiment_group"]): r["stat"] for r in ex._replicate_medians(frame, ["m"], 30, ex.BOOTSTRAP_SEED).collect()}
+    assert len(got) == 60
+    for (rep, group), stat in got.items():
+        own = [(v, weights.get((u, rep), 0)) for u, g, v in data if g == group and v is not None]
+        assert stat == np.median(np.repeat(*map(list, zip(*own, strict=True))))
+    monkeypatch.setattr(ex, "_BRACKET", -0.06)
+    if digits is None:
+        with pytest.raises(Exception, match="widen _BRACKET"):
+            ex._replicate_medians(frame, ["m"], 30, ex.BOOTSTRAP_SEED).collect()
+
+
+def test_median_of_a_group_without_values(spark):
+    frame = spark.createDataFrame([(1, "A", 1.0, None), (2, "B", 2.0, None), (3, "B", 4.0, None)],
+                                  "user_id long, experiment_group string, m double, k double")
+    out = {r["metric"]: r for r in ex.bootstrap_diff(frame, ["m", "k"], iterations=12, statistic="median").collect()}
+    assert out["m"]["observed_diff"] == 2.0 and 0 < out["m"]["replicates"] <= 12
+    assert out.get("k") is None or out["k"]["replicates"] == 0
+
+
 def test_poisson_weights_have_the_right_shape(spark):
     _, frame = users_frame(spark, 500)
     total, kept = ex.poisson_weights(frame, 40).agg(F.sum("weight"), F.count("weight")).first()

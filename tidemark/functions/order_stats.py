@@ -11,7 +11,7 @@ minimum and maximum), so a recomputed task always produces the same bins.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +21,6 @@ from tidemark.functions.exprs import null_safe_join
 
 # slices per unit of the natural logarithm in exact_percentiles: each spans under one percent
 BINS_PER_UNIT = 128
-# slices per unit in replicate_medians, where each replicate has slices of its own
-REPLICATE_BINS_PER_UNIT = 16
 # a group has one slice per so many rows in positions_within
 ROWS_PER_BIN = 4096
 
@@ -52,7 +50,7 @@ def exact_percentiles(
     df: DataFrame,
     by: Sequence[str],
     value: str,
-    probs: Mapping[str, float],
+    probs: Mapping[str, float | Callable[[Column], Column]],
     weight: str | None = None,
     carry: Mapping[str, Column] | None = None,
     bounded_groups: bool = False,
@@ -64,7 +62,8 @@ def exact_percentiles(
     bin is a slice of the logarithmic scale and depends on nothing but the value. A running count
     over the bins of a group finds the few bins that hold a wanted rank. The second pass keeps only
     rows in those bins, collapses them to (group, value, count) and sorts inside single bins.
-    ``weight`` gives each row an integer multiplicity.
+    ``weight`` gives each row an integer multiplicity. Instead of a share, an entry may be a function
+    from the number of rows of a group to a rank, counted from 0.
 
     ``carry`` adds per-group sums over all rows (NULL values included) to the result; they ride
     along with the bin counts. Without it groups that hold only NULLs are left out.
@@ -93,7 +92,8 @@ def exact_percentiles(
             "__total": F.sum("__size").over(whole),
         }
     )
-    rank = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
+    total = F.col("__total")
+    rank = {name: p(total) if callable(p) else F.lit(float(p)) * (total - 1) for name, p in probs.items()}
 
     def holds(position: Column, start: Column, size: Column) -> Column:
         return (position >= start) & (position < start + size)
@@ -147,50 +147,6 @@ def exact_percentiles(
     return found.select(*by, *carry, *out)
 
 
-def replicate_medians(
-    replicates: DataFrame, by: Sequence[str], value: str, rep: str, weight: str, out: str,
-    bins_per_unit: int = REPLICATE_BINS_PER_UNIT,
-) -> DataFrame:
-    """Weighted median per (group, replicate) without shuffling one row per value and replicate.
-
-    ``replicates`` holds each row once per replicate with an integer weight. A bin depends on the value
-    alone, so one outlier cannot crowd the others into one bin, and the first pass combines
-    map-side to groups x replicates x bins counts. Only values inside a bin that holds a middle rank
-    are shuffled.
-    """
-    by = list(by)
-    cell = [*by, rep]
-    number = F.col(value).cast("double")
-    binned = replicates.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
-        *cell, number.alias("__v"), F.col(weight).alias("__n"), _log_bin(number, bins_per_unit).alias("__bin")
-    )
-    ordered = Window.partitionBy(*cell).orderBy("__bin")
-    sizes = binned.groupBy(*cell, "__bin").agg(F.sum("__n").alias("__size"))
-    placed = sizes.withColumns(
-        {
-            "__before": F.sum("__size").over(ordered) - F.col("__size"),
-            "__total": F.sum("__size").over(Window.partitionBy(*cell)),
-        }
-    )
-    middle = (F.col("__total") - 1) / F.lit(2.0)
-    ends = (F.floor(middle), F.ceil(middle))
-
-    def covers(position: Column, start: Column, size: Column) -> Column:
-        return (position >= start) & (position < start + size)
-
-    hit = covers(ends[0], F.col("__before"), F.col("__size")) | covers(ends[1], F.col("__before"), F.col("__size"))
-    targets = placed.where(hit).select(*cell, "__bin", "__before", "__total")
-    inside = Window.partitionBy(*cell, "__bin").orderBy("__v")
-    near = (
-        null_safe_join(binned, F.broadcast(targets), [*cell, "__bin"])
-        .groupBy(*cell, "__bin", "__before", "__total", "__v")
-        .agg(F.sum("__n").alias("__n"))
-        .withColumn("__start", F.col("__before") + F.sum("__n").over(inside) - F.col("__n"))
-    )
-    at = [F.max(F.when(covers(e, F.col("__start"), F.col("__n")), F.col("__v"))) for e in ends]
-    return near.groupBy(*cell).agg(((at[0] + at[1]) / 2.0).alias(out))
-
-
 def order_code(df: DataFrame, column: str) -> Column:
     """A double that never decreases when ``column`` increases, for numbers and strings.
 

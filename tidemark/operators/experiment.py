@@ -6,12 +6,13 @@ from collections.abc import Iterator, Mapping, Sequence
 from hashlib import md5
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import as_date, count_rows, null_safe_join, ratio, stable_round
-from tidemark.functions.order_stats import exact_percentiles, replicate_medians
+from tidemark.functions.order_stats import exact_percentiles
 from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critical, t_pvalue
 
 # ---- assignments -------------------------------------------------------------------------------
@@ -662,12 +663,21 @@ def poisson_weights(
 _USERS_AT_ONCE = 128
 
 
+def _weights(users: Sequence[str | None], replicates: range, seed: int) -> np.ndarray:
+    """The weights of ``poisson_weights``, users x replicates; the range starts at a multiple of four."""
+    blocks = [str(b).encode() for b in range(replicates.start // 4, (replicates.stop - 1) // 4 + 1)]
+    digests = bytearray()
+    for user in users:
+        stem = f"{seed}|".encode() + (b"" if user is None else f"{user}|".encode())
+        digests += b"".join([md5(stem + b, usedforsecurity=False).digest() for b in blocks])
+    uniform = np.frombuffer(digests, ">u4").reshape(-1, 4 * len(blocks))[:, : len(replicates)] / 4294967296.0
+    return np.searchsorted(np.array(_POISSON_1), uniform, side="right").astype(float)
+
+
 def _weighted_sums(metrics: Sequence[str], iterations: int, seed: int):
     """Arrow batches of (user, group, metrics) to sums per replicate and group, a fixed number of rows per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = [str(b).encode() for b in range((iterations - 1) // 4 + 1)]
-        bounds = np.array(_POISSON_1)
         totals: dict[str | None, np.ndarray] = {}
         for batch in batches:
             users, groups = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=object)
@@ -675,12 +685,7 @@ def _weighted_sums(metrics: Sequence[str], iterations: int, seed: int):
             known = [batch.column(2 + i).is_valid().to_numpy(zero_copy_only=False) for i in range(len(metrics))]
             for at in range(0, len(users), _USERS_AT_ONCE):
                 chunk = slice(at, at + _USERS_AT_ONCE)
-                digests = bytearray()
-                for user in users[chunk]:
-                    stem = f"{seed}|".encode() + (b"" if user is None else f"{user}|".encode())
-                    digests += b"".join([md5(stem + b, usedforsecurity=False).digest() for b in blocks])
-                uniform = np.frombuffer(digests, ">u4").reshape(-1, 4 * len(blocks))[:, :iterations] / 4294967296.0
-                weights = np.searchsorted(bounds, uniform, side="right").astype(float)
+                weights = _weights(users[chunk], range(iterations), seed)
                 # the sum of weights, then of each metric its weighted sum and whether it is known at all
                 parts = [np.ones(len(weights))]
                 for v, k in zip(values, known, strict=True):
@@ -715,6 +720,96 @@ def _replicate_sums(compared: DataFrame, metrics: Sequence[str], iterations: int
     return narrow.mapInArrow(_weighted_sums(list(metrics), iterations, seed), schema)
 
 
+# Half the bracket around a median, in square roots of the number of users: eight standard deviations of its rank.
+_BRACKET = 4.0
+# Replicates whose medians one task finds at a time; a multiple of four.
+_REPLICATES_AT_ONCE = 200
+
+
+def _medians_in_bracket(iterations: int, seed: int):
+    """(users inside the bracket, sums of weights per replicate) of one metric, group and chunk to medians."""
+
+    def run(inside: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+        sums = sums[sums["known"] > 0].sort_values("rep")
+        if sums.empty:
+            return pd.DataFrame({"rep": [], "experiment_group": [], "metric": [], "stat": []})
+        inside = inside.sort_values("value")
+        start = int(sums["chunk"].iloc[0]) * _REPLICATES_AT_ONCE
+        drawn = range(start, min(start + _REPLICATES_AT_ONCE, iterations))
+        reached = np.zeros((len(inside) + 2, len(drawn)))  # weight up to the lower end, then each user inside, then the upper end
+        for at in range(0, len(inside), _USERS_AT_ONCE):
+            users = inside["user"].iloc[at : at + _USERS_AT_ONCE].tolist()
+            reached[1 + at : 1 + at + len(users)] = _weights(users, drawn, seed)
+        reached = reached[:, sums["rep"].to_numpy() - start]
+        below, known = sums["below"].to_numpy(), sums["known"].to_numpy()
+        reached[0] = below + sums["low_end"].to_numpy()
+        reached[-1] = sums["high_end"].to_numpy()
+        reached = np.cumsum(reached, axis=0)
+        values = np.concatenate([sums["lo"].iloc[:1], inside["value"], sums["hi"].iloc[:1]])
+        ends = []
+        for rank in (np.floor((known - 1) / 2), np.ceil((known - 1) / 2)):
+            if (rank < below).any() or (rank >= reached[-1]).any():
+                raise ValueError("a replicate's median lies outside the bracket; widen _BRACKET")
+            ends.append(values[(reached <= rank).sum(axis=0)])
+        return pd.DataFrame({
+            "rep": sums["rep"], "experiment_group": sums["experiment_group"], "metric": sums["metric"],
+            "stat": (ends[0] + ends[1]) / 2.0,
+        })
+
+    return run
+
+
+def _replicate_medians(compared: DataFrame, metrics: Sequence[str], iterations: int, seed: int, user: str = "user_id") -> DataFrame:
+    """(rep, experiment_group, metric, stat): the exact weighted median of every replicate.
+
+    The rank of a bootstrap median strays from the middle by some square roots of the number of users.
+    Two order statistics bracket it; only the users strictly between them, no more than
+    2 x ``_BRACKET`` x sqrt(n) per group and metric however many values tie, are sent to the tasks that
+    find medians, once per chunk of replicates. Of all others the sums of weights below and at the ends of
+    the bracket suffice, which ``_replicate_sums`` makes without a row per user and replicate. A median
+    outside its bracket raises an error, so no result is approximate.
+    """
+    cell = ["metric", "experiment_group"]
+    long = compared.unpivot([user, "experiment_group"], list(metrics), "metric", "value")
+
+    def off_middle(side: int):
+        def rank(n):
+            middle = F.floor((n - 1) / 2.0) if side < 0 else F.ceil((n - 1) / 2.0)
+            reach = F.ceil(F.sqrt(n) * _BRACKET) + 1
+            return F.greatest(F.least(middle + side * reach, n - 1), F.lit(0)).cast("double")
+        return rank
+
+    brackets = exact_percentiles(long, cell, "value", {"lo": off_middle(-1), "hi": off_middle(1)})
+    ends = brackets.groupBy("experiment_group").agg(
+        *[F.max(F.when(F.col("metric") == m, F.struct("lo", "hi"))).alias(f"__{m}") for m in metrics])
+    # at most one row per compared group
+    placed = compared.join(F.broadcast(ends), "experiment_group")
+    marks: dict[str, Column] = {}
+    for m in metrics:
+        value, lo, hi = F.col(m).cast("double"), F.col(f"__{m}")["lo"], F.col(f"__{m}")["hi"]
+        marks[f"{m}__below"] = (value < lo).cast("double")
+        marks[f"{m}__low_end"] = (value == lo).cast("double")
+        marks[f"{m}__high_end"] = ((value == hi) & (hi > lo)).cast("double")
+        marks[f"{m}__known"] = value.isNotNull().cast("double")
+    drawn = _replicate_sums(placed.select(user, "experiment_group", *[c.alias(n) for n, c in marks.items()]), list(marks), iterations, seed, user)
+    summed = drawn.groupBy("rep", "experiment_group").agg(*[F.sum(n).alias(n) for n in marks])
+    kinds = ("below", "low_end", "high_end", "known")
+    per_metric = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), *[F.coalesce(F.col(f"{m}__{k}"), F.lit(0.0)).alias(k) for k in kinds]) for m in metrics]))
+    chunk = F.floor(F.col("rep") / _REPLICATES_AT_ONCE).cast("int")
+    sums = summed.select("rep", "experiment_group", chunk.alias("chunk"), per_metric.alias("__s")).select(
+        "rep", "experiment_group", "chunk", "__s.*").join(brackets.select(*cell, "lo", "hi"), cell)
+    candidates = F.array(*[
+        F.when((F.col(m) > F.col(f"__{m}")["lo"]) & (F.col(m) < F.col(f"__{m}")["hi"]),
+               F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))) for m in metrics])
+    inside = placed.select(F.col(user).cast("string").alias("user"), "experiment_group", F.explode(F.array_compact(candidates)).alias("__c"))
+    chunks = F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // _REPLICATES_AT_ONCE)))
+    inside = inside.select("user", "experiment_group", "__c.metric", "__c.value", chunks.alias("chunk"))
+    key = [*cell, "chunk"]
+    return inside.groupBy(*key).cogroup(sums.groupBy(*key)).applyInPandas(
+        _medians_in_bracket(iterations, seed), "rep long, experiment_group string, metric string, stat double")
+
+
 def _replicate_diffs(
     wide: DataFrame, metrics: Sequence[str], iterations: int, seed: int, statistic: str,
     control: str, treatment: str,
@@ -730,15 +825,7 @@ def _replicate_diffs(
             "rep", "experiment_group", *[ratio(m, "__w").alias(m) for m in metrics]
         ).unpivot(["rep", "experiment_group"], list(metrics), "metric", "stat")
     else:
-        weighted = poisson_weights(compared, iterations, seed)
-        per_group = replicate_medians(
-            weighted.unpivot(["rep", "experiment_group", "weight"], list(metrics), "metric", "value"),
-            ["metric", "experiment_group"],
-            "value",
-            "rep",
-            "weight",
-            "stat",
-        )
+        per_group = _replicate_medians(compared, metrics, iterations, seed)
     side = lambda g: F.max(F.when(F.col("experiment_group") == g, F.col("stat")))
     return per_group.groupBy("metric", "rep").agg((side(treatment) - side(control)).alias("diff"))
 
