@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep, prepare, shuffle_partitions, with_row_key
+from tidemark.llm.common import join_counted, keep, prepare, shuffle_partitions, with_row_key
 
 LENGTH = 200
 # An anchor is the smallest-hashed gram of this many bytes in a window of LENGTH bytes. A power of 2.
@@ -470,10 +470,10 @@ def suffix_dedup(
     rows, doc_of = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     rows = rows.select("key", "text")
     grams = rows.mapInArrow(_gram_rows(length, GRAM), "gram long")
-    shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # a gram has two fragments where it has one anchor, so shares of anchors are shares of fragments
+    shared = keep(grams.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1"))
     found = rows.mapInArrow(_fragment_rows(length, GRAM), "gram long, core long, whole long, key long, begin int, size int")
-    found = found.where(F.col("size") >= length).join(shared, "gram", "left_semi").drop("gram")
-    found = keep(found)
+    found = keep(join_counted(found.where(F.col("size") >= length), shared, ["gram"], "times").drop("gram", "times"))
     classes = found.groupBy("core", "whole").agg(
         F.count("*").alias("n"), F.first("key").alias("key"), F.first("begin").alias("begin"), F.first("size").alias("size"))
     classes = keep(classes)
@@ -492,9 +492,9 @@ def suffix_dedup(
     sorted_spans = dealt.mapInArrow(_sorted_spans(length), spans)
     windows = fragments.where("crowded").select("key", "begin", "twice", "bytes").mapInArrow(
         _window_digests(length), "d1 long, d2 long, key long, at long, twice boolean").distinct()
-    often = windows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.max("twice").alias("twice"),
-                                            F.count_distinct("key", "at").alias("places")) if False else         windows.groupBy("d1", "d2").agg(F.min("key").alias("k0"), F.max("key").alias("k1"), F.min("at").alias("a0"),
-                                        F.max("at").alias("a1"), F.max(F.col("twice").cast("int")).alias("twice"))
+    often = windows.groupBy("d1", "d2").agg(
+        F.min("key").alias("k0"), F.max("key").alias("k1"), F.min("at").alias("a0"), F.max("at").alias("a1"),
+        F.max(F.col("twice").cast("int")).alias("twice"))
     often = often.where("k0 <> k1 or a0 <> a1 or twice = 1").select("d1", "d2")
     counted = windows.where("not twice").join(often, ["d1", "d2"], "left_semi").select(
         "key", F.col("at").alias("from"), (F.col("at") + length).alias("to"))
