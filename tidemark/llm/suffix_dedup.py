@@ -17,9 +17,10 @@ LENGTH = 200
 GRAM = 32
 # Fragments of one core that are sorted in one suffix array; beyond, windows are counted by digest.
 SORTED_TOGETHER = 6000
-# Bytes that a suffix array takes in at once, and that the anchor search looks at in one step.
-SORTED_BYTES = 1 << 20
-SCANNED_BYTES = 1 << 20
+# Bytes that a suffix array takes in at once, and that the anchor search looks at in one step (arrays
+# of eight times the size should fit a core's cache).
+SORTED_BYTES = 1 << 18
+SCANNED_BYTES = 1 << 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POSITION_BITS = np.uint64(24)
