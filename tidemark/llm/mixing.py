@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, keep, prepare
+from tidemark.llm.common import WORD, join_counted, keep, prepare
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -84,7 +84,7 @@ def mix_copies(
     cells = cells.withColumn("cell_at", F.coalesce(F.sum("n").over(before), F.lit(0)))
     cells = cells.withColumn("slices", F.ceil(F.col("n") / RANKED_TOGETHER).cast("long"))
     first = F.conv(F.substring("d", 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    rows = rows.join(cells, group).withColumn("slice", F.floor(first * F.col("slices")))
+    rows = join_counted(rows, keep(cells), group, "n").withColumn("slice", F.floor(first * F.col("slices")))
     parts = rows.groupBy(*group, "slice").agg(F.count("*").alias("k"))
     before = W.partitionBy(*group).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     parts = parts.withColumn("slice_at", F.coalesce(F.sum("k").over(before), F.lit(0)))
