@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -23,7 +24,7 @@ PACKED_TOGETHER = 40_000
 # Exchanges between partitions that are not certified yet.
 MAX_EXCHANGES = 4
 # Words whose ids a worker remembers; the oldest go first.
-REMEMBERED_WORDS = 800_000
+REMEMBERED_WORDS = 400_000
 
 # A stop or comma that ends a word is no part of a longer run of punctuation.
 _STOP = re.compile(rb"[A-Za-z0-9][.,]$")
@@ -97,19 +98,23 @@ class WordIds:
                 got[i] = known[words[i]]
         out = [np.frombuffer(b"".join(got), "<u4") for got in found]
         if len(known) > self.most:  # the frequent words come back with the next batch
-            for word in list(known)[: len(known) - self.most // 2]:
-                del known[word]
+            self.known = dict(islice(known.items(), len(known) - self.most // 2, None))
         return out
 
 
 @lru_cache(maxsize=1)
 def _word_ids(path: str) -> WordIds:
     """One model per worker process: what a task has learned serves the next ones."""
+    import os
+
+    # an executor runs one worker per core; threads of the tokenizer's own would only take memory
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(path)
 
 
 def _pieces(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
         model = _word_ids(_tokenizer_path(tokenizer))
         for batch in batches:
             texts = batch.column(1)
