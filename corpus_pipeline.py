@@ -22,8 +22,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are cut out; a document that loses all its words goes."""
-    made = line_dedup.dedup_lines(docs, out="__cut")
+    """Later copies of repeated line runs and of long lines are cut out; a document that loses all its words goes."""
+    made = line_dedup.dedup_lines(docs, out="__cut", min_words=line_dedup.PASSAGE_WORDS)
     removed, kept = F.col("__cut")["removed"], F.col("__cut")["kept"]
     made = made.where((removed == 0) | kept.rlike(WORD))
     made = made.withColumn("text", kept)

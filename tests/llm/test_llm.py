@@ -282,6 +282,31 @@ def test_line_runs_of_repeated_rows(docs, rows):
     assert made.count() == len(rows)
 
 
+@pytest.mark.parametrize("together", [4096, 2])
+def test_one_line_passages(spark, monkeypatch, together):
+    import corpus_pipeline
+
+    monkeypatch.setattr(line_dedup, "RANKED_TOGETHER", together)
+    rng = random.Random(17)
+    n = line_dedup.PASSAGE_WORDS
+    passage, whole, short = sentence(rng, n), sentence(rng, n + 20), sentence(rng, n - 1)
+    texts = [f"{sentence(rng, 5)}\n{passage}\n\n{sentence(rng, 5)}" for _ in range(4)] + [whole] * 3
+    texts += [f"{sentence(rng, 5)}\n{short}\n{sentence(rng, 5)}" for _ in range(2)]
+    texts += [f"{short}\n{passage}\n{whole}", f"{short}\n{passage}\n{sentence(rng, 3)}", f"{passage}\n{passage}"]
+    want, seen = {}, set()
+    for i, t in enumerate(texts):
+        own = t.split("\n")
+        gone = {p for p, x in enumerate(own) if x in seen or x in own[:p] if len(x.split()) >= n}
+        gone |= {0} if i == 10 else set()  # short and passage stand together in 9 and 10
+        want[i] = "\n".join(x for p, x in enumerate(own) if p not in gone)
+        seen |= set(own)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = line_dedup.dedup_lines(frame, min_words=n).collect()
+    assert {r["doc_id"]: r["line_dedup"]["kept"] for r in made} == want
+    staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, frame, SMALL).collect()}
+    assert staged == {i: t for i, t in want.items() if t}
+
+
 # ------------------------------------------------------------------ 5 suffix arrays
 
 

@@ -10,6 +10,8 @@ from tidemark.llm.common import WORD, forget, join_counted, keep, prepare, text_
 
 # Lines that a repeated run has at least; a power of two.
 MIN_LINES = 2
+# Words from which one repeated line is a passage, a run by itself.
+PASSAGE_WORDS = 50
 # Ranks that one window orders; larger groups are cut by ranges of their second rank.
 RANKED_TOGETHER = 4096
 # Ranges of the hash in which the first ranks are counted.
@@ -57,14 +59,15 @@ def _refine(rows: DataFrame) -> DataFrame:
     return small.select(*columns).unionByName(big.select(*columns))
 
 
-def repeated_lines(rows: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_lines(rows: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """Lines of ``rows`` (key, text) in later copies of repeated runs: key, pos, line_no, last_line_no.
 
     The corpus is a sequence of line identifiers, cut wherever a text ends or a line occurs once. Its
     suffix array is built by prefix doubling: ranks after 1, 2, 4, ... lines follow from the pairs
     of ranks that meet at half the distance, until no tie is left that more lines could break. Equal ranks at
     a depth are the longest-common-prefix intervals of that depth; in each, all suffixes but the first in
-    the corpus start a later copy of that many lines. Blank lines are no part of the sequence.
+    the corpus start a later copy of that many lines. Blank lines are no part of the sequence. With
+    ``min_words``, a line of at least so many words is a repeated run by itself, which depth 1 tells.
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
@@ -74,14 +77,17 @@ def repeated_lines(rows: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     lines = rows.select("key", F.posexplode(filled)).select(
         "key", "pos", F.col("col.i").alias("line_no"), place.cast("decimal(38,0)").alias("place"),
         # 128 bits: two hashes with different seeds
-        F.xxhash64("col.x").alias("h1"), F.xxhash64(F.lit("second"), F.col("col.x")).alias("h2"))
+        F.xxhash64("col.x").alias("h1"), F.xxhash64(F.lit("second"), F.col("col.x")).alias("h2"),
+        *([(F.regexp_count("col.x", F.lit(WORD)) >= min_words).alias("passage")] if min_words else []))
     table = join_counted(lines, keep(_first_ranks(lines)), ["h1", "h2"], "n")
     segment = F.col("pos") - F.row_number().over(W.partitionBy("key").orderBy("pos"))
     along = W.partitionBy("key", "segment").orderBy("pos")
     table = table.withColumn("segment", segment).withColumn("rest", F.count("*").over(W.partitionBy("key", "segment")))
     table = table.withColumn("rest", F.col("rest") - F.row_number().over(along) + 1)
-    state = table.select("key", "segment", "pos", "line_no", "place", "rest", "r", "n", "first")
-    state = keep(state.withColumn("copied", _copied(1, min_lines, F.lit(0))))
+    copied = _copied(1, min_lines, F.lit(0))
+    if min_words:
+        copied = F.when(F.col("passage"), _copied(1, 1, F.lit(0))).otherwise(copied)
+    state = keep(table.select("key", "segment", "pos", "line_no", "place", "rest", "r", "n", "first", copied.alias("copied")))
     settled: list[DataFrame] = []
     depth = 1
     for _ in range(_MOST_ROUNDS):
@@ -127,13 +133,15 @@ def _removed_runs(lines: DataFrame) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, out: str = "line_dedup"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, out: str = "line_dedup",
+    min_words: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with a column ``out``: lines, removed and runs (numbers), kept (the text that stays).
 
     A run of at least ``min_lines`` consecutive lines that occurs more than once stays where it occurs
     first, by identifier and place; later copies are deleted, also where copies overlap, and with them
-    the blank lines inside. Lines are compared exactly; blank lines are skipped.
+    the blank lines inside. Lines are compared exactly; blank lines are skipped. With ``min_words``, a
+    single line of at least so many words is such a run too, whatever stands around it.
 
     Null text counts as empty and stays null; one very long text is as good as many; rows that
     repeat an identifier are texts of their own, in the order of the table; an empty table gives an
@@ -141,7 +149,7 @@ def dedup_lines(
     """
     prepare(docs.sparkSession)
     rows, _ = with_row_key(docs, id_col, "__row")
-    found = repeated_lines(rows.select(F.col("__row").alias("key"), F.col(text_col).alias("text")), min_lines)
+    found = repeated_lines(rows.select(F.col("__row").alias("key"), F.col(text_col).alias("text")), min_lines, min_words)
     runs = _removed_runs(found).select(F.col("key").alias("__key"), F.col("runs").alias("__runs"))
     joined = rows.join(runs, F.col("__row") == F.col("__key"), "left")
     joined = joined.withColumn("__all", F.split(text_or_empty(text_col), "\n", -1))
@@ -190,3 +198,11 @@ SELECT f.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_remov
        sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE NOT removed), '')) AS kept_sha256
 FROM final f LEFT JOIN runs r USING (doc_id) GROUP BY f.doc_id
 """
+
+# The same with passages of one line: later copies of a line of at least PASSAGE_WORDS words go, whatever their neighbours.
+PASSAGES_ORACLE = ORACLE.replace(
+    "SELECT doc_id, p + 1 FROM starts\n",
+    rf"""SELECT doc_id, p + 1 FROM starts UNION SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY md5(x) ORDER BY doc_id, p) AS k FROM filled
+    WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= {PASSAGE_WORDS}) WHERE k > 1
+""")

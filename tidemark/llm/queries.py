@@ -38,14 +38,24 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(_documents(spark, folder))
 
 
-def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    made = line_dedup.dedup_lines(_documents(spark, folder).select("doc_id", "text"))
+def _cut_lines(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    made = line_dedup.dedup_lines(docs.select("doc_id", "text"), min_words=min_words)
     cut = F.col("line_dedup")
     return made.select(
         "doc_id", cut["lines"].alias("n_lines"), cut["removed"].alias("n_removed"), cut["runs"].alias("n_runs"),
         F.sha2(F.coalesce(cut["kept"], F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Parity with its SQL: runs of at least two lines."""
+    return _cut_lines(_documents(spark, folder))
+
+
+def op7_line_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Corrected: a long line is a run by itself."""
+    return _cut_lines(_documents(spark, folder), line_dedup.PASSAGE_WORDS)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, folder))
 
@@ -63,12 +73,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_exact_dedup, op3_toxicity, op4_pii, op5_suffix_dedup,
-        op6_simhash, op7_line_dedup, op8_packing, op9_mixing, op10_embedding_dedup,
+        op6_simhash, op7_line_dedup, op7_line_passages, op8_packing, op9_mixing, op10_embedding_dedup,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": content_sort.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
+    "op7_line_passages": line_dedup.PASSAGES_ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_embedding_dedup": ego_join.ORACLE,
 }
