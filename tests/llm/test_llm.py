@@ -611,6 +611,24 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert all(got[i]["n_phone"] == 1 and got[i]["n_found"] == 0 for i in range(40))
 
 
+def test_patterns_propose_spaced_glued_and_digit_free_identifiers(spark):
+    rng = random.Random(8)
+    say = lambda: sentence(rng, 6)
+    rows = [(i, f"{say()} phone contact: +49 30 555 {1000 + i}, thanks") for i in range(40)]
+    rows += [(100 + i, f"{say()} tel:+49 40 777 {2000 + i} {say()}") for i in range(40)]
+    rows += [(200 + i, f"{say()} write to mailbox: user{i}@example.org today") for i in range(40)]
+    hidden = {300: ("phone", "030 555 987 12", "phone contact: {} thanks"), 301: ("phone", "0305559876", "tel:{} x"),
+              302: ("email", "jane.doe(at)example(dot)com", "write to mailbox: {} today"), 303: ("phone", "12 34 5", "tel:{} x")}
+    rows += [(i, f"{say()} {form.format(value)}") for i, (_, value, form) in hidden.items()]
+    rows += [(400, f"{say()} order 030 555 987 13 shipped"), (401, f"{say()} jane.roe(at)example(dot)com wrote")]
+    got = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    for i, (kind, value, _) in hidden.items():
+        at = text[i].index(value)
+        assert got[i]["spans"] == f"{kind}:{at}:{at + len(value)}" and got[i]["n_found"] == 1
+    assert all(got[i]["n_found"] == 0 for i in got if i not in hidden)
+
+
 # ------------------------------------------------------------------ all of them
 
 

@@ -21,11 +21,14 @@ CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 # Bootstrapping: a context becomes a pattern with this many different identifiers; rounds of
-# scoring; confidence from which an instance counts as an identifier; digits of a candidate.
+# scoring; confidence from which an instance counts as an identifier; digits of a unit that is a
+# candidate wherever it stands; confidence from which a pattern proposes whatever stands in it.
 MIN_SUPPORT = 3
 ROUNDS = 3
 CONFIDENT = 0.8
 MIN_DIGITS = 4
+PROPOSES = 0.5
+_MOST_PROPOSALS = 20
 # Characters on each side in which context words are looked for.
 CONTEXT_REACH = 200
 # Patterns that workers hold at once while they count contexts; more are counted in several passes.
@@ -38,7 +41,9 @@ _IP = re.compile(r"(?<![0-9])" + IP)
 _CARD = re.compile(CARD)
 _PHONE = re.compile(PHONE)
 _DIGIT = re.compile(r"[0-9]")
-_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_WORD = re.compile(r"\S+")
+_NUMBER = re.compile(r"[+(]*[0-9][0-9().+/-]*[,;:!?]*")
+_LABEL = re.compile(r"[^\W\d_]+:(?!//)(?=.*\w)")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#&%$=+/\\-"
 
 
@@ -85,33 +90,68 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidate_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Words with digits that no base span touches, without punctuation at their edges."""
+def _plain(word: str) -> str:
+    """A context word: lower case, edge punctuation off, digits alike."""
+    return _DIGIT.sub("0", word.strip(_EDGE).lower()) or word[:1]
+
+
+def _pieces(word: str) -> list[tuple[int, int, str, bool, bool]]:
+    """Label and value of a word, as (start, end, context word, is a number, may go on)."""
+    label = _LABEL.match(word)
+    cuts = [0, label.end(), len(word)] if label else [0, len(word)]
     out = []
-    at = 0
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        number = _NUMBER.fullmatch(word, a, b) is not None
+        out.append((a, b, _plain(word[a:b]), number, number and word[b - 1] not in ".,;:!?"))
+    return out
+
+
+def units(text: str, cache: dict[str, list]) -> list[tuple[int, int, str]]:
+    """What can be an identifier or a context word, as (start, end, context word).
+
+    Words, with a label glued to its value split off, and groups of digits one space apart taken together.
+    """
+    if len(cache) > 300_000:
+        cache.clear()
+    out: list[tuple[int, int, str]] = []
+    going = False
+    for m in _WORD.finditer(text):
+        word, at = m.group(), m.start()
+        parts = cache.get(word)
+        if parts is None:
+            parts = cache[word] = _pieces(word)
+        for a, b, plain, number, more in parts:
+            if number and going and word[a] != "+" and text[out[-1][1] : at + a] == " ":
+                out[-1] = (out[-1][0], at + b, out[-1][2])
+            else:
+                out.append((at + a, at + b, plain))
+            going = more
+    return out
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    word = text[start:end]
+    start += len(word) - len(word.lstrip(_EDGE))
+    return start, start + len(word.strip(_EDGE))
+
+
+def free_units(text: str, found: list[tuple[int, int, str]], taken: list[tuple[int, int, int]], wanted) -> Iterator[tuple[int, int, list[str]]]:
+    """Units that no base span touches and ``wanted`` (digits, contexts) takes, without punctuation at their edges."""
     busy = sorted((a, b) for _, a, b in taken)
     position = 0
-    while found := _DIGIT.search(text, at):
-        start = found.start()
-        while start > at and not _SPACE.match(text, start - 1):
-            start -= 1
-        after = _SPACE.search(text, found.end())
-        end = at = after.start() if after else len(text)
-        word = text[start:end]
-        left = len(word) - len(word.lstrip(_EDGE))
-        start, end = start + left, start + left + len(word.strip(_EDGE))
+    for i, (start, end, _) in enumerate(found):
+        start, end = _trimmed(text, start, end)
         while position < len(busy) and busy[position][1] <= start:
             position += 1
-        if position < len(busy) and busy[position][0] < end:
+        if start == end or position < len(busy) and busy[position][0] < end:
             continue
-        if sum(c in "0123456789" for c in text[start:end]) >= MIN_DIGITS:
-            out.append((start, end))
-    return out
+        patterns = _beside(found, i)
+        if wanted(sum(c in "0123456789" for c in text[start:end]), patterns):
+            yield start, end, patterns
 
 
-def _plain(word: str) -> str:
-    """A context word: lower case, edge punctuation off, digits alike."""
-    return _DIGIT.sub("0", word.strip(_EDGE).lower()) or word[:1]
+def _beside(found: list[tuple[int, int, str]], i: int) -> list[str]:
+    return contexts(found[i - 2][2] if i > 1 else "", found[i - 1][2] if i else "", found[i + 1][2] if i + 1 < len(found) else "")
 
 
 def contexts(left2: str, left1: str, right1: str) -> list[str]:
@@ -121,11 +161,16 @@ def contexts(left2: str, left1: str, right1: str) -> list[str]:
     return [left1, f"{left2} {left1}", f"{left1} _ {right1}"]
 
 
-def _around(text: str, start: int, end: int) -> tuple[str, str, str]:
-    before = text[max(0, start - CONTEXT_REACH) : start].split()
-    after = text[end : end + CONTEXT_REACH].split()
-    left = [_plain(w) for w in before[-2:]]
-    return (left[0] if len(left) > 1 else "", left[-1] if left else "", _plain(after[0]) if after else "")
+def _around(text: str, start: int, end: int) -> list[str]:
+    """Contexts of a base span, in the units that totals are counted in."""
+    left = [u[2] for u in units(text[max(0, start - CONTEXT_REACH) : start].rstrip(_EDGE), {})[-2:]]
+    right = units(text[end : end + CONTEXT_REACH].lstrip(_EDGE), {})
+    return contexts(left[0] if len(left) > 1 else "", left[-1] if left else "", right[0][2] if right else "")
+
+
+def _digest(text: str, start: int, end: int) -> str:
+    """Values travel as digests: personal data is not written anywhere."""
+    return hashlib.md5(text[start:end].lower().encode("utf-8", "surrogatepass")).hexdigest()
 
 
 SPAN = "array<struct<k:int,s:long,e:long>>"
@@ -137,6 +182,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("k", pa.int32()), ("s", pa.int64()), ("e", pa.int64())]))
     place = pa.list_(pa.struct([
         ("k", pa.int32()), ("s", pa.int64()), ("e", pa.int64()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
+    cache: dict[str, list] = {}
     for batch in batches:
         digests, spans, places = [], [], []
         for text in batch.column(1):
@@ -145,17 +191,18 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed = ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in base)
             digests.append(hashlib.sha256(listed.encode()).hexdigest())
             spans.append([{"k": k, "s": a, "e": b} for k, a, b in base])
-            found = base + [(-1, a, b) for a, b in candidate_spans(text, base)]
-            places.append([
-                # values travel as digests: personal data is not written anywhere
-                {"k": k, "s": a, "e": b, "value": hashlib.md5(text[a:b].lower().encode("utf-8", "surrogatepass")).hexdigest(),
-                 "patterns": contexts(*_around(text, a, b))}
-                for k, a, b in found
-            ])
+            found = [(k, a, b, _around(text, a, b)) for k, a, b in base]
+            if _DIGIT.search(text):
+                free = free_units(text, units(text, cache), base, lambda digits, _: digits >= MIN_DIGITS)
+                found += [(-1, a, b, patterns) for a, b, patterns in free]
+            places.append([{"k": k, "s": a, "e": b, "value": _digest(text, a, b), "patterns": patterns} for k, a, b, patterns in found])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(digests), pa.array(spans, span), pa.array(places, place)], names=["key", "base_sha256", "base", "places"])
 
 
+FILLED = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
+
+
 def _count_contexts(wanted: list[str]):
     """How often each wanted pattern's context occurs anywhere, around whatever word."""
     heads = {p.split(" ")[0] if " _ " in p else p.split(" ")[-1] for p in wanted}
@@ -163,23 +210,13 @@ def _count_contexts(wanted: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
-        cache: dict[str, str] = {}
+        cache: dict[str, list] = {}
         for batch in batches:
             for text in batch.column(0):
-                raw = (text.as_py() or "").split()
-                words = []
-                for w in raw:
-                    p = cache.get(w)
-                    if p is None:
-                        p = cache[w] = _plain(w)
-                    words.append(p)
-                if len(cache) > 300_000:
-                    cache.clear()
-                # a word that ends a text has no word after it to be an identifier
-                for i in range(1, len(words)):
-                    left = words[i - 1]
-                    if left in heads:
-                        for p in contexts(words[i - 2] if i > 1 else "", left, words[i + 1] if i + 1 < len(words) else ""):
+                found = units(text.as_py() or "", cache)
+                for i in range(1, len(found)):
+                    if found[i - 1][2] in heads:
+                        for p in _beside(found, i):
                             if p in known:
                                 counts[p] += 1
         if counts:
@@ -189,6 +226,41 @@ def _count_contexts(wanted: list[str]):
     return run
 
 
+def _fill(wanted: list[str]):
+    """What stands in the wanted patterns and is no candidate by its digits."""
+    heads = {p.split(" ")[0] if " _ " in p else p.split(" ")[-1] for p in wanted}
+    known = set(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, list] = {}
+        for batch in batches:
+            out = []
+            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                text = text.as_py() or ""
+                found = units(text, cache)
+                hit = (found[i - 1][2] in heads and not known.isdisjoint(_beside(found, i)) for i in range(1, len(found)))
+                if any(hit):
+                    free = free_units(text, found, base_spans(text), lambda digits, ps: digits < MIN_DIGITS and not known.isdisjoint(ps))
+                    out += [(key.as_py(), a, b, _digest(text, a, b), ps) for a, b, ps in free]
+            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), FILLED, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "s", "e", "value", "patterns"])
+
+    return run
+
+
+def _proposed(rows: DataFrame, patterns: DataFrame) -> DataFrame | None:
+    """(key, s, e, value, patterns) of what stands in the patterns. Workers hold a bounded part of them at a time."""
+    passes = max(1, -(-patterns.count() // PATTERNS_AT_ONCE))
+    out = None
+    for i in range(passes):
+        wanted = [r["pattern"] for r in patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == i).toLocalIterator()]
+        if wanted:
+            part = rows.mapInArrow(_fill(wanted), "key long, s long, e long, value string, patterns array<string>")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, total) over all texts. Workers hold a bounded part of the patterns at a time."""
     spark = texts.sparkSession
@@ -202,6 +274,15 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return out.groupBy("pattern").agg(F.sum("n").alias("total"))
 
 
+def _scored(weights: DataFrame, sure: DataFrame, totals: DataFrame) -> DataFrame:
+    """Confidence of patterns: rows (pattern, k, p)."""
+    support = weights.join(sure, "value").groupBy("pattern", "k").agg(
+        F.sum(F.col("n") * F.col("confidence")).alias("weight"),
+        F.sum((F.col("confidence") >= CONFIDENT).cast("int")).alias("members"))
+    return support.where(F.col("members") >= MIN_SUPPORT).join(totals, "pattern").select(
+        "pattern", "k", F.least(F.lit(1.0), F.col("weight") / F.greatest("total", "weight")).alias("p"))
+
+
 def score_graph(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Confidence of candidates: rows (value, k, confidence).
 
@@ -217,17 +298,18 @@ def score_graph(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> Da
     weights = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
     found = None
     for _ in range(rounds):
-        support = weights.join(sure, "value").groupBy("pattern", "k").agg(
-            F.sum(F.col("n") * F.col("confidence")).alias("weight"),
-            F.sum((F.col("confidence") >= CONFIDENT).cast("int")).alias("members"))
-        scored = support.where(F.col("members") >= MIN_SUPPORT).join(totals, "pattern").select(
-            "pattern", "k", F.least(F.lit(1.0), F.col("weight") / F.greatest("total", "weight")).alias("p"))
+        scored = _scored(weights, sure, totals)
         found = keep(open_edges.select("pattern", "value").distinct().join(scored, "pattern").groupBy("value", "k").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("p")))))).alias("confidence")))
         sure = seeds.unionByName(found)
     return found
 
 
+def _edges(places: DataFrame) -> DataFrame:
+    exploded = places.select("value", "k", F.explode("patterns").alias("pattern"))
+    return exploded.groupBy("pattern", "value", "k").agg(F.count("*").alias("n"))
+
+
 def _count_kind(number: int):
     return F.size(F.filter("base", lambda x: x["k"] == number)).cast("long")
 
@@ -239,10 +321,13 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     as kind:start:end in code points, by kind, then start. A discovered span has the kind of the
     seeds whose contexts it stands in; n_found counts them.
 
-    1. Base spans are the seeds. Words with digits outside of them are candidates.
+    1. Base spans are the seeds. Units (see units) with digits outside of them are candidates.
     2. The words around seeds and candidates are patterns, where enough different instances have them.
     3. Every place in the corpus with a pattern's context is counted; Spark scores the graph of
        patterns and instances in rounds, and confident candidates become spans wherever they stand.
+    4. Patterns of at least PROPOSES then make candidates of whatever stands in them, with few digits
+       or none, and 2 and 3 go on until no new pattern proposes. What they propose becomes a span
+       only where it stands in one of them.
 
     Null text counts as empty; texts are read in whole; repeated rows get the same answer; null and
     repeated identifiers are allowed; an empty table gives an empty result; other columns are not read.
@@ -252,14 +337,34 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.select("key", "text")
     extracted = keep(rows.mapInArrow(_extract, f"key long, base_sha256 string, base {SPAN}, places {PLACES}"))
     places = extracted.select("key", F.explode("places").alias("place")).select("key", "place.*")
-    edges = places.select("value", "k", F.explode("patterns").alias("pattern")).groupBy("pattern", "value", "k").agg(F.count("*").alias("n"))
-    known = edges.groupBy("pattern").agg(
-        F.count_distinct("value").alias("values"), F.max("k").alias("seeded"), F.min("k").alias("open"))
-    # patterns that no candidate or no seed stands in say nothing about candidates
-    useful = keep(known.where((F.col("values") >= MIN_SUPPORT)).select("pattern"))
-    edges = keep(edges.join(useful, "pattern", "left_semi"))
-    totals = keep(_totals(rows.select("text"), useful))
-    found = score_graph(edges, totals, rounds).where(F.col("confidence") >= CONFIDENT)
+    every = keep(_edges(places))
+    spark = docs.sparkSession
+    totals, counted, proposed = None, spark.createDataFrame([], "pattern string"), spark.createDataFrame([], "pattern string")
+    for _ in range(_MOST_PROPOSALS):
+        known = every.groupBy("pattern").agg(F.count_distinct("value").alias("values"))
+        useful = keep(known.where(F.col("values") >= MIN_SUPPORT).select("pattern"))
+        edges = keep(every.join(useful, "pattern", "left_semi"))
+        fresh = keep(useful.join(counted, "pattern", "left_anti"))
+        counts = keep(_totals(rows.select("text"), fresh))
+        totals = counts if totals is None else totals.unionByName(counts)
+        counted = counted.unionByName(fresh)
+        found = score_graph(edges, totals, rounds)
+        seeds = edges.where("k >= 0").select("value", "k").distinct().withColumn("confidence", F.lit(1.0))
+        weights = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
+        able = _scored(weights, seeds.unionByName(found), totals).where(F.col("p") >= PROPOSES).select("pattern").distinct()
+        able = keep(able.join(proposed, "pattern", "left_anti"))
+        filled = _proposed(rows, able)
+        if filled is None:
+            break
+        proposed = proposed.unionByName(able)
+        old = places.where("k < 0").select("key", "s", "e")
+        filled = filled.dropDuplicates(["key", "s", "e"]).join(old, ["key", "s", "e"], "left_anti").withColumn("k", F.lit(-1))
+        filled = keep(filled.select(*places.columns))
+        places = places.unionByName(filled)
+        every = keep(_edges(places))
+    else:
+        raise RuntimeError("patterns did not stop proposing")
+    found = found.where(F.col("confidence") >= CONFIDENT)
     best = found.groupBy("value").agg(F.max("confidence").alias("confidence")).join(found, ["value", "confidence"])
     best = best.groupBy("value").agg(F.min("k").alias("kind"))
     more = places.where("k < 0").join(best, "value").groupBy("key").agg(
