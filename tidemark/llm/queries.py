@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import content_sort, ego_join, langid, line_dedup, mixing, packing, pii, simhash, suffix_dedup, toxicity
+from tidemark.llm import (
+    content_sort, ego_join, importance, langid, line_dedup, mixing, packing, pii, simhash, spelling, suffix_dedup, toxicity,
+    url_filter,
+)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,11 +72,25 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return ego_join.embedding_groups(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, folder))
+
+
+def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_filter.RULES), url_filter.RULES_DDL)
+    return url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), rules)
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_exact_dedup, op3_toxicity, op4_pii, op5_suffix_dedup,
         op6_simhash, op7_line_dedup, op7_line_passages, op8_packing, op9_mixing, op10_embedding_dedup,
+        op11_spelling_variants, op12_url_filters, op13_importance,
     )
 }
 ORACLES: dict[str, str] = {
@@ -82,4 +99,5 @@ ORACLES: dict[str, str] = {
     "op7_line_passages": line_dedup.PASSAGES_ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_embedding_dedup": ego_join.ORACLE,
+    "op12_url_filters": url_filter.ORACLE,
 }
