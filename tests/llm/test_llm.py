@@ -655,7 +655,7 @@ def plain(value):
 def test_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     engine = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "pages"):
         engine.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     made = queries.QUERIES[name](spark, SMALL)
     result = engine.execute(queries.ORACLES[name])

@@ -23,6 +23,31 @@ DRAWN_PERCENT = 5
 SEED = 42
 
 
+class Crc:
+    """CRC-32 of texts put together, for whole arrays: appending n bytes acts on a CRC as one linear map per n."""
+
+    def __init__(self, appended: list[bytes]):
+        self.own = np.array([zlib.crc32(a) for a in appended], dtype=np.uint32)
+        lengths, self.kind = np.unique(np.array([len(a) for a in appended], dtype=np.int64), return_inverse=True)
+        self.tables = np.stack([self._map(n) for n in lengths.tolist()]) if len(lengths) else np.zeros((1, 4, 256), np.uint32)
+
+    @staticmethod
+    def _map(n: int) -> np.ndarray:
+        """The map of n bytes as four tables, one per byte of the CRC, from its images of single bits."""
+        zeros, table, byte = bytes(n), np.zeros((4, 256), dtype=np.uint32), np.arange(256)
+        for bit in range(32):
+            image = zlib.crc32(zeros, 1 << bit) ^ zlib.crc32(zeros)
+            table[bit // 8] ^= np.where(byte >> (bit % 8) & 1, image, 0).astype(np.uint32)
+        return table
+
+    def after(self, before: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """CRCs of the texts with CRCs ``before``, each followed by the appended text number ``which``."""
+        kind, out = self.kind.take(which), self.own.take(which)
+        for place in range(4):
+            out = out ^ self.tables[kind, place, before >> np.uint32(8 * place) & np.uint32(255)]
+        return out
+
+
 class Features:
     """The word runs of a batch of texts: per length of run, the bucket of each distinct run and where it occurs."""
 
@@ -36,9 +61,9 @@ class Features:
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.words = np.bincount(self.row, minlength=len(texts))
         # (row of each run, number of its distinct run, bucket of each distinct run)
-        crcs = [zlib.crc32(n) for n in names]
-        self.runs = [(self.row, index, self._bucket(crcs, buckets))]
-        spaced = [b" " + n for n in names]
+        crcs = np.array([zlib.crc32(n) for n in names], dtype=np.uint32)
+        self.runs = [(self.row, index, crcs.astype(np.int64) % buckets)]
+        spaced, base = Crc([b" " + n for n in names]), max(len(names), 1)
         run, at = index, np.arange(len(index))
         for length in range(2, LONGEST_RUN + 1):
             # the run that starts here, one word longer: its number so far beside the index of the next word
@@ -46,16 +71,11 @@ class Features:
             at, run = at[inside], run[inside]
             same = self.row[at] == self.row[at + length - 1]
             at, run = at[same], run[same]
-            pairs = pa.array(run * max(len(names), 1) + index[at + length - 1]).dictionary_encode()
+            pairs = pa.array(run * base + index[at + length - 1]).dictionary_encode()
             distinct = pairs.dictionary.to_numpy(zero_copy_only=False)
-            before, last = distinct // max(len(names), 1), distinct % max(len(names), 1)
-            crcs = [zlib.crc32(spaced[b], crcs[a]) for a, b in zip(before.tolist(), last.tolist())]
+            crcs = spaced.after(crcs.take(distinct // base), distinct % base)
             run = pairs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            self.runs.append((self.row[at], run, self._bucket(crcs, buckets)))
-
-    @staticmethod
-    def _bucket(crcs: list[int], buckets: int) -> np.ndarray:
-        return np.array(crcs, dtype=np.int64) % buckets
+            self.runs.append((self.row[at], run, crcs.astype(np.int64) % buckets))
 
     def counts(self, buckets: int) -> np.ndarray:
         """How many runs of the batch fall into each bucket."""

@@ -156,8 +156,9 @@ def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: list[tuple] = []
 
     def close(rows: list[tuple]) -> None:
-        if len(rows) > 1:
-            found.extend(_neighbours([r[3] for r in rows], [r[4] for r in rows], rows[0][1], rows[0][2]))
+        _, shorter, apart, *_ = rows[0] if rows else (None, None, None)
+        if len(rows) > 1 and any(len(r[3]) == shorter for r in rows):
+            found.extend(_neighbours([r[3] for r in rows], [r[4] for r in rows], shorter, apart))
 
     def out() -> pa.RecordBatch:
         columns = list(zip(*found)) if found else [(), (), (), ()]
