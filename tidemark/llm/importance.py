@@ -134,7 +134,8 @@ def bucket_gains(docs: DataFrame, target: DataFrame, text_col: str = "text", buc
     wanted = bucket_counts(target, text_col, buckets).select("bucket", F.col("n").alias("t"))
     every = spark.range(buckets).withColumnRenamed("id", "bucket").join(source, "bucket", "left").join(wanted, "bucket", "left")
     pairs = every.select("bucket", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("t", F.lit(0)).alias("t"))
-    found = pairs.orderBy("bucket").toPandas()
+    # sorted here: a distributed sort would sample its input, which reads the texts once more
+    found = pairs.toPandas().sort_values("bucket")
     s, t = found["s"].to_numpy(dtype=float), found["t"].to_numpy(dtype=float)
     ratio = (t + 1) * (s.sum() + buckets) / ((s + 1) * (t.sum() + buckets))
     return np.floor(1000 * np.log(ratio)).astype(np.int64)
