@@ -185,16 +185,29 @@ register(
 )
 
 # ---- bootstrap ---------------------------------------------------------------------------------
-_CDF = ", ".join(repr(p) for p in ex._POISSON_1)
+# A weight is the number of bounds that a mixed 32-bit number reaches. Users and replicates have keys;
+# the steps x, y, z are the two rounds of the mixing.
 
 
-def _draws(replicates: int) -> str:
+def _round(source: str, result: str, start: str) -> str:
     return f"""
-    h AS (SELECT xusers.*, b, md5('{ex.BOOTSTRAP_SEED}|' || user_id || '|' || b) AS d
-          FROM xusers, (SELECT unnest(range({replicates // 4})) AS b) blocks),
-    x AS (SELECT h.*, b * 4 + i AS rep,
-                 len(list_filter([{_CDF}]::DOUBLE[], lambda c: c <= ('0x' || substr(d, (8 * i + 1)::BIGINT, 8))::BIGINT / 4294967296)) AS w
-          FROM h, (SELECT unnest(range(4)) AS i) parts)"""
+    {result}0 AS (SELECT * REPLACE ({start} AS h) FROM {source}),
+    {result}1 AS (SELECT * REPLACE (xor(h, h >> 16) * {ex.MIX_1} & 4294967295 AS h) FROM {result}0),
+    {result}2 AS (SELECT * REPLACE (xor(h, h >> 13) * {ex.MIX_2} & 4294967295 AS h) FROM {result}1),
+    {result} AS (SELECT * REPLACE (xor(h, h >> 16) AS h) FROM {result}2)"""
+
+
+def _draws(replicates: int, users: str = "xusers") -> str:
+    """CTE x: the columns of ``users`` once per replicate, with rep and the weight w."""
+    stem = f"md5('{ex.BOOTSTRAP_SEED}|' || user_id)"
+    reached = " + ".join(f"(h >= {bound})::INT" for bound in ex.WEIGHT_BOUNDS)
+    return f"""
+    keyed AS MATERIALIZED (SELECT *, ('0x' || substr({stem}, 1, 8))::UBIGINT AS k1, ('0x' || substr({stem}, 9, 8))::UBIGINT AS k2
+                           FROM {users}),
+    turns AS MATERIALIZED (SELECT rep, ('0x' || substr(md5('{ex.BOOTSTRAP_SEED}#' || rep), 1, 8))::UBIGINT AS k FROM range({replicates}) t(rep)),
+    paired AS (SELECT keyed.*, rep, xor(k1, k) AS h FROM keyed, turns),
+    {_round("paired", "y", "h")}, {_round("y", "z", "(h + k2) & 4294967295")},
+    x AS (SELECT * EXCLUDE (h, k1, k2), {reached} AS w FROM z)"""
 
 
 REPORT = """
@@ -218,16 +231,48 @@ register(
     BOOT_MEAN,
     BOOT_DOUBLES,
 )
-MEDIAN_COLUMNS = ", ".join(f"median({m}) AS {m}" for m in ex.USER_METRICS)
+# Medians: values far from the middle (4 square roots of the group's size, and more than any replicate
+# strays) only count as below or above; the rest is cumulated per replicate from one row per value.
+_FAR = "(4 * ceil(sqrt(n)) + 2)::BIGINT"
+_ENDS = ", ".join(
+    f"(SELECT l[greatest(1, (n + 1) // 2 - {_FAR})] FROM (SELECT list_sort(list({m})) AS l, count({m}) AS n FROM {{users}} i WHERE i.experiment_group = g.experiment_group)) AS {m}_lo, "
+    f"(SELECT l[least(n, n // 2 + 1 + {_FAR})] FROM (SELECT list_sort(list({m})) AS l, count({m}) AS n FROM {{users}} i WHERE i.experiment_group = g.experiment_group)) AS {m}_hi"
+    for m in ex.USER_METRICS
+)
+_CLASSES = ", ".join(
+    f"CASE WHEN {m} < {m}_lo THEN '-inf'::DOUBLE WHEN {m} > {m}_hi THEN 'inf'::DOUBLE ELSE {m} END AS {m}" for m in ex.USER_METRICS
+)
+_SETS = ", ".join(f"(rep, experiment_group, {m})" for m in ex.USER_METRICS)
+_METRIC = " ".join(f"WHEN grouping({m}) = 0 THEN '{m}'" for m in ex.USER_METRICS)
+_VALUE = " ".join(f"WHEN grouping({m}) = 0 THEN {m}" for m in ex.USER_METRICS)
+
+
+def _boot_median(users: str, rows: str) -> str:
+    return f"""WITH ends AS MATERIALIZED (SELECT experiment_group, {_ENDS.replace("{users}", users)} FROM (SELECT DISTINCT experiment_group FROM {users}) g),
+        classed AS MATERIALIZED (SELECT user_id, experiment_group, {_CLASSES} FROM {users} JOIN ends USING (experiment_group)),
+        {_draws(REPLICATES, "classed")},
+        c AS (SELECT rep, experiment_group, CASE {_METRIC} END AS metric, CASE {_VALUE} END AS v, sum(w) AS k
+              FROM x WHERE w > 0 GROUP BY GROUPING SETS ({_SETS})),
+        q AS (SELECT *, sum(k) OVER (own ORDER BY v) - k AS below, sum(k) OVER own AS n FROM c WHERE v IS NOT NULL
+              WINDOW own AS (PARTITION BY metric, experiment_group, rep)),
+        s AS (SELECT metric, rep, experiment_group, (max(v) FILTER (below <= (n - 1) // 2 AND (n - 1) // 2 < below + k)
+                     + max(v) FILTER (below <= n // 2 AND n // 2 < below + k)) / 2 AS v FROM q GROUP BY 1, 2, 3),
+        r AS (SELECT metric, rep, max(v) FILTER (experiment_group = 'B') - max(v) FILTER (experiment_group = 'A') AS diff
+              FROM s GROUP BY 1, 2),
+        {REPORT.format(stat="median", seed=ex.BOOTSTRAP_SEED).replace("FROM xlong", f"FROM {rows}")}"""
+
+
 register(
     "bootstrap_median_difference",
     lambda w: ex.bootstrap_diff(wide(w), iterations=REPLICATES, statistic="median"),
-    f"""WITH {_draws(REPLICATES)},
-        s AS (SELECT rep, experiment_group, {MEDIAN_COLUMNS} FROM x, range(12) t(j) WHERE j < w GROUP BY 1, 2),
-        l AS (UNPIVOT s ON {', '.join(ex.USER_METRICS)} INTO NAME metric VALUE v),
-        r AS (SELECT metric, rep, max(v) FILTER (experiment_group = 'B') - max(v) FILTER (experiment_group = 'A') AS diff
-              FROM l GROUP BY 1, 2),
-        {REPORT.format(stat="median", seed=ex.BOOTSTRAP_SEED)}""",
+    _boot_median("xusers", "xlong"),
+    BOOT_DOUBLES,
+)
+# most users of the test tables have no task, so their medians are 0; those with a task differ
+register(
+    "bootstrap_median_active_users",
+    lambda w: ex.bootstrap_diff(wide(w).where("total_tasks > 0"), iterations=REPLICATES, statistic="median"),
+    _boot_median("(SELECT * FROM xusers WHERE total_tasks > 0)", "xlong SEMI JOIN (SELECT user_id FROM xusers WHERE total_tasks > 0) u USING (user_id)"),
     BOOT_DOUBLES,
 )
 

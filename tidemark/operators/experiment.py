@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from hashlib import md5
 
@@ -629,49 +630,81 @@ _POISSON_1 = [
 ]
 
 
+# a uniform 32-bit number below the k-th bound has a weight of at most k
+WEIGHT_BOUNDS = [math.ceil(p * 2**32) for p in _POISSON_1]
+# multipliers of the 32-bit finaliser that mixes a user's key with a replicate's
+MIX_1, MIX_2 = 2246822507, 3266489909
+_LOW_32 = 0xFFFFFFFF
+
+
+def _key(text: Column, start: int) -> Column:
+    """Eight hexadecimal digits of a text's MD5 as a number."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), start, 8), 16, 10).cast("long")
+
+
+def _times(number: Column, factor: int) -> Column:
+    """The product's low 32 bits, from two products that fit a long."""
+    low = number.bitwiseAND(0xFFFF) * factor
+    high = (F.shiftright(number, 16) * factor).bitwiseAND(0xFFFF) * 65536
+    return (low + high).bitwiseAND(_LOW_32)
+
+
+def _mixed(number: Column) -> Column:
+    number = _times(number.bitwiseXOR(F.shiftright(number, 16)), MIX_1)
+    number = _times(number.bitwiseXOR(F.shiftright(number, 13)), MIX_2)
+    return number.bitwiseXOR(F.shiftright(number, 16))
+
+
 def poisson_weights(
     users: DataFrame, iterations: int, seed: int = BOOTSTRAP_SEED, user: str = "user_id"
 ) -> DataFrame:
     """Every user once per replicate with a Poisson(1) weight that depends only on (seed, user, replicate).
 
-    One md5 gives four replicates (32 bits each). Zero weights are dropped at once. No random
-    generator is involved: repartitioning, retries and lost executors cannot change a weight.
+    Users and replicates have keys, hashed once each (64 and 32 bits); a weight comes from mixing the two.
+    Zero weights are dropped at once. No random generator is involved: repartitioning, retries and lost
+    executors cannot change a weight.
     """
     # The rows multiply here, so they are spread first: AQE sizes tasks by input bytes and would
     # leave a small input in one task. A hash of the key keeps the planner from dropping the
     # exchange in favour of an existing partitioning by the key itself.
     session = users.sparkSession
     tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
-    users = users.repartition(tasks, F.xxhash64(user))
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // 4)))
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(user).cast("string"), F.col("__block").cast("string")))
-    hashed = users.withColumn("__block", blocks).withColumn("__digest", digest)
-    number = lambda i: F.conv(F.substring("__digest", 8 * i + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    draws = F.array(
-        *[F.struct((F.col("__block") * 4 + i).alias("rep"), number(i).alias("u")) for i in range(4)]
-    )
-    drawn = hashed.withColumn("__d", F.explode(draws)).drop("__block", "__digest")
-    weight = sum((F.col("__d.u") >= p).cast("int") for p in _POISSON_1)
-    return (
-        drawn.select("*", F.col("__d.rep").alias("rep"), weight.alias("weight"))
-        .drop("__d")
-        .where((F.col("rep") < iterations) & (F.col("weight") > 0))
-    )
+    named = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(user).cast("string"), F.lit("")))
+    keyed = users.withColumns({"__k1": _key(named, 1), "__k2": _key(named, 9)}).repartition(tasks, F.xxhash64(user))
+    drawn = keyed.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))))
+    replicate = _key(F.concat(F.lit(f"{seed}#"), F.col("rep").cast("string")), 1)
+    first = drawn.withColumn("__x", _mixed(F.col("__k1").bitwiseXOR(replicate)))
+    second = first.withColumn("__x", _mixed((F.col("__x") + F.col("__k2")).bitwiseAND(_LOW_32)))
+    weight = sum((F.col("__x") >= bound).cast("int") for bound in WEIGHT_BOUNDS)
+    return second.withColumn("weight", weight).drop("__k1", "__k2", "__x").where(F.col("weight") > 0)
 
 
 # Users whose weights one task holds at a time.
 _USERS_AT_ONCE = 128
 
 
+def _mix(numbers: np.ndarray) -> np.ndarray:
+    """``_mixed`` on an array of unsigned 32-bit numbers, in place; products wrap."""
+    numbers ^= numbers >> np.uint32(16)
+    numbers *= np.uint32(MIX_1)
+    numbers ^= numbers >> np.uint32(13)
+    numbers *= np.uint32(MIX_2)
+    numbers ^= numbers >> np.uint32(16)
+    return numbers
+
+
 def _weights(users: Sequence[str | None], replicates: range, seed: int) -> np.ndarray:
-    """The weights of ``poisson_weights``, users x replicates; the range starts at a multiple of four."""
-    blocks = [str(b).encode() for b in range(replicates.start // 4, (replicates.stop - 1) // 4 + 1)]
-    digests = bytearray()
-    for user in users:
-        stem = f"{seed}|".encode() + (b"" if user is None else f"{user}|".encode())
-        digests += b"".join([md5(stem + b, usedforsecurity=False).digest() for b in blocks])
-    uniform = np.frombuffer(digests, ">u4").reshape(-1, 4 * len(blocks))[:, : len(replicates)] / 4294967296.0
-    return np.searchsorted(np.array(_POISSON_1), uniform, side="right").astype(float)
+    """The weights of ``poisson_weights``, users x replicates."""
+    names = b"".join(md5(f"{seed}|{user or ''}".encode(), usedforsecurity=False).digest()[:8] for user in users)
+    keys = np.frombuffer(names, ">u4").reshape(-1, 2).astype(np.uint32)
+    stems = b"".join(md5(f"{seed}#{rep}".encode(), usedforsecurity=False).digest()[:4] for rep in replicates)
+    numbers = _mix(keys[:, :1] ^ np.frombuffer(stems, ">u4").astype(np.uint32)[None, :])
+    numbers += keys[:, 1:]
+    numbers = _mix(numbers)
+    weights = np.zeros(numbers.shape, dtype=np.uint8)
+    for bound in WEIGHT_BOUNDS:
+        weights += numbers >= np.uint32(bound)
+    return weights.astype(float)
 
 
 def _weighted_sums(metrics: Sequence[str], iterations: int, seed: int):
@@ -722,7 +755,7 @@ def _replicate_sums(compared: DataFrame, metrics: Sequence[str], iterations: int
 
 # Half the bracket around a median, in square roots of the number of users: eight standard deviations of its rank.
 _BRACKET = 4.0
-# Replicates whose medians one task finds at a time; a multiple of four.
+# Replicates whose medians one task finds at a time.
 _REPLICATES_AT_ONCE = 200
 
 
