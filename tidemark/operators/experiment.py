@@ -634,25 +634,8 @@ _POISSON_1 = [
 WEIGHT_BOUNDS = [math.ceil(p * 2**32) for p in _POISSON_1]
 # multipliers of the 32-bit finaliser that mixes a user's key with a replicate's
 MIX_1, MIX_2 = 2246822507, 3266489909
-_LOW_32 = 0xFFFFFFFF
-
-
-def _key(text: Column, start: int) -> Column:
-    """Eight hexadecimal digits of a text's MD5 as a number."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), start, 8), 16, 10).cast("long")
-
-
-def _times(number: Column, factor: int) -> Column:
-    """The product's low 32 bits, from two products that fit a long."""
-    low = number.bitwiseAND(0xFFFF) * factor
-    high = (F.shiftright(number, 16) * factor).bitwiseAND(0xFFFF) * 65536
-    return (low + high).bitwiseAND(_LOW_32)
-
-
-def _mixed(number: Column) -> Column:
-    number = _times(number.bitwiseXOR(F.shiftright(number, 16)), MIX_1)
-    number = _times(number.bitwiseXOR(F.shiftright(number, 13)), MIX_2)
-    return number.bitwiseXOR(F.shiftright(number, 16))
+# Replicates of a user that poisson_weights draws at a time.
+_DRAWN_AT_ONCE = 1000
 
 
 def poisson_weights(
@@ -669,14 +652,21 @@ def poisson_weights(
     # exchange in favour of an existing partitioning by the key itself.
     session = users.sparkSession
     tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
-    named = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(user).cast("string"), F.lit("")))
-    keyed = users.withColumns({"__k1": _key(named, 1), "__k2": _key(named, 9)}).repartition(tasks, F.xxhash64(user))
-    drawn = keyed.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))))
-    replicate = _key(F.concat(F.lit(f"{seed}#"), F.col("rep").cast("string")), 1)
-    first = drawn.withColumn("__x", _mixed(F.col("__k1").bitwiseXOR(replicate)))
-    second = first.withColumn("__x", _mixed((F.col("__x") + F.col("__k2")).bitwiseAND(_LOW_32)))
-    weight = sum((F.col("__x") >= bound).cast("int") for bound in WEIGHT_BOUNDS)
-    return second.withColumn("weight", weight).drop("__k1", "__k2", "__x").where(F.col("weight") > 0)
+
+    def draw(names: pd.Series, starts: pd.Series) -> pd.Series:
+        found = pd.Series([None] * len(names), dtype=object)
+        for start in starts.unique():
+            own = np.flatnonzero(starts == start)
+            turns = range(int(start), min(int(start) + _DRAWN_AT_ONCE, iterations))
+            for place, weights in zip(own, _weights(names.iloc[own].tolist(), turns, seed).astype(int), strict=True):
+                found[place] = weights
+        return found
+
+    parts = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1), F.lit(_DRAWN_AT_ONCE)))
+    spread = users.repartition(tasks, F.xxhash64(user)).withColumn("__start", parts)
+    drawn = F.pandas_udf(draw, "array<int>")(F.col(user).cast("string"), F.col("__start"))
+    placed = spread.withColumn("__drawn", drawn).select("*", F.posexplode("__drawn").alias("__at", "weight"))
+    return placed.withColumn("rep", F.col("__start") + F.col("__at")).drop("__start", "__drawn", "__at").where(F.col("weight") > 0)
 
 
 # Users whose weights one task holds at a time.
@@ -684,7 +674,7 @@ _USERS_AT_ONCE = 128
 
 
 def _mix(numbers: np.ndarray) -> np.ndarray:
-    """``_mixed`` on an array of unsigned 32-bit numbers, in place; products wrap."""
+    """The 32-bit finaliser on an array of unsigned numbers, in place; products wrap."""
     numbers ^= numbers >> np.uint32(16)
     numbers *= np.uint32(MIX_1)
     numbers ^= numbers >> np.uint32(13)
