@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import register
-from catalog.views import AS_OF, Z95, Z975, t_quantile
+from catalog.views import AS_OF, LAYERS, Z95, Z975, t_quantile
 from tidemark.operators import experiment as ex
+from tidemark.operators import readout as ro
+from tidemark.sources.sinks import written_once
 
 EXPERIMENT = "exp_autofill"
 MARGINS = {"avg_agent_latency_ms": 1.15, "total_cost_usd": 1.15, "avg_field_accuracy": 1.05}
@@ -20,6 +22,11 @@ def wide(w):
     return ex.clean_user_metrics(EXPERIMENT, w.clean_assignments, w.ab_test_user_metrics, w.contaminated_users)
 
 
+def written(w):
+    """The per-user frame for what reads it more than once."""
+    return written_once(wide(w))
+
+
 def long(w):
     return ex.long_metrics(wide(w))
 
@@ -177,7 +184,7 @@ register(
 )
 register(
     "summary_stats",
-    lambda w: ex.summary_stats(long(w)),
+    lambda w: ex.summary_stats(ex.long_metrics(written(w))),
     """SELECT experiment_group, metric, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max,
               count(*) AS n, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75
        FROM xlong GROUP BY 1, 2""",
@@ -227,7 +234,7 @@ BOOT_MEAN = f"""WITH {_draws(REPLICATES)},
         {REPORT.format(stat="avg", seed=ex.BOOTSTRAP_SEED)}"""
 register(
     "bootstrap_mean_difference",
-    lambda w: ex.bootstrap_diff(wide(w), iterations=REPLICATES),
+    lambda w: ex.bootstrap_diff(written(w), iterations=REPLICATES),
     BOOT_MEAN,
     BOOT_DOUBLES,
 )
@@ -264,14 +271,14 @@ def _boot_median(users: str, rows: str) -> str:
 
 register(
     "bootstrap_median_difference",
-    lambda w: ex.bootstrap_diff(wide(w), iterations=REPLICATES, statistic="median"),
+    lambda w: ex.bootstrap_diff(written(w), iterations=REPLICATES, statistic="median"),
     _boot_median("xusers", "xlong"),
     BOOT_DOUBLES,
 )
 # most users of the test tables have no task, so their medians are 0; those with a task differ
 register(
     "bootstrap_median_active_users",
-    lambda w: ex.bootstrap_diff(wide(w).where("total_tasks > 0"), iterations=REPLICATES, statistic="median"),
+    lambda w: ex.bootstrap_diff(written(w).where("total_tasks > 0"), iterations=REPLICATES, statistic="median"),
     _boot_median("(SELECT * FROM xusers WHERE total_tasks > 0)", "xlong SEMI JOIN (SELECT user_id FROM xusers WHERE total_tasks > 0) u USING (user_id)"),
     BOOT_DOUBLES,
 )
@@ -280,7 +287,7 @@ register(
 
 
 def _readout(w):
-    return ex.experiment_readout(wide(w), w.clean_assignments, EXPERIMENT, guardrails=MARGINS, iterations=REPLICATES)
+    return ex.experiment_readout(written(w), w.clean_assignments, EXPERIMENT, guardrails=MARGINS, iterations=REPLICATES)
 
 
 GUARDS = f"""WITH g AS (SELECT *, {t_quantile(Z95, 'df')} * se AS reach,
@@ -421,3 +428,176 @@ register(
     "user_metric_histograms", _histograms,
     _histogram_sql("task_success_rate") + " UNION ALL " + _histogram_sql("avg_field_accuracy"), "bin_start bin_end",
 )
+
+# ---- configured readout ------------------------------------------------------------------------
+CONFIG = {
+    "experiment_id": EXPERIMENT,
+    "design": {"traffic_split": [0.5, 0.5]},
+    # fixed values: metrics, directions and margins of the experiment's configuration
+    "metrics": {
+        "primary": [{"name": "form_export_rate", "direction": "higher_is_better"}],
+        "secondary": [
+            {"name": "task_success_rate", "direction": "higher_is_better"},
+            {"name": "field_accuracy", "direction": "higher_is_better"},
+            {"name": "manual_edit_rate", "direction": "lower_is_better"},
+        ],
+    },
+    "guardrails": [
+        {"name": "p95_latency_ms", "threshold_relative": 1.15},
+        {"name": "cost_per_successful_task_usd", "threshold_relative": 1.10},
+        {"name": "abandonment_rate", "threshold_relative": 1.05},
+        {"name": "agent_error_rate", "threshold_relative": 1.05},
+    ],
+    "analysis": {
+        "significance_level": 0.05,
+        "bootstrap_iterations": REPLICATES,
+        "segment_dimensions": ["device_type", "user_segment", "document_complexity", "acquisition_channel"],
+    },
+}
+CONFIGURED = ro.Experiment.from_mapping(CONFIG)
+TESTED = CONFIGURED.named(ro.PRIMARY, ro.SECONDARY)
+GUARDED = CONFIGURED.named(ro.GUARDRAIL)
+
+
+def configured_frame(w) -> DataFrame:
+    return ro.user_metric_frame(CONFIGURED, w.assignments, w.task_outcomes, w.runs)
+
+
+def configured_segments(w) -> DataFrame:
+    frame = ro.segment_frame(CONFIGURED, w.assignments, w.users, w.documents, w.task_outcomes, w.runs)
+    return ro.segment_readout(CONFIGURED, frame)
+
+
+def _user_values(task_join: str = "", run_join: str = "", key: str = "") -> str:
+    """CTEs t and r: one row per user (and ``key``), and the metric expressions over them."""
+    return f"""
+    t AS (SELECT user_id, {key} count(task_id) AS tasks, count(*) FILTER (is_successful) AS ok,
+                 count(*) FILTER (uploaded_at IS NOT NULL AND NOT is_successful) AS lost, avg(field_edit_count) AS edits
+          FROM outcomes {task_join} GROUP BY ALL),
+    u AS (SELECT user_id, {key} avg((error_type IS NOT NULL)::INT) AS errors, sum(estimated_cost_usd) AS cost,
+                 avg(field_accuracy) AS accuracy, quantile_cont(total_latency_ms, 0.95) AS p95
+          FROM runs {run_join} GROUP BY ALL)"""
+
+
+_NAMED = """coalesce(ok / nullif(tasks, 0), 0) AS form_export_rate, coalesce(ok / nullif(tasks, 0), 0) AS task_success_rate,
+            coalesce(accuracy, 0) AS field_accuracy, coalesce(edits, 0) AS manual_edit_rate, coalesce(p95, 0) AS p95_latency_ms,
+            coalesce(cost / nullif(ok, 0), 0) AS cost_per_successful_task_usd, coalesce(lost / nullif(tasks, 0), 0) AS abandonment_rate,
+            coalesce(errors, 0) AS agent_error_rate"""
+_EVERY = ", ".join(TESTED + GUARDED)
+LAYERS["assigned"] = f"""
+    SELECT user_id, experiment_group, NOT bool_or(is_contaminated) AND user_id NOT IN (SELECT user_id FROM contaminated) AS analysed
+    FROM clean WHERE experiment_id = '{EXPERIMENT}' GROUP BY user_id, experiment_group"""
+LAYERS["named_users"] = f"""
+    WITH {_user_values()}
+    SELECT user_id, experiment_group, analysed, {_NAMED} FROM assigned LEFT JOIN t USING (user_id) LEFT JOIN u USING (user_id)"""
+_GRADED = _user_values(
+    "JOIN (SELECT document_id, complexity_level AS level FROM docs) d USING (document_id)",
+    "JOIN (SELECT DISTINCT task_id, complexity_level AS level FROM outcomes JOIN docs USING (document_id)) d USING (task_id)", "level,",
+)
+_OWN = ("device_type", "user_segment", "acquisition_channel")
+LAYERS["named_segments"] = f"""
+    WITH {_GRADED}
+    SELECT * FROM (UNPIVOT (SELECT n.*, {', '.join(_OWN)} FROM named_users n JOIN users USING (user_id)) ON {', '.join(_OWN)} INTO NAME dimension VALUE level)
+    UNION ALL BY NAME
+    SELECT user_id, experiment_group, analysed, {_NAMED}, 'document_complexity' AS dimension, level
+    FROM assigned JOIN t USING (user_id) LEFT JOIN u USING (user_id, level) WHERE tasks > 0"""
+LAYERS["named_long"] = f"UNPIVOT (SELECT 'all' AS dimension, 'all' AS level, * FROM named_users WHERE analysed) ON {_EVERY} INTO NAME metric VALUE value"
+LAYERS["named_segments_long"] = f"UNPIVOT (SELECT * FROM named_segments WHERE analysed) ON {_EVERY} INTO NAME metric VALUE value"
+for _long_rows in ("named_long", "named_segments_long"):
+    LAYERS[f"{_long_rows}_moments"] = LAYERS["moments"].replace("SELECT metric,", "SELECT dimension, level, metric,").replace(
+        "FROM xlong GROUP BY metric", f"FROM {_long_rows} GROUP BY dimension, level, metric")
+    LAYERS[f"{_long_rows}_welch"] = LAYERS["welch"].replace("FROM moments", f"FROM {_long_rows}_moments").replace(
+        "FROM p", "FROM p WHERE a_n >= 2 AND b_n >= 2")
+
+
+def _listed(names: list[str]) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+def _effect_sql(rows: str, extra: str = "") -> str:
+    half = f"{t_quantile(Z975, 'df')} * se"
+    return f"""SELECT dimension, level, metric, a_n, b_n, a_mean, b_mean, mean_diff, t AS welch_t_stat, p AS p_value,
+        coalesce(mean_diff / nullif(sqrt((a_std ^ 2 + b_std ^ 2) / 2), 0), 0) AS cohens_d, mean_diff - {half} AS ci_lower,
+        mean_diff + {half} AS ci_upper, coalesce(p < 0.05, false) AS significant {extra} FROM {rows}_welch WHERE metric IN {_listed(TESTED)}"""
+
+
+def _guard_sql(rows: str) -> str:
+    margins = " ".join(f"WHEN '{m.name}' THEN {m.margin}::DOUBLE" for m in CONFIGURED.metrics if m.role == ro.GUARDRAIL)
+    return f"""SELECT *, diff - reach AS ci_lower, diff + reach AS ci_upper, reach = 0 OR diff + reach < (margin - 1) * a_mean AS passed
+        FROM (SELECT dimension, level, metric, a_mean, b_mean, b_mean - a_mean AS diff, coalesce((b_mean - a_mean) * 100 / nullif(a_mean, 0), 0) AS diff_pct,
+                     CASE metric {margins} END AS margin, CASE WHEN se > 0 THEN {t_quantile(Z95, 'df')} * se ELSE 0 END AS reach
+              FROM (SELECT *, sqrt(a_std ^ 2 / a_n + b_std ^ 2 / b_n) AS se,
+                           (a_std ^ 2 / a_n + b_std ^ 2 / b_n) ^ 2 / nullif((a_std ^ 2 / a_n) ^ 2 / (a_n - 1) + (b_std ^ 2 / b_n) ^ 2 / (b_n - 1), 0) AS df
+                    FROM {rows}_moments WHERE metric IN {_listed(GUARDED)}))
+        WHERE a_mean IS NOT NULL AND b_mean IS NOT NULL"""
+
+
+def _srm_sql(rows: str) -> str:
+    return f"""SELECT dimension, level, experiment_group AS metric, observed, expected, chi2_stat, {NORMAL_TAIL.format(z="sqrt(chi2_stat)")} AS p_value,
+        {NORMAL_TAIL.format(z="sqrt(chi2_stat)")} >= 0.05 AS passed
+        FROM (SELECT *, sum((observed - expected) ^ 2 / expected) OVER (PARTITION BY dimension, level) AS chi2_stat
+              FROM (SELECT *, sum(observed) OVER (PARTITION BY dimension, level) / count(*) OVER (PARTITION BY dimension, level) AS expected
+                    FROM (SELECT dimension, level, experiment_group, count(DISTINCT user_id) AS observed FROM {rows} GROUP BY ALL)))"""
+
+
+def _flat(part: str, inner: str, statistics: tuple[str, ...] | list[str], keys: str = "") -> str:
+    casts = ", ".join(f"{c}::DOUBLE AS {c}" for c in statistics)
+    return (
+        f"SELECT '{part}' AS part, {keys} metric, statistic, value, NULL::VARCHAR AS label FROM (UNPIVOT (SELECT {keys} metric, {casts} "
+        f"FROM ({inner})) ON {', '.join(statistics)} INTO NAME statistic VALUE value)"
+    )
+
+
+_ALL_ROWS = "(SELECT 'all' AS dimension, 'all' AS level, * FROM named_users)"
+_TESTED_MEANS = ", ".join(f"sum({m} * w) / sum(w) AS {m}" for m in TESTED)
+_NAMED_BOOT = f"""WITH {_draws(REPLICATES, "(SELECT * FROM named_users WHERE analysed)")},
+        s AS (SELECT rep, experiment_group, {_TESTED_MEANS} FROM x GROUP BY 1, 2),
+        l AS (UNPIVOT s ON {', '.join(TESTED)} INTO NAME metric VALUE v),
+        r AS (SELECT metric, rep, max(v) FILTER (experiment_group = 'B') - max(v) FILTER (experiment_group = 'A') AS diff
+              FROM l GROUP BY 1, 2),
+        {REPORT.format(stat="avg", seed=ex.BOOTSTRAP_SEED).replace("xlong", "named_long")}"""
+_NAMED_BH = BH.format(src=f"named_long_welch WHERE p IS NOT NULL AND metric IN {_listed(CONFIGURED.named(ro.SECONDARY))}")
+_STATUS = f"""SELECT CASE WHEN metric IN {_listed(CONFIGURED.named(ro.PRIMARY))} THEN 'primary' ELSE 'secondary' END AS part, metric,
+        'status' AS statistic, NULL::DOUBLE AS value, CASE WHEN least(a_n, b_n) < 2 THEN 'insufficient_data' WHEN a_std + b_std > 0 THEN 'ok' ELSE 'constant_data' END AS label
+        FROM named_long_moments WHERE metric IN {_listed(TESTED)}"""
+_NAMED_DECISION = f"""
+    SELECT 'form_export_rate' AS metric, srm_passed, coalesce(p < 0.05, false) AS primary_significant, p AS p_value, mean_diff AS effect,
+           fails AS guardrail_failures, severe AS severe_failures,
+           CASE WHEN NOT srm_passed THEN 'INCONCLUSIVE' WHEN severe > 0 THEN 'STOP_FOR_HARM'
+                WHEN p < 0.05 AND mean_diff > 0 AND fails > 0 THEN 'SHIP_WITH_MONITORING'
+                WHEN p < 0.05 AND mean_diff > 0 THEN 'SHIP' WHEN p < 0.05 THEN 'INCONCLUSIVE' ELSE 'CONTINUE_EXPERIMENT' END AS decision
+    FROM (SELECT bool_and(passed) AS srm_passed FROM ({_srm_sql(_ALL_ROWS)})),
+         (SELECT count(*) FILTER (NOT passed) AS fails, count(*) FILTER (NOT passed AND abs(diff_pct) >= 50) AS severe FROM ({_guard_sql("named_long")})),
+         (SELECT p, mean_diff FROM named_long_welch WHERE metric = 'form_export_rate')"""
+_SUMMARY = """SELECT experiment_group || '.' || metric AS metric, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max,
+        count(*) AS n, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75
+        FROM named_long GROUP BY experiment_group, named_long.metric"""
+SRM_STATS = ("observed", "expected", "chi2_stat", "p_value", "passed")
+register("configured_user_metrics", configured_frame, "SELECT * FROM named_users", " ".join(TESTED + GUARDED))
+register(
+    "configured_readout",
+    lambda w: ro.readout(CONFIGURED, configured_frame(w))["long"],
+    " UNION ALL ".join([
+        _flat("srm", _srm_sql(_ALL_ROWS), SRM_STATS),
+        _flat("primary", f"SELECT * FROM ({_effect_sql('named_long')}) WHERE metric IN {_listed(CONFIGURED.named(ro.PRIMARY))}", ro.EFFECT),
+        _flat("secondary", f"SELECT * FROM ({_effect_sql('named_long')}) WHERE metric IN {_listed(CONFIGURED.named(ro.SECONDARY))}", ro.EFFECT),
+        _flat("secondary", _NAMED_BH, ["adjusted_p", "rejected"]),
+        _STATUS,
+        _flat("bootstrap", _NAMED_BOOT, ro.BOOTSTRAP),
+        _flat("guardrail", _guard_sql("named_long"), ro.GUARD),
+        _flat("summary", _SUMMARY, ro.SUMMARY),
+        _flat("decision", _NAMED_DECISION, ro.DECISION),
+        f"SELECT 'decision' AS part, metric, 'decision' AS statistic, NULL::DOUBLE AS value, decision AS label FROM ({_NAMED_DECISION})",
+    ]),
+    "value",
+)
+register(
+    "configured_readout_segments",
+    configured_segments,
+    " UNION ALL ".join([
+        _flat("srm", _srm_sql("named_segments"), SRM_STATS, "dimension, level,"),
+        _flat("effect", _effect_sql("named_segments_long"), ro.EFFECT, "dimension, level,"),
+        _flat("guardrail", _guard_sql("named_segments_long"), ro.GUARD, "dimension, level,"),
+    ]),
+    "value",
+)

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemark.session import shared_folder
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """Write a frame that several parts of a result read to the shared folder, and hand back the written one.
+
+    It cuts the lineage and survives lost executors. The folder is removed when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/once-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace ``path`` with the frame.
