@@ -52,6 +52,22 @@ def test_carried_sums_include_rows_without_a_value(spark):
     assert {tuple(r) for r in out.select("g", "x", "n", "p50").collect()} == {("a", 35, 4, 1.0), ("b", 7, 1, None)}
 
 
+def test_rows_of_weight_zero_keep_their_sums(spark):
+    df = spark.createDataFrame([("a", 1.0, 0, 5), ("a", 1.0001, 2, 7), ("a", 900.0, 0, 1)], "g string, v double, w int, x int")
+    out = exact_percentiles(df, ["g"], "v", {"p50": 0.5}, weight="w", carry={"x": F.col("x")}).first()
+    assert (out["x"], out["p50"]) == (13, 1.0001)
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_input_is_read_once(spark, tmp_path, bounded):
+    spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.5).alias("v")).write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    out = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}, carry={"n": F.lit(1), "s": F.col("v")}, bounded_groups=bounded)
+    assert sorted(r["n"] for r in out.collect()) == [1666, 1667, 1667]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 def test_positions_match_a_plain_row_number(spark, kind):
     rng = random.Random(11)

@@ -58,19 +58,20 @@ def exact_percentiles(
 ) -> DataFrame:
     """Continuous (interpolated) percentiles per group, one output column per entry of ``probs``.
 
-    Two passes over the input. The first counts rows per (group, bin), combined map-side, where a
-    bin is a slice of the logarithmic scale and depends on nothing but the value. A running count
-    over the bins of a group finds the few bins that hold a wanted rank. The second pass keeps only
-    rows in those bins, collapses them to (group, value, count) and sorts inside single bins.
-    ``weight`` gives each row an integer multiplicity. Instead of a share, an entry may be a function
-    from the number of rows of a group to a rank, counted from 0.
+    The input is read once. It is collapsed to one row per (group, value) with its count, combined
+    map-side, and dealt by group, bin and value, where a bin is a slice of the logarithmic scale and
+    depends on nothing but the value. Both steps read that one exchange: counts per (group, bin) and a
+    running count over a group's bins find the few bins that hold a wanted rank; then the values in those
+    bins are sorted, bin by bin. ``weight`` gives each row an integer multiplicity. Instead of a share,
+    an entry may be a function from the number of rows of a group to a rank, counted from 0.
 
-    ``carry`` adds per-group sums over all rows (NULL values included) to the result; they ride
-    along with the bin counts. Without it groups that hold only NULLs are left out.
+    ``carry`` adds per-group sums over all rows (NULL values included) to the result: the sums of
+    wanted bins come from the second step, all others from the first, so both steps need the same columns
+    of the exchange. Without it groups that hold only NULLs are left out.
 
     ``bounded_groups`` states that the number of groups is bounded by the data model (days of the
     calendar, variants of an experiment). The per-group frame is then broadcast and the second
-    pass shuffles nothing but rows of wanted bins. Otherwise AQE decides by measured size.
+    step shuffles nothing but values of wanted bins. Otherwise AQE decides by measured size.
     """
     by, carry = list(by), dict(carry or {})
     if not by:
@@ -80,9 +81,12 @@ def exact_percentiles(
     source = df if carry else df.where(F.col(value).isNotNull())
     rows = source.select("*", number.alias("__v")).withColumn("__bin", _log_bin(F.col("__v"), bins_per_unit))
     amount = (F.col(weight) if weight else F.lit(1)).cast("double")
+    collapsed = rows.groupBy(*by, "__bin", "__v").agg(
+        F.sum(F.when(known, amount)).alias("__n"), *[F.sum(c).alias(name) for name, c in carry.items()]
+    )
 
-    per_bin = rows.groupBy(*by, "__bin").agg(
-        F.sum(F.when(known, amount)).alias("__size"), *[F.sum(c).alias(name) for name, c in carry.items()]
+    per_bin = collapsed.groupBy(*by, "__bin").agg(
+        F.sum("__n").alias("__size"), *[F.sum(name).alias(name) for name in carry]
     )
     ordered = Window.partitionBy(*by).orderBy("__bin")
     whole = Window.partitionBy(*by)
@@ -101,44 +105,39 @@ def exact_percentiles(
     wanted = F.lit(False)
     for position in rank.values():
         for end in (F.floor(position), F.ceil(position)):
-            wanted = wanted | holds(end, F.col("__before"), F.col("__size"))
+            wanted = wanted | F.coalesce(holds(end, F.col("__before"), F.col("__size")), F.lit(False))
     # at most two bins per percentile
     targets = F.map_from_entries(F.collect_list(F.when(wanted, F.struct("__bin", "__before"))))
     groups = counted.groupBy(*by).agg(
         F.max("__total").alias("__total"),
         targets.alias("__targets"),
-        *[F.sum(name).alias(name) for name in carry],
+        *[F.sum(F.when(~wanted, F.col(name))).alias(f"__rest_{name}") for name in carry],
     )
 
-    kept = null_safe_join(
-        rows.select(*by, "__v", "__bin", amount.alias("__n")),
-        F.broadcast(groups) if bounded_groups else groups,
-        by,
-    ).withColumn("__before", F.try_element_at("__targets", F.col("__bin")))
-    # rows without a value only keep their group in the result
-    collapsed = (
-        kept.where(F.col("__before").isNotNull() | ~known)
-        .groupBy(*by, "__bin", "__v")
-        .agg(
-            F.sum("__n").alias("__n"),
-            *[F.first(c).alias(c) for c in ("__before", "__total", *carry)],
-        )
-        .where(~known | (F.col("__n") > 0))
+    kept = null_safe_join(collapsed, F.broadcast(groups) if bounded_groups else groups, by).withColumn(
+        "__before", F.try_element_at("__targets", F.col("__bin"))
     )
+    here = F.col("__before").isNotNull()
+    # rows without a value only keep their group in the result
+    placed = kept.where(here | ~known)
     inside = Window.partitionBy(*by, "__bin").orderBy("__v")
-    placed = collapsed.withColumn(
+    placed = placed.withColumn(
         "__start", F.when(known, F.col("__before") + F.sum("__n").over(inside) - F.col("__n"))
     )
 
     def value_at(position: Column) -> Column:
         return F.max(F.when(holds(position, F.col("__start"), F.col("__n")), F.col("__v")))
 
+    def carried(name: str) -> Column:
+        near, rest = F.sum(F.when(here, F.col(name))), F.first(f"__rest_{name}")
+        return F.coalesce(near + rest, near, rest).alias(name)
+
     pieces = []
     for name, position in rank.items():
         pieces.append(value_at(F.floor(position)).alias(f"__lo_{name}"))
         pieces.append(value_at(F.ceil(position)).alias(f"__hi_{name}"))
     found = placed.groupBy(*by).agg(
-        F.max("__total").alias("__total"), *pieces, *[F.first(name).alias(name) for name in carry]
+        F.max("__total").alias("__total"), *pieces, *[carried(name) for name in carry]
     )
     out = []
     for name, position in rank.items():
