@@ -7,10 +7,14 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.registry import register
+import catalog.agent  # noqa: F401  (the marts' counterparts are registered there)
+import catalog.experiments  # noqa: F401
+import catalog.product  # noqa: F401
+from catalog.registry import SELECTS, register
 from tidemark.operators import agents, contrasts
 from tidemark.operators import quality as q
 from tidemark.plans import assertions
+from tidemark.plans.warehouse import MARTS
 from tidemark.session import shared_folder
 from tidemark.sources import profile, raw, sinks, staging
 from tidemark.sources.contracts import (
@@ -114,30 +118,51 @@ register(
 )
 
 
-def _manifest(w) -> DataFrame:
-    """Expected counts measured by another path: per-file row counts of the raw tables."""
-    parts = [
-        frame.groupBy(CONTRACTS[n].primary_key).count().agg(F.sum("count").alias("expected_rows")).select(
-            F.lit(n).alias("table_name"), "expected_rows"
-        )
-        for n, frame in w.all_raw().items()
-    ]
-    return q.union_all(parts)
+def _landed(w) -> dict[str, str]:
+    """Publish every raw table; the writing job records how many rows it wrote."""
+    folder = _scratch(w)
+    paths = {n: f"{folder}/{n}" for n in w.all_raw()}
+    for name, frame in w.all_raw().items():
+        sinks.publish(frame, paths[name])
+    return paths
 
 
-register(
-    "raw_layer_verification",
-    lambda w: profile.verify_raw(w.all_raw(), CONTRACTS, _manifest(w)),
-    union_sql(
+def _verified(w) -> DataFrame:
+    spark, paths = w.users.sparkSession, _landed(w)
+    tables = {n: sinks.read_published(spark, p) for n, p in paths.items()}
+    return profile.verify_raw(tables, CONTRACTS, sinks.manifests(spark, paths))
+
+
+def _verified_after_loss(w) -> DataFrame:
+    """Two tables landed again with rows lost; their files no longer agree with the first manifest."""
+    spark, paths = w.users.sparkSession, _landed(w)
+    sinks.publish(w.raw("users").where("device_type <> 'mobile'"), paths["users"])
+    sinks.publish(w.raw("agent_runs").where("error_type IS NULL"), paths["agent_runs"])
+    tables = {n: sinks.read_published(spark, p) for n, p in paths.items()}
+    return profile.verify_raw(tables, CONTRACTS, sinks.manifests(spark, paths, dict.fromkeys(paths, 1)))
+
+
+def _verified_sql(left: dict[str, str]) -> str:
+    return union_sql(
         [
-            f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) AS expected_rows, "
-            f"count(*) FILTER ({c.primary_key} IS NULL) AS null_pk_count, count(*) FILTER ({c.primary_key} IS NULL) = 0 AS passed "
-            f"FROM {ROLE[n]}"
+            f"SELECT '{n}' AS table_name, count(*) FILTER ({left.get(n, 'true')}) AS row_count, count(*) AS expected_rows, "
+            f"count(*) FILTER ({c.primary_key} IS NULL) AS null_pk_count, "
+            f"count(*) FILTER ({left.get(n, 'true')}) = count(*) AND count(*) FILTER ({c.primary_key} IS NULL) = 0 AS passed FROM {ROLE[n]}"
             for n, c in CONTRACTS.items()
         ]
-    ),
+    )
+
+
+register("raw_layer_verification", _verified, _verified_sql({}))
+register(
+    "raw_layer_verification_after_loss",
+    _verified_after_loss,
+    _verified_sql({"users": "device_type <> 'mobile'", "agent_runs": "error_type IS NULL"}),
 )
-TARGETS = {"users": 2000, "documents": 1500, "product_events": 12000, "agent_runs": 1500}
+TARGETS = {
+    "users": 2000, "documents": 1500, "sessions": 3000, "product_events": 12000, "agent_runs": 1500, "agent_spans": 6000,
+    "experiment_assignments": 2000,
+}
 register(
     "target_deviation",
     lambda w: profile.target_deviation({n: w.raw(n) for n in TARGETS}, TARGETS),
@@ -200,29 +225,24 @@ def _parquet_roundtrip(w) -> DataFrame:
 
 
 register("parquet_publish_and_read", _parquet_roundtrip, "SELECT * FROM r_events", "latency_ms")
-LAYER_MARTS = ("conversion_funnel", "daily_product_kpis", "retention_cohort", "executive_daily_scorecard", "agent_daily_kpis", "ab_test_summary")
-MART_SQL = {
-    "conversion_funnel": "funnel",
-    "daily_product_kpis": "kpis",
-    "retention_cohort": "retention",
-    "executive_daily_scorecard": "scorecard",
-    "agent_daily_kpis": "agent_kpis",
-    "ab_test_summary": "ab_summary",
-}
-register(
-    "materialised_mart_rows",
-    lambda w: profile.row_counts(sinks.materialise({n: getattr(w, n) for n in LAYER_MARTS[:3]}, _scratch(w))),
-    union_sql([f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {MART_SQL[n]}" for n in LAYER_MARTS[:3]]),
+def _mart_counts(w) -> DataFrame:
+    """Rows of all marts as the jobs that wrote them counted them."""
+    folder = _scratch(w)
+    w.materialise_marts(folder)
+    counted = sinks.manifests(w.users.sparkSession, {n: f"{folder}/{n}" for n in MARTS})
+    return counted.withColumnRenamed("expected_rows", "row_count")
+
+
+# the counterparts of all marts, over the same tables as the marts
+MART_COUNTS = union_sql(
+    [f"SELECT '{n}' AS table_name, count(*) AS row_count FROM ({SELECTS['daily_alerts' if n == 'alerts' else n]}) AS {n}_rows" for n in MARTS]
 )
+register("materialised_mart_rows", _mart_counts, MART_COUNTS)
 
 
 def _layer_counts(w) -> DataFrame:
-    layers = {
-        "raw": w.all_raw(),
-        "staging": w.all_staged(),
-        "mart": {n: getattr(w, n) for n in LAYER_MARTS},
-    }
-    return q.union_all([profile.row_counts(t).withColumn("layer", F.lit(name)) for name, t in layers.items()])
+    parts = [profile.row_counts(t).withColumn("layer", F.lit(name)) for name, t in (("raw", w.all_raw()), ("staging", w.all_staged()))]
+    return q.union_all([*parts, _mart_counts(w).withColumn("layer", F.lit("mart"))])
 
 
 register(
@@ -230,7 +250,7 @@ register(
     _layer_counts,
     union_sql(
         [f"SELECT '{n}' AS table_name, count(*) AS row_count, '{layer}' AS layer FROM {r}" for layer in ("raw", "staging") for n, r in ROLE.items()]
-        + [f"SELECT '{n}' AS table_name, count(*) AS row_count, 'mart' AS layer FROM {v}" for n, v in MART_SQL.items()]
+        + [f"SELECT *, 'mart' AS layer FROM ({MART_COUNTS}) AS marts"]
     ),
 )
 

@@ -16,6 +16,8 @@ from tidemark.sources import bindings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# the counterparts before they are bound to tables
+SELECTS: dict[str, str] = {}
 
 
 def warehouse(spark: SparkSession, folder: str, binding: str = "product") -> Warehouse:
@@ -59,4 +61,5 @@ def register(
         raise ValueError(f"duplicate query name: {name}")
     QUERIES[name] = run
     if select is not None:
+        SELECTS[name] = select
         ORACLES[name] = sql(select, doubles, integers, binding, digits)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import at, on, rows
 from pyspark.sql import functions as F
 
@@ -189,6 +190,8 @@ def test_materialised_layer_equals_the_lazy_one(spark, tmp_path):
     from catalog.registry import warehouse
     from conftest import SMALL
 
+    warehouse(spark, SMALL).materialise_marts(str(tmp_path))
+    # a second build in the same place
     lazy, written = warehouse(spark, SMALL), warehouse(spark, SMALL).materialise_marts(str(tmp_path))
     assert len(written) == 21
     for name in ("conversion_funnel", "executive_daily_scorecard", "alerts", "ab_test_summary", "export_rate_dimension_daily"):
@@ -224,3 +227,50 @@ def test_duplicate_rate_moves_with_the_anomaly(make_events):
     copies = contrasts.duplicate_rate(make_events(base + base[:9:3])).first()
     assert (clean["affected_value"], clean["passed"]) == (0.0, False)
     assert copies["passed"] and copies["affected_group"] == "day_2026-01-01"
+
+
+def test_publication_keeps_old_versions_and_counts_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, path)
+    first = sinks.publish(spark.range(10), path, measures={"odd": F.count_if(F.col("id") % 2 == 1)})
+    assert (first["version"], first["rows"], first["odd"], first["columns"]) == (1, 10, 5, [["id", "bigint"]])
+    # a table may be rebuilt from itself
+    again = sinks.read_published(spark, path)
+    assert sinks.publish(again.where("id < 4").withColumn("g", F.col("id") % 2), path, ["g"])["rows"] == 4
+    assert sinks.read_published(spark, path).count() == 4 and sinks.read_published(spark, path, 1).count() == 10
+    assert sinks.publish(spark.range(0), path)["rows"] == 0
+    assert sinks.prune(spark, path, keep=2) == [1]
+    assert sinks.read_published(spark, path, 2).count() == 4
+    with pytest.raises(FileNotFoundError):
+        sinks.manifest(spark, path, 1)
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.publish(spark.range(10), path)
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.publish(broken, path)
+    assert sinks.manifest(spark, path)["version"] == 1 and sinks.read_published(spark, path).count() == 10
+
+
+def test_writers_never_take_the_same_number(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda n: sinks.publish(spark.range(n), path), range(1, 9)))
+    assert sorted(m["version"] for m in made) == list(range(1, 9))
+    for entry in made:
+        assert sinks.read_published(spark, path, entry["version"]).count() == entry["rows"]
+
+
+def test_verification_reports_the_one_table_that_lost_rows(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("users", "documents")}
+    sinks.publish(users(spark, USER_ROW, change(USER_ROW, user_id="u2")), paths["users"])
+    sinks.publish(spark.createDataFrame([("d1",)], "document_id string"), paths["documents"])
+    sinks.publish(users(spark, USER_ROW), paths["users"])
+    tables = {n: sinks.read_published(spark, p) for n, p in paths.items()}
+    out = profile.verify_raw(tables, CONTRACTS, sinks.manifests(spark, paths, {"users": 1}))
+    assert rows(out, "table_name", "passed") == {("users", False), ("documents", True)}

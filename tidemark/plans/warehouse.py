@@ -241,7 +241,7 @@ class Warehouse:
         return {name: getattr(self, name) for name in MARTS}
 
     def materialise_marts(self, folder: str, at_once: int = 4) -> dict[str, DataFrame]:
-        """Write every mart as Parquet and return frames over the written files.
+        """Publish every mart as a new version and return frames over the written files.
 
         Frames that several marts read are written first and read back, so a later mart scans tasks or
         days instead of events again. Marts of one wave do not depend on each other; their jobs
