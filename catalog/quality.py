@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ import catalog.product  # noqa: F401
 from catalog.registry import SELECTS, register
 from tidemark.operators import agents, contrasts
 from tidemark.operators import quality as q
-from tidemark.plans import assertions
+from tidemark.plans import assertions, faults
 from tidemark.plans.warehouse import MARTS
 from tidemark.session import shared_folder
 from tidemark.sources import profile, raw, sinks, staging
@@ -726,6 +727,82 @@ register(
     ),
 )
 
+# ---- the same checks on models with a planted fault --------------------------------------------
+FIRST_WEEK = "day({}) <= 7"
+# assertion: (model, fault on the frame, view, the view with the same fault)
+FAULTS = {
+    "agent_coverage_per_group": (
+        "runs", faults.lose_rows("success_flag"), "runs", "SELECT * FROM runs WHERE NOT success_flag"),
+    "summary_metrics_finite": (
+        "ab_test_summary", faults.overwrite("avg_latency_ms", "'Infinity'", "experiment_group = 'B'"), "ab_summary",
+        "SELECT * REPLACE (CASE WHEN experiment_group = 'B' THEN 'inf'::DOUBLE ELSE avg_latency_ms END AS avg_latency_ms) FROM ab_summary"),
+    "summary_metrics_non_null": (
+        "ab_test_summary", faults.overwrite("avg_field_accuracy", "NULL", "experiment_group = 'A'"), "ab_summary",
+        "SELECT * REPLACE (CASE WHEN experiment_group <> 'A' THEN avg_field_accuracy END AS avg_field_accuracy) FROM ab_summary"),
+    "daily_kpi_date_unique": (
+        "daily_product_kpis", faults.repeat_rows(FIRST_WEEK.format("event_date")), "kpis",
+        "SELECT * FROM kpis UNION ALL SELECT * FROM kpis WHERE " + FIRST_WEEK.format("event_date")),
+    "scorecard_matches_kpis": (
+        "executive_daily_scorecard", faults.lose_rows(FIRST_WEEK.format("event_date")), "scorecard",
+        "SELECT * FROM scorecard WHERE NOT " + FIRST_WEEK.format("event_date")),
+    "scorecard_date_unique": (
+        "executive_daily_scorecard", faults.repeat_rows(FIRST_WEEK.format("event_date")), "scorecard",
+        "SELECT * FROM scorecard UNION ALL SELECT * FROM scorecard WHERE " + FIRST_WEEK.format("event_date")),
+    "denominators_nonzero": (
+        "agent_daily_kpis", faults.overwrite("total_runs", "0", FIRST_WEEK.format("run_date")), "agent_kpis",
+        f"SELECT * REPLACE (CASE WHEN {FIRST_WEEK.format('run_date')} THEN 0 ELSE total_runs END AS total_runs) FROM agent_kpis"),
+    "matured_rates_in_range": (
+        "retention_cohort", faults.overwrite("d1_retention_rate", "1.5", "d1_matured AND eligible_users > 1"), "retention",
+        "SELECT * REPLACE (CASE WHEN d1_matured AND eligible_users > 1 THEN 1.5 ELSE d1_retention_rate END AS d1_retention_rate) FROM retention"),
+    "retention_bounds": (
+        "retention_cohort", faults.overwrite("d7_retention_rate", "-0.25", "eligible_users > 1"), "retention",
+        "SELECT * REPLACE (CASE WHEN eligible_users > 1 THEN -0.25 ELSE d7_retention_rate END AS d7_retention_rate) FROM retention"),
+    "known_rates_in_unit_interval": (
+        "retention_cohort", faults.overwrite("d30_retention_rate", "2", "acquisition_channel = 'BUILDING'"), "retention",
+        "SELECT * REPLACE (CASE WHEN acquisition_channel = 'BUILDING' THEN 2 ELSE d30_retention_rate END AS d30_retention_rate) FROM retention"),
+    "success_flag_known": (
+        "runs", faults.overwrite("success_flag", "NULL", "error_type IS NOT NULL"), "runs",
+        "SELECT * REPLACE (CASE WHEN error_type IS NULL THEN success_flag END AS success_flag) FROM runs"),
+    "unmatured_rate_is_null": (
+        "retention_cohort", faults.overwrite("d30_matured", "false", "acquisition_channel = 'BUILDING'"), "retention",
+        "SELECT * REPLACE (d30_matured AND acquisition_channel <> 'BUILDING' AS d30_matured) FROM retention"),
+}
+
+
+def _broken_views(text: str, changed: dict[str, str]) -> str:
+    """The text over changed views."""
+    for view in changed:
+        text = re.sub(rf"\b{view}\b", f"{view}_broken", text)
+    return "WITH " + ", ".join(f"{view}_broken AS ({sql})" for view, sql in changed.items()) + f" {text}"
+
+
+for _name, (_model, _change, _view, _changed) in FAULTS.items():
+    _text, _doubles, _binding = ASSERTION_SQL[_name]
+    register(
+        f"assert_{_name}_broken",
+        lambda w, name=_name, model=_model, change=_change: assertions.ASSERTIONS[name](faults.with_fault(w, model, change)),
+        _broken_views(_text, {_view: _changed}),
+        # an infinite number has no decimal form to round
+        _doubles.replace("avg_latency_ms ", "") if _name == "summary_metrics_finite" else _doubles, binding=_binding,
+    )
+# users and runs lose rows that other tables still refer to
+LOST_PARENTS = {
+    "users": ("device_type = 'mobile'", "SELECT * FROM r_users WHERE device_type <> 'mobile'"),
+    "runs": ("error_type IS NOT NULL", "SELECT * FROM r_runs WHERE error_type IS NULL"),
+}
+
+
+def _orphaned(w):
+    for model, (condition, _) in LOST_PARENTS.items():
+        faults.with_fault(w, model, faults.lose_rows(condition))
+    return records(q.referential_integrity(w.all_staged()))
+
+
+register(
+    "referential_integrity_broken", _orphaned,
+    _broken_views(union_sql(REFERENCE_SQL), {"r_users": LOST_PARENTS["users"][1], "r_runs": LOST_PARENTS["runs"][1]}),
+)
+
 # ---- contrasts ---------------------------------------------------------------------------------
 CONTRAST_DOUBLES = "baseline_value affected_value absolute_difference relative_difference"
 
