@@ -176,29 +176,47 @@ register(
     ),
     "deviation_ratio",
 )
-register(
-    "column_profile",
-    lambda w: profile.column_profile(w.runs, AGENT_RUNS),
-    union_sql(
+# identifiers arrive as integers; the unstaged cost of spans is a decimal
+RAW_TYPE = {("agent_spans", "estimated_cost_usd"): "decimal(30,9)"}
+
+
+def _profile_sql(contract) -> str:
+    parents = {f.column: f"'{f.parent}.{f.parent_column}'" for f in contract.foreign_keys}
+    return union_sql(
         [
-            f"SELECT 'agent_runs' AS table_name, '{c}' AS column_name, "
-            f"'{'bigint' if c.endswith('_id') and t == 'string' else t}' AS data_type, {c == 'agent_run_id'} AS is_primary_key, "
-            + {"user_id": "'users.user_id'", "document_id": "'documents.document_id'"}.get(c, "NULL::VARCHAR")
-            + f" AS \"references\", count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count FROM runs"
-            for c, t in AGENT_RUNS.types.items()
+            f"SELECT '{contract.name}' AS table_name, '{c}' AS column_name, "
+            f"'{'bigint' if c.endswith('_id') and t == 'string' and c != 'experiment_id' else RAW_TYPE.get((contract.name, c), t)}' AS data_type, "
+            f"{c == contract.primary_key} AS is_primary_key, {parents.get(c, 'NULL::VARCHAR')} AS \"references\", count(*) AS row_count, "
+            f"count(*) FILTER ({c} IS NULL) AS null_count FROM {ROLE[contract.name]}"
+            for c, t in contract.types.items()
         ]
-    ),
-    binding="traces",
+    )
+
+
+register(
+    "column_profile",
+    lambda w: q.union_all([profile.column_profile(w.raw(n), c) for n, c in CONTRACTS.items()]),
+    union_sql([_profile_sql(c) for c in CONTRACTS.values()]),
 )
-HASHED = ["event_id", "event_time", "event_date", "task_id", "event_name", "latency_ms", "error_type"]
+
+
+def _hash_sql(contract) -> str:
+    """Every column of a table as text, in name order; NULL has a mark of its own."""
+    forms = {
+        "timestamp_ntz": "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')", "date": "strftime({c}, '%Y-%m-%d')", "double": "printf('%.10f', {c}::DOUBLE)",
+    }
+    texts = ", ".join(f"coalesce({forms.get(t, '{c}::VARCHAR').format(c=c)}, 'NULL')" for c, t in sorted(contract.types.items()))
+    sums = ", ".join(f"sum(('0x' || substr(d, {8 * i + 1}, 8))::BIGINT)::VARCHAR AS digest_{i + 1}" for i in range(4))
+    return (
+        f"SELECT '{contract.name}' AS table_name, count(*) AS row_count, {sums} "
+        f"FROM (SELECT sha256(concat_ws(chr(31), {texts})) AS d FROM {ROLE[contract.name]})"
+    )
+
+
 register(
     "content_hash",
-    lambda w: profile.content_hash(w.events, "product_events", HASHED),
-    """WITH h AS (SELECT sha256(concat_ws(chr(31), coalesce(error_type, 'NULL'), strftime(event_date, '%Y-%m-%d'), event_id::VARCHAR,
-                  event_name, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f'), printf('%.10f', latency_ms), task_id::VARCHAR)) AS d FROM r_events)
-       SELECT 'product_events' AS table_name, count(*) AS row_count, """
-    + ", ".join(f"sum(('0x' || substr(d, {8 * i + 1}, 8))::BIGINT)::VARCHAR AS digest_{i + 1}" for i in range(4))
-    + " FROM h",
+    lambda w: q.union_all([profile.content_hash(w.staged(n), n, list(c.types)) for n, c in CONTRACTS.items()]),
+    union_sql([_hash_sql(c) for c in CONTRACTS.values()]),
 )
 
 
@@ -297,6 +315,48 @@ for _name, _contract, _binding in (
         _rule_sql(_contract, ROLE[_contract.name]),
         binding=_binding,
     )
+
+
+# Runs as a text file would deliver them, with faults of every kind: times and numbers that are none, and
+# values that break a bound only once they are read as numbers.
+TEXT_FAULTS = {
+    "started_at": ("error_type IS NOT NULL", "'soon'"),
+    "total_latency_ms": ("error_type IS NOT NULL", "'-5'"),
+    "quality_score": ("error_type IS NOT NULL", "'1.5'"),
+    "retry_count": ("success_flag", "'none'"),
+    "model_name": ("error_type IS NOT NULL", "NULL"),
+    "trace_id": ("error_type IS NOT NULL", "'same'"),
+}
+
+
+def _as_text(w) -> DataFrame:
+    runs = w.raw("agent_runs")
+    columns = [
+        F.when(F.expr(TEXT_FAULTS[c][0]), F.expr(TEXT_FAULTS[c][1])).otherwise(F.col(c).cast("string")).alias(c)
+        if c in TEXT_FAULTS else F.col(c).cast("string").alias(c)
+        for c in AGENT_RUNS.types
+    ]
+    return runs.select(*columns)
+
+
+def _text_rules_sql() -> str:
+    faulty = ", ".join(f"CASE WHEN {when} THEN {then} ELSE {c}::VARCHAR END AS {c}" for c, (when, then) in TEXT_FAULTS.items())
+    casts = {"timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    read = ", ".join(f"TRY_CAST({c} AS {casts[t]}) AS {c}" for c, t in AGENT_RUNS.types.items() if t != "string")
+    wrong = [
+        f"SELECT 'agent_runs' AS table_name, '{c}' AS column_name, 'type' AS rule, count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {casts[t]}) IS NULL) AS failing_rows FROM texts"
+        for c, t in AGENT_RUNS.types.items() if t != "string"
+    ]
+    # a value that is no number is missing nowhere: it breaks the type rule alone
+    present = _rule_sql(AGENT_RUNS, "typed")
+    for c, t in AGENT_RUNS.types.items():
+        if t != "string":
+            present = present.replace(f"count(*) FILTER ({c} IS NULL) AS failing_rows FROM typed", f"count(*) FILTER ({c} IS NULL) AS failing_rows FROM texts")
+    return f"""WITH texts AS (SELECT * REPLACE ({faulty}) FROM r_runs), typed AS (SELECT * REPLACE ({read}) FROM texts)
+        {present} UNION ALL SELECT * FROM ({union_sql(wrong)}) WHERE failing_rows > 0"""
+
+
+register("schema_contract_on_text", lambda w: q.contract_violations(_as_text(w), AGENT_RUNS), _text_rules_sql(), binding="traces")
 register(
     "rule_not_null",
     lambda w: q.not_null(w.runs, "error_type").select("agent_run_id"),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.order_stats import BINS_PER_UNIT, _log_bin, exact_percentiles, order_code, positions_within
+from tidemark.functions.order_stats import BINS_PER_UNIT, _log_bin, exact_percentiles, positions_within, text_slices
 
 PROBS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
 
@@ -80,12 +80,20 @@ def test_positions_match_a_plain_row_number(spark, kind):
         assert [got[(g, k)] for k in ordered] == list(range(1, len(ordered) + 1))
 
 
-def test_text_code_never_decreases(spark):
-    words = sorted(["", "a", "ab", "abc", "abd", "abé", "b", "ba", "zz", "z"])
-    df = spark.createDataFrame([(w,) for w in words], "k string")
-    codes = [r[0] for r in df.select(order_code(df, "k").alias("c"), "k").orderBy("k").collect()]
-    assert codes == sorted(codes)
-    assert df.select(F.count("k")).first()[0] == len(words)
+def test_slices_of_serial_text_keys_stay_small(spark):
+    """Serial numbers of different lengths, a long common beginning, keys that begin other keys."""
+    ids = spark.range(300_000).select(F.concat(F.lit("customer-account-"), F.col("id").cast("string")).alias("k"), F.lit(None).cast("string").alias("g"))
+    sliced = text_slices(ids, ["g"], "k", "s", 4096)
+    sizes = sliced.groupBy("s").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("s").collect()
+    assert max(r["n"] for r in sizes) <= 4096 and sum(r["n"] for r in sizes) == 300_000
+    assert all(a["hi"] < b["lo"] for a, b in zip(sizes, sizes[1:]))
+
+
+def test_text_positions_with_odd_keys(spark):
+    words = ["", "a", "ab", "abc", "abd", "abé", "b", "ba", "zz", "z", "\U0001F600", "\U0001F600a", "é", "a" * 500, "a" * 499 + "b"]
+    df = spark.createDataFrame([(w,) for w in words], "k string").withColumn("g", F.lit(1))
+    got = {r["k"]: r["n"] for r in positions_within(df, ["g"], "k", "n", rows_per_bin=1).collect()}
+    assert [got[w] for w in sorted(words, key=str.encode)] == list(range(1, len(words) + 1))
 
 
 def test_slices_stay_small_below_one_and_beside_an_outlier(spark):

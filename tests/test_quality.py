@@ -274,3 +274,16 @@ def test_verification_reports_the_one_table_that_lost_rows(spark, tmp_path):
     tables = {n: sinks.read_published(spark, p) for n, p in paths.items()}
     out = profile.verify_raw(tables, CONTRACTS, sinks.manifests(spark, paths, {"users": 1}))
     assert rows(out, "table_name", "passed") == {("users", False), ("documents", True)}
+
+
+def test_contract_rules_fire_on_text_that_was_not_cast(spark):
+    from tidemark.sources.contracts import Contract
+
+    contract = Contract("t", {"k": "string", "n": "int", "at": "timestamp_ntz", "label": "string"}, primary_key="k", minimum={"n": 0}, maximum={"n": 9})
+    data = [("a", "5", "2026-01-01 00:00:00", "x"), ("b", "-1", "later", "x"), ("c", "ten", None, "x"), ("c", "10", "2026-01-01", None)]
+    text = spark.createDataFrame(data, "k string, n string, at string, label string")
+    found = rows(q.contract_violations(text, contract), "column_name", "rule", "failing_rows")
+    assert found == {("n", "type", 1), ("n", "minimum", 1), ("n", "maximum", 1), ("at", "type", 1), ("at", "not_null", 1),
+                     ("label", "not_null", 1), ("k", "unique", 2)}
+    numbers = text.where("n = '5'").select("k", F.lit(5).alias("n"), F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(7).alias("label"))
+    assert rows(q.contract_violations(numbers, contract), "column_name", "rule") == {("label", "type"), ("at", "not_null")}

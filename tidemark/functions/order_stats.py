@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import null_safe_join
+from tidemark.sources.sinks import written_once
 
 # slices per unit of the natural logarithm in exact_percentiles: each spans under one percent
 BINS_PER_UNIT = 128
@@ -146,21 +147,34 @@ def exact_percentiles(
     return found.select(*by, *carry, *out)
 
 
-def order_code(df: DataFrame, column: str) -> Column:
-    """A double that never decreases when ``column`` increases, for numbers and strings.
+# characters by which one round of text_slices looks further into the keys of a crowded slice
+CHARACTERS_AT_ONCE = 2
 
-    Strings are read as the seven bytes after the prefix common to the smallest and largest value.
+
+def text_slices(df: DataFrame, by: Sequence[str], order: str, out: str, rows_per_slice: int = ROWS_PER_BIN) -> DataFrame:
+    """Add ``out``: the beginning of a text key that names its slice, in the order of the keys.
+
+    All keys of a group start in one slice. A slice of more than ``rows_per_slice`` rows is split by the
+    characters after its own common beginning, again and again over the whole key, however its
+    characters are spread (serial numbers use ten of them). Slices are counted exactly; only crowded ones
+    travel on. A slice stays larger only if its keys are equal. Ends after as many rounds as the keys
+    differ in ``CHARACTERS_AT_ONCE`` characters.
     """
-    if not isinstance(df.schema[column].dataType, T.StringType):
-        return F.col(column).cast("double")
-    ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    shared = F.expr(
-        "aggregate(sequence(0, least(length(lo), length(hi))), 0, "
-        "(k, i) -> if(i > 0 and k = i - 1 and substr(lo, i, 1) = substr(hi, i, 1), i, k))"
-    )
-    prefix = ends.select(shared.alias("k")).scalar()
-    tail = F.hex(F.encode(F.substring(F.col(column), prefix + 1, F.lit(7)), "UTF-8"))
-    return F.conv(F.rpad(F.substring(tail, 1, 14), 14, "0"), 16, 10).cast("double")
+    by = list(by)
+    sliced = df.withColumn(out, F.lit(""))
+    while True:
+        sizes = sliced.groupBy(*by, out).agg(
+            F.count(F.lit(1)).alias("__rows"), F.min(order).alias("__first"), F.max(order).alias("__last"))
+        crowded = sizes.where((F.col("__rows") > rows_per_slice) & (F.col("__first") < F.col("__last")))
+        shared = F.expr(
+            "aggregate(sequence(0, least(length(__first), length(__last))), 0, "
+            "(k, i) -> if(i > 0 and k = i - 1 and substr(__first, i, 1) = substr(__last, i, 1), i, k))")
+        crowded = written_once(crowded.select(*by, out, (shared + CHARACTERS_AT_ONCE).alias("__reach")))
+        if not crowded.limit(1).count():
+            return sliced
+        found = null_safe_join(sliced, crowded, [*by, out], "left")
+        longer = F.substring(F.col(order), F.lit(1), F.col("__reach"))
+        sliced = found.withColumn(out, F.when(F.col("__reach").isNotNull(), longer).otherwise(F.col(out))).drop("__reach")
 
 
 def positions_within(
@@ -173,10 +187,14 @@ def positions_within(
 ) -> DataFrame:
     """Add ``row_number() over (partition by <by> order by <order>)`` as ``out``.
 
-    ``order`` must be unique and non-null inside a group. Each task sorts one bin of one group.
+    ``order`` must be unique and non-null inside a group. Each task sorts one bin of one group: of a
+    number, equal parts of its exact range; of a text, the slices of ``text_slices``.
     """
     by = list(by)
-    coded = df.withColumn("__code", order_code(df, order))
+    if isinstance(df.schema[order].dataType, T.StringType):
+        binned = text_slices(df, by, order, "__bin", rows_per_bin)
+        return _number_in_bins(binned, by, order, out).select(*df.columns, out)
+    coded = df.withColumn("__code", F.col(order).cast("double"))
     span = coded.groupBy(*by).agg(
         F.min("__code").alias("__low"),
         F.max("__code").alias("__high"),
@@ -185,13 +203,15 @@ def positions_within(
     binned = null_safe_join(coded, span, by).withColumn(
         "__bin", _bin_index(F.col("__code"), F.col("__low"), F.col("__high"), F.col("__k"))
     )
+    return _number_in_bins(binned, by, order, out).select(*df.columns, out)
+
+
+def _number_in_bins(binned: DataFrame, by: list[str], order: str, out: str) -> DataFrame:
     sizes = binned.groupBy(*by, "__bin").agg(F.count(F.lit(1)).alias("__size"))
     ordered = Window.partitionBy(*by).orderBy("__bin")
     starts = sizes.select(
         *by, "__bin", (F.sum("__size").over(ordered) - F.col("__size")).alias("__before")
     )
     inside = Window.partitionBy(*by, "__bin").orderBy(order)
-    numbered = null_safe_join(binned, starts, [*by, "__bin"]).withColumn(
-        out, F.col("__before") + F.row_number().over(inside)
-    )
-    return numbered.select(*df.columns, out)
+    numbered = null_safe_join(binned, starts, [*by, "__bin"])
+    return numbered.withColumn(out, F.col("__before") + F.row_number().over(inside))
