@@ -168,9 +168,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         held_out: tuple[int, int] = HELD_OUT) -> tuple[np.ndarray, float]:
     """Weights and bias, learned from bounded samples of the rows that are not held out.
 
-    Up to ``POSITIVES`` documents with a toxic label and ``UNLABELLED`` others, in the order of a
-    hash of the identifier. The class prior is the share of toxic labels among all labelled rows that
-    are not held out; other labels are not used.
+    Up to ``POSITIVES`` documents with a toxic label, and ``UNLABELLED`` documents whatever their label, in
+    the order of a hash of the identifier: the estimator takes the positives' share out of the second
+    sample, so that sample must hold it. A document may be in both. The class prior is the share of
+    toxic labels among all labelled rows that are not held out; other labels are not used. Of several
+    texts under one identifier the smallest is learned from.
     """
     prepare(docs.sparkSession)
     learnable = residue(id_col, held_out[0]) != held_out[1]
@@ -180,13 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not known:
         return train([], [], 0.0)
     ids = docs.where(F.col(id_col).isNotNull()).where(learnable).select(F.col(id_col).alias("_id")).distinct()
-    marked = ids.join(marks.where("_toxic = 1"), "_id", "left").withColumn("_toxic", F.coalesce("_toxic", F.lit(0)))
     ordered = [F.xxhash64("_id"), "_id"]
-    chosen = marked.where("_toxic = 1").orderBy(*ordered).limit(POSITIVES).unionByName(
-        marked.where("_toxic = 0").orderBy(*ordered).limit(UNLABELLED))
+    confirmed = ids.join(marks.where("_toxic = 1"), "_id", "left_semi").orderBy(*ordered).limit(POSITIVES)
+    drawn = ids.orderBy(*ordered).limit(UNLABELLED)
+    chosen = confirmed.withColumn("_toxic", F.lit(1)).unionByName(drawn.withColumn("_toxic", F.lit(0)))
     # at most POSITIVES + UNLABELLED rows
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-    rows = sample.dropDuplicates(["_id"]).orderBy(*ordered).select("_toxic", "_text").mapInArrow(
+    one = sample.groupBy("_toxic", "_id").agg(F.min("_text").alias("_text"))
+    rows = one.orderBy("_toxic", *ordered).select("_toxic", "_text").mapInArrow(
         _features, "toxic int, features array<int>").collect()
     positive = [np.array(r["features"], np.int32) for r in rows if r["toxic"] == 1]
     other = [np.array(r["features"], np.int32) for r in rows if r["toxic"] != 1]
