@@ -60,20 +60,32 @@ def _fingerprints(width: int, seed: int):
     return run
 
 
+_ODD = np.int64(0x5555555555555555)
+
+
+def _embedded(fp: np.ndarray) -> np.ndarray:
+    """The set-bit count of every segment, in unary: 0, 01 or 11. Differing bits of two are their Manhattan distance."""
+    low, high = fp & _ODD, (fp >> 1) & _ODD
+    return (low | high) | ((low & high) << 1)
+
+
 def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64)) <= most  # of a signed number, it would count the absolute value's bits
 
 
 def _forest(fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected within one cell: each fingerprint is reached once."""
-    left = np.arange(len(fp))
+    left, grid = np.arange(len(fp)), _embedded(fp)
     a, b = [], []
     while len(left):
         front = [left[0]]
         left = left[1:]
         while front and len(left):
             node = front.pop()
-            hit = _near(fp[left], fp[node], most)
+            # the distance on the grid is a lower bound; what passes it is compared bit by bit
+            close = np.flatnonzero(_near(grid[left], grid[node], most))
+            hit = np.zeros(len(left), bool)
+            hit[close] = _near(fp[left[close]], fp[node], most)
             if hit.any():
                 found = left[hit]
                 a.append(np.full(len(found), fp[node]))
@@ -95,11 +107,13 @@ def _links(most: int):
         out_a, out_b = [], []
         small = np.repeat(sizes <= SHIFTED, sizes)
         c, f = cell[small], fp[small]
+        grid = _embedded(f)
         for shift in range(1, min(SHIFTED, len(c))):
             same = c[shift:] == c[:-shift]
             if not same.any():
                 break
-            hit = np.flatnonzero(same & _near(f[shift:], f[:-shift], most))
+            close = np.flatnonzero(same & _near(grid[shift:], grid[:-shift], most))
+            hit = close[_near(f[close + shift], f[close], most)]
             out_a.append(f[hit])
             out_b.append(f[hit + shift])
         for at in np.flatnonzero(sizes > SHIFTED):
@@ -164,7 +178,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, together: int =
     Each fingerprint is embedded as the set-bit counts of its segments. Bits that differ bound the
     Manhattan distance of two embeddings from above, so near fingerprints are near on the grid:
     of ``max_bits + 2`` blocks of coordinates two agree in full. A fingerprint therefore enters one
-    cell for each pair of blocks, the cells are joined, and the bits decide. Cells with many members
+    cell for each pair of blocks. In the joined cells the Manhattan distance of two embeddings is taken
+    first, and the bits of those within ``max_bits`` decide. Cells with many members
     are cut into pieces by hash, and every two pieces of a cell meet in one task. Pieces return links
     that connect what is connected in them, not every pair.
     """
