@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import count, islice
 from zlib import crc32
 
 import numpy as np
@@ -21,8 +21,6 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 # Pieces that one task packs together.
 PACKED_TOGETHER = 40_000
-# Exchanges between partitions that are not certified yet.
-MAX_EXCHANGES = 4
 # Words whose ids a worker remembers; the oldest go first.
 REMEMBERED_WORDS = 400_000
 
@@ -211,7 +209,7 @@ def _pack(capacity: int, round_no: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        base = (round_no << 56) + (TaskContext.get().partitionId() << 32)
+        base = (round_no << 54) + (TaskContext.get().partitionId() << 32)
         held = [x[columns] for x in frames if len(x)]
         if not held:
             return
@@ -240,8 +238,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, together: int = PAC
     Pieces are dealt evenly over partitions, each packed by best-fit decreasing and certified where its
     bins meet its lower bound. Partitions with a gap give up all bins with room, certified ones the
     bin with the most room, and these pieces meet in new, fewer partitions. A round counts only if
-    it needs fewer bins than its pieces had. It ends when one partition is left that did not improve, or after
-    ``MAX_EXCHANGES`` rounds.
+    it needs fewer bins than its pieces had; exchanges go on as long as rounds count.
     """
     spark = pieces.sparkSession
 
@@ -252,7 +249,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, together: int = PAC
     wanted = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
     current = packed(wanted, wanted.count(), 0)
     done: list[DataFrame] = []
-    for round_no in range(1, MAX_EXCHANGES + 1):
+    for round_no in count(1):
         home = F.shiftright("sequence_id", 32)
         emptiest = current.groupBy(home.alias("home")).agg(F.min("fill").alias("least"))
         # at most one row per partition
