@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import importance, spelling, url_filter
+from tidemark.llm import importance, pii, simhash, spelling, toxicity, url_filter
 from tidemark.llm.common import keep
 
 DOCS = "doc_id long, text string, lang string, word string, n long, score string, cell string, `key` string, row string, part string"
@@ -259,3 +259,70 @@ def test_crc_of_appended_texts():
     for i, part in enumerate(parts):
         want = [zlib.crc32(part, int(b)) for b in before]
         assert crc.after(before, np.full(3, i)).tolist() == want
+
+
+# ---- earlier operators: what this round changed ------------------------------------------------
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=2, max_size=30))
+def test_grid_distance_is_a_lower_bound(prints):
+    """The Manhattan distance of segment counts never exceeds the number of differing bits."""
+    fp = np.array(prints, np.int64)
+    grid = simhash._embedded(fp)
+    for i, x in enumerate(prints):
+        for j, y in enumerate(prints):
+            segments = [abs((x >> s & 3).bit_count() - (y >> s & 3).bit_count()) for s in range(0, 64, 2)]
+            assert bool(simhash._near(grid[i:i + 1], grid[j:j + 1], sum(segments))[0])
+            assert not sum(segments) or not simhash._near(grid[i:i + 1], grid[j:j + 1], sum(segments) - 1)[0]
+            assert sum(segments) <= ((x ^ y) & (2**64 - 1)).bit_count()
+
+
+def test_risk_with_a_known_prior():
+    """Unlabelled text with a third of positives: the corrected risk finds the negatives, the uncorrected one does not."""
+    rng = np.random.default_rng(4)
+
+    def drawn(toxic):
+        own = rng.integers(0, 40, 6) if toxic else rng.integers(40, 80, 6)
+        return np.unique(np.concatenate([own, rng.integers(80, 400, 20)])).astype(np.int32)
+
+    positive = [drawn(True) for _ in range(400)]
+    unlabelled = [drawn(i % 3 == 0) for i in range(1500)]
+
+    def scored(weights, bias, rows):
+        return np.array([1 / (1 + np.exp(-np.clip(weights[r].sum() + bias, -30, 30))) for r in rows])
+
+    weights, bias = toxicity.train(positive, unlabelled, 1 / 3)
+    good, bad = [drawn(False) for _ in range(300)], [drawn(True) for _ in range(300)]
+    assert (scored(weights, bias, good) < 0.5).mean() > 0.95 and (scored(weights, bias, bad) > 0.5).mean() > 0.95
+
+    def risk(prior):
+        p, u = scored(weights, bias, positive), scored(weights, bias, unlabelled)
+        return prior * (1 - p).mean() + max(0.0, u.mean() - prior * p.mean())
+
+    truth = (1 - scored(weights, bias, bad)).mean() / 3 + scored(weights, bias, good).mean() * 2 / 3
+    assert risk(1 / 3) == pytest.approx(truth, abs=0.05)
+
+
+def test_toxicity_sample_holds_labelled_documents_too(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda p, u, prior: seen.update(p=len(p), u=len(u), prior=prior) or (np.zeros(toxicity.FEATURES), 0.0))
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(ids[0], "another")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(n < 20)) for n, i in enumerate(ids[:100])], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    assert seen == {"p": 20, "u": len(ids), "prior": pytest.approx(0.2)}
+
+
+def test_confidence_grows_until_it_settles(spark):
+    """A chain: each identifier becomes sure only through the one before it, further than three rounds reach."""
+    edges, totals = [], []
+    for link in range(6):
+        for n in range(3):
+            known = 0 if link == 0 else -1
+            edges += [(f"p{link}", f"v{link}{n}", known, 10), (f"p{link}", f"v{link + 1}{n}", -1, 1)]
+        totals.append((f"p{link}", 33))
+    made = spark.createDataFrame(edges, "pattern string, value string, k int, n long")
+    found = {r["value"]: r["confidence"] for r in pii.score_graph(made, spark.createDataFrame(totals, "pattern string, total long")).collect()}
+    assert {f"v{link}{n}" for link in range(1, 7) for n in range(3)} <= set(found)
+    assert all(found[f"v{link}0"] > 0.8 for link in range(1, 6))

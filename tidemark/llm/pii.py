@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep, prepare, with_row_key
+from tidemark.llm.common import forget, keep, prepare, with_row_key
 
 # Kinds in the order of reports, and the base patterns of the contract.
 KINDS = ("email", "ip", "card", "phone")
@@ -20,15 +20,17 @@ IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-# Bootstrapping: a context becomes a pattern with this many different identifiers; rounds of
-# scoring; confidence from which an instance counts as an identifier; digits of a unit that is a
-# candidate wherever it stands; confidence from which a pattern proposes whatever stands in it.
+# Bootstrapping: a context becomes a pattern with this many different identifiers; change of a
+# confidence that counts as none; confidence from which an instance counts as an identifier; digits
+# of a unit that is a candidate wherever it stands; confidence from which a pattern proposes whatever
+# stands in it.
 MIN_SUPPORT = 3
-ROUNDS = 3
+SETTLED = 0.005
 CONFIDENT = 0.8
 MIN_DIGITS = 4
 PROPOSES = 0.5
 _MOST_PROPOSALS = 20
+_MOST_ROUNDS = 200
 # Characters on each side in which context words are looked for.
 CONTEXT_REACH = 200
 # Patterns that workers hold at once while they count contexts; more are counted in several passes.
@@ -283,26 +285,34 @@ def _scored(weights: DataFrame, sure: DataFrame, totals: DataFrame) -> DataFrame
         "pattern", "k", F.least(F.lit(1.0), F.col("weight") / F.greatest("total", "weight")).alias("p"))
 
 
-def score_graph(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score_graph(edges: DataFrame, totals: DataFrame, settled: float = SETTLED) -> DataFrame:
     """Confidence of candidates: rows (value, k, confidence).
 
     ``edges`` has (pattern, value, k, n): how often an instance stands in a pattern's context; k is
     the kind of a seed, or -1. A pattern's confidence for a kind is the confident share of all
     places where its context occurs, if enough different instances support it. An instance's
-    confidence for a kind is the noisy-or over its patterns. Seeds stay at 1.
+    confidence for a kind is the noisy-or over its patterns. Seeds stay at 1. Confidence only grows
+    from round to round; it is settled once none grows by more than ``settled``.
     """
     edges = edges.select("pattern", "value", "k", "n")
     seeds = edges.where("k >= 0").select("value", "k").distinct().withColumn("confidence", F.lit(1.0))
     open_edges = edges.where("k < 0").join(seeds.select("value").distinct(), "value", "left_anti")
     sure = seeds
     weights = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
-    found = None
-    for _ in range(rounds):
+    found = edges.sparkSession.createDataFrame([], "value string, k int, confidence double")
+    for _ in range(_MOST_ROUNDS):
         scored = _scored(weights, sure, totals)
-        found = keep(open_edges.select("pattern", "value").distinct().join(scored, "pattern").groupBy("value", "k").agg(
+        later = keep(open_edges.select("pattern", "value").distinct().join(scored, "pattern").groupBy("value", "k").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("p")))))).alias("confidence")))
+        before = found.withColumnRenamed("confidence", "before")
+        grown = later.join(before, ["value", "k"], "left").where(F.col("confidence") - F.coalesce("before", F.lit(0.0)) > settled)
+        still = grown.limit(1).count()
+        forget(found)
+        found = later
+        if not still:
+            return found
         sure = seeds.unionByName(found)
-    return found
+    raise RuntimeError("confidence did not settle")
 
 
 def _edges(places: DataFrame) -> DataFrame:
@@ -314,7 +324,7 @@ def _count_kind(number: int):
     return F.size(F.filter("base", lambda x: x["k"] == number)).cast("long")
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found.
 
     The counts and base_sha256 are of the base spans; spans has those and the discovered ones, each
@@ -324,7 +334,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     1. Base spans are the seeds. Units (see units) with digits outside of them are candidates.
     2. The words around seeds and candidates are patterns, where enough different instances have them.
     3. Every place in the corpus with a pattern's context is counted; Spark scores the graph of
-       patterns and instances in rounds, and confident candidates become spans wherever they stand.
+       patterns and instances until no confidence moves, and confident candidates become spans wherever they stand.
     4. Patterns of at least PROPOSES then make candidates of whatever stands in them, with few digits
        or none, and 2 and 3 go on until no new pattern proposes. What they propose becomes a span
        only where it stands in one of them.
@@ -348,7 +358,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         counts = keep(_totals(rows.select("text"), fresh))
         totals = counts if totals is None else totals.unionByName(counts)
         counted = counted.unionByName(fresh)
-        found = score_graph(edges, totals, rounds)
+        found = score_graph(edges, totals)
         seeds = edges.where("k >= 0").select("value", "k").distinct().withColumn("confidence", F.lit(1.0))
         weights = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
         able = _scored(weights, seeds.unionByName(found), totals).where(F.col("p") >= PROPOSES).select("pattern").distinct()
