@@ -514,21 +514,32 @@ def _listed(names: list[str]) -> str:
     return "(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
+def _with_quantile(source: str, z: str, p: float) -> str:
+    """``source`` with q, the t quantile: Newton steps from the expansion, for segments with few degrees of freedom."""
+    inner = f"(SELECT *, {t_quantile(z, 'df')} AS q, exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) AS k FROM {source})"
+    for _ in range(4):
+        inner = f"""(SELECT * REPLACE (q - (0.5 + k * (q / 2000 / 3) * list_sum(list_transform(range(0, 2001), lambda i:
+            (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * (1 + (q * i / 2000) ^ 2 / df) ^ (-(df + 1) / 2))) - {p})
+            / (k * (1 + q ^ 2 / df) ^ (-(df + 1) / 2)) AS q) FROM {inner})"""
+    return inner
+
+
 def _effect_sql(rows: str, extra: str = "") -> str:
-    half = f"{t_quantile(Z975, 'df')} * se"
+    half = "q * se"
     return f"""SELECT dimension, level, metric, a_n, b_n, a_mean, b_mean, mean_diff, t AS welch_t_stat, p AS p_value,
         coalesce(mean_diff / nullif(sqrt((a_std ^ 2 + b_std ^ 2) / 2), 0), 0) AS cohens_d, mean_diff - {half} AS ci_lower,
-        mean_diff + {half} AS ci_upper, coalesce(p < 0.05, false) AS significant {extra} FROM {rows}_welch WHERE metric IN {_listed(TESTED)}"""
+        mean_diff + {half} AS ci_upper, coalesce(p < 0.05, false) AS significant {extra}
+        FROM {_with_quantile(f"{rows}_welch", Z975, 0.975)} WHERE metric IN {_listed(TESTED)}"""
 
 
 def _guard_sql(rows: str) -> str:
     margins = " ".join(f"WHEN '{m.name}' THEN {m.margin}::DOUBLE" for m in CONFIGURED.metrics if m.role == ro.GUARDRAIL)
     return f"""SELECT *, diff - reach AS ci_lower, diff + reach AS ci_upper, reach = 0 OR diff + reach < (margin - 1) * a_mean AS passed
         FROM (SELECT dimension, level, metric, a_mean, b_mean, b_mean - a_mean AS diff, coalesce((b_mean - a_mean) * 100 / nullif(a_mean, 0), 0) AS diff_pct,
-                     CASE metric {margins} END AS margin, CASE WHEN se > 0 THEN {t_quantile(Z95, 'df')} * se ELSE 0 END AS reach
-              FROM (SELECT *, sqrt(a_std ^ 2 / a_n + b_std ^ 2 / b_n) AS se,
+                     CASE metric {margins} END AS margin, CASE WHEN se > 0 THEN q * se ELSE 0 END AS reach
+              FROM {_with_quantile(f"""(SELECT *, sqrt(a_std ^ 2 / a_n + b_std ^ 2 / b_n) AS se,
                            (a_std ^ 2 / a_n + b_std ^ 2 / b_n) ^ 2 / nullif((a_std ^ 2 / a_n) ^ 2 / (a_n - 1) + (b_std ^ 2 / b_n) ^ 2 / (b_n - 1), 0) AS df
-                    FROM {rows}_moments WHERE metric IN {_listed(GUARDED)}))
+                    FROM {rows}_moments WHERE metric IN {_listed(GUARDED)})""", Z95, 0.95)})
         WHERE a_mean IS NOT NULL AND b_mean IS NOT NULL"""
 
 
