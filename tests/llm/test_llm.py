@@ -465,10 +465,43 @@ def test_blocks_skip_nothing_near(spark, block, fan, monkeypatch):
     centres = rng.normal(size=(10, 8))
     x = np.repeat(centres, 20, axis=0) + rng.normal(size=(200, 8)) * 0.2
     x /= np.linalg.norm(x, axis=1)[:, None]
-    frame = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "node long, unit binary")
-    got = {tuple(sorted((r["a"], r["b"]))) for r in ego_join.close_links(frame, 8, block=block).collect()}
+    copies = [int(n) for n in rng.integers(1, 4, 200)]
+    frame = spark.createDataFrame(
+        [(i, copies[i], bytearray(v.tobytes())) for i, v in enumerate(x)], "node long, copies long, unit binary")
+    rows = ego_join.close_links(frame.repartition(40), 8, block=block).collect()
     g = x @ x.T
-    assert got == {(i, j) for i, j in itertools.combinations(range(200), 2) if g[i, j] >= 0.95}
+    want = [(i, j) for i, j in itertools.combinations(range(200), 2) if g[i, j] >= 0.95]
+    count, got = Counter(), Counter()
+    for i, j in want:
+        count[i] += copies[j]
+        count[j] += copies[i]
+    for r in rows:
+        got[r["node"]] += r["links"]
+    assert got == count
+    assert roots(range(200), [(r["node"], r["near"]) for r in rows]) == roots(range(200), want)
+
+
+def test_a_dense_group_gives_rows_by_vectors_not_by_links(spark):
+    rng = np.random.default_rng(3)
+    x = np.ones(16) + rng.normal(size=(600, 16)) * 0.02
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    frame = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "node long, copies long, unit binary")
+    rows = ego_join.close_links(frame, 16).collect()
+    per_node = Counter()
+    for r in rows:
+        per_node[r["node"]] += r["links"]
+    assert per_node == {i: 599 for i in range(600)}
+    assert len(rows) <= 600 * 8  # a row per node and pair of blocks; there are at most eight blocks
+
+
+@given(st.lists(st.tuples(st.integers(0, 29), st.integers(0, 29)), max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_labels_of_connected_places(links):
+    pairs = [(a, b) for a, b in links if a != b]
+    label = np.arange(30)
+    for k in range(0, len(pairs), 20):
+        label = ego_join._connect(label, *np.array(pairs[k : k + 20]).T)
+    assert dict(enumerate(label.tolist())) == roots(range(30), pairs)
 
 
 # ------------------------------------------------------------------ 1 language, 3 toxicity

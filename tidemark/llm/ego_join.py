@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, keep, prepare, shuffle_partitions
+from tidemark.llm.common import ARROW_ROWS, components, keep, prepare, shuffle_partitions
 
 THRESHOLD = 0.95
 # Leading principal dimensions: of the grid order, and of the bounds that skip blocks.
@@ -22,6 +22,11 @@ FAN = 8
 LEAF = 256
 # Slack for rounding: nothing is skipped that a bound excludes by less.
 SLACK = 1e-9
+# Cosines of unit vectors from a matrix product are off by far less than this.
+ROUNDED = 1e-9
+# Partial sums that one task adds up.
+FOLD = 16
+LINKS = "node long, links long, near long"
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,11 +73,11 @@ def _project(axes: np.ndarray, epsilon: float):
     def run(batches):
         dims = axes.shape[0]
         for batch in batches:
-            x = _matrix(batch.column(1).to_pylist(), dims) @ axes
+            x = _matrix(batch.column(2).to_pylist(), dims) @ axes
             cells = np.floor(x[:, :GRID_DIMS] / epsilon).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(cells[:, i]) for i in range(cells.shape[1])], pa.array(x[:, 0])],
-                names=["node", "unit", *[f"c{i}" for i in range(cells.shape[1])], "x0"])
+                [*batch.columns, *[pa.array(cells[:, i]) for i in range(cells.shape[1])], pa.array(x[:, 0])],
+                names=["node", "copies", "unit", *[f"c{i}" for i in range(cells.shape[1])], "x0"])
 
     return run
 
@@ -85,6 +90,7 @@ def _blocks(axes: np.ndarray, size: int):
 
         part, number = TaskContext.get().partitionId(), 0
         ids: list[int] = []
+        copies: list[int] = []
         units: list[bytes] = []
 
         def emit():
@@ -93,16 +99,19 @@ def _blocks(axes: np.ndarray, size: int):
             p = x @ axes
             row = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                pa.array([x.tobytes()], pa.binary()), pa.array([p.min(axis=0).tolist()]), pa.array([p.max(axis=0).tolist()]),
-            ], names=["part", "number", "ids", "units", "low", "high"])
+                pa.array([np.array(copies, np.int64).tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()),
+                pa.array([p.min(axis=0).tolist()]), pa.array([p.max(axis=0).tolist()]),
+            ], names=["part", "number", "ids", "copies", "units", "low", "high"])
             number += 1
             ids.clear()
+            copies.clear()
             units.clear()
             return row
 
         for batch in batches:
-            for i, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, n, u in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 ids.append(i)
+                copies.append(n)
                 units.append(u)
                 if len(ids) == size:
                     yield emit()
@@ -112,8 +121,31 @@ def _blocks(axes: np.ndarray, size: int):
     return run
 
 
+def _connect(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after the links (a, b): linked places get the smallest label among them."""
+    a, b = label[a], label[b]
+    while True:
+        open_links = a != b
+        if not open_links.any():
+            return label
+        a, b = a[open_links], b[open_links]
+        high, low = np.maximum(a, b), np.minimum(a, b)
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
+        first = np.r_[True, high[1:] != high[:-1]]
+        parent = np.arange(len(label))
+        parent[high[first]] = low[first]  # downwards only, so there is no cycle
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label, a, b = parent[label], parent[high], parent[low]
+
+
 def _close(axes: np.ndarray, threshold: float, squared: float):
-    """Links between the vectors of two blocks, in double precision; the recursion goes on inside."""
+    """Links between the vectors of two blocks, in double precision; the recursion goes on inside.
+
+    Returns a row per linked vector, not per link: how many links it has here, and a vector that
+    stands for all that are connected with it here.
+    """
     dims = axes.shape[0]
 
     def parts(p: np.ndarray):
@@ -124,30 +156,45 @@ def _close(axes: np.ndarray, threshold: float, squared: float):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                a, b = np.frombuffer(row["ids_a"], np.int64), np.frombuffer(row["ids_b"], np.int64)
-                x, y = _matrix([row["units_a"]], dims), _matrix([row["units_b"]], dims)
+                same = row["same"]
+                ids, weight = np.frombuffer(row["ids_a"], np.int64), np.frombuffer(row["copies_a"], np.int64)
+                x = y = _matrix([row["units_a"]], dims)
+                shift = 0  # where the second block's places begin
+                if not same:
+                    y, shift = _matrix([row["units_b"]], dims), len(ids)
+                    ids = np.concatenate([ids, np.frombuffer(row["ids_b"], np.int64)])
+                    weight = np.concatenate([weight, np.frombuffer(row["copies_b"], np.int64)])
+                links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
                 at_x, low_x, high_x = parts(x @ axes)
                 at_y, low_y, high_y = parts(y @ axes)
-                found_a, found_b = [], []
                 for i, start in enumerate(at_x):
                     gaps = np.maximum(0.0, np.maximum(low_x[i] - high_y, low_y - high_x[i]))
                     near = (gaps * gaps).sum(axis=1) <= squared
-                    if row["same"]:
+                    if same:
                         near[:i] = False
                     mine = x[start : start + LEAF]
                     for j in at_y[near]:
-                        # a rounded bound first; then the pair's own sum decides, in one order everywhere
-                        hit_a, hit_b = np.nonzero(mine @ y[j : j + LEAF].T >= threshold - 1e-9)
+                        theirs = y[j : j + LEAF]
+                        cosine = mine @ theirs.T
+                        yes = cosine >= threshold + ROUNDED
+                        # where rounding could matter the pair's own sum decides, in one order everywhere
+                        doubt_a, doubt_b = np.nonzero((cosine >= threshold - ROUNDED) & ~yes)
+                        for k in range(0, len(doubt_a), LEAF):
+                            d, e = doubt_a[k : k + LEAF], doubt_b[k : k + LEAF]
+                            yes[d, e] = (mine[d] * theirs[e]).sum(axis=1) >= threshold
+                        if same and start == j:
+                            yes = np.triu(yes, 1)
+                        hit_a, hit_b = np.nonzero(yes)
                         if len(hit_a):
-                            hit_a, hit_b = hit_a + start, hit_b + j
-                            yes = (x[hit_a] * y[hit_b]).sum(axis=1) >= threshold
-                            if row["same"]:
-                                yes &= hit_a < hit_b
-                            found_a.append(a[hit_a[yes]])
-                            found_b.append(b[hit_b[yes]])
-                if found_a:
+                            of_x, of_y = slice(start, start + len(mine)), slice(shift + j, shift + j + len(theirs))
+                            links[of_x] += yes.astype(np.int64) @ weight[of_y]
+                            links[of_y] += weight[of_x] @ yes.astype(np.int64)
+                            label = _connect(label, hit_a + start, hit_b + shift + j)
+                met = np.flatnonzero(links)
+                for k in range(0, len(met), ARROW_ROWS):
+                    m = met[k : k + ARROW_ROWS]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], names=["a", "b"])
+                        [pa.array(ids[m]), pa.array(links[m]), pa.array(ids[label[m]])], names=["node", "links", "near"])
 
     return run
 
@@ -162,7 +209,13 @@ def _not_apart(pairs: DataFrame, squared: float) -> DataFrame:
 
 
 def close_links(units: DataFrame, dims: int, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between nodes (node, unit) with cosine at least ``threshold``.
+    """Links between nodes (node, copies, unit) with cosine at least ``threshold``, counted per pair of blocks.
+
+    One row (node, links, near) per pair of blocks and node with a link in it: ``links`` is the number of
+    copies of the nodes it is linked with there, ``near`` a node it is connected with by links there,
+    the same one for all that are connected there. Summed up, the links are exact, and the rows
+    (node, near) connect what the links connect; a dense group costs rows in proportion to its
+    nodes, not to its links.
 
     Unit vectors with cosine c are sqrt(2 - 2c) apart, and a projection only shortens distances. The
     vectors are sorted by their grid cells on the leading principal dimensions, and cut into blocks.
@@ -172,23 +225,27 @@ def close_links(units: DataFrame, dims: int, threshold: float = THRESHOLD, block
     """
     spark = units.sparkSession
     epsilon = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold))) + SLACK
-    # one row of dims * (dims + 1) sums per task reaches the driver, summed in the executors first
+    # dims * (dims + 1) sums of each task are added up by a tree of tasks; one row reaches the driver
     sums = units.select("unit").mapInArrow(_moments(dims), "n long, sums binary")
-    folded = sums.repartition(1).mapInArrow(_add_up, "n long, sums binary").first()
+    tasks = units.rdd.getNumPartitions()
+    while tasks > 1:
+        tasks = -(-tasks // FOLD)
+        sums = sums.repartition(tasks).mapInArrow(_add_up, "n long, sums binary")
+    folded = sums.first()
     if folded is None:
-        return spark.createDataFrame([], "a long, b long")
+        return spark.createDataFrame([], LINKS)
     values = np.frombuffer(folded["sums"], np.float64)
     mean = values[:dims] / folded["n"]
     spread = values[dims:].reshape(dims, dims) / folded["n"] - np.outer(mean, mean)
     _, vectors = np.linalg.eigh(spread)
     axes = np.ascontiguousarray(vectors[:, ::-1][:, : min(dims, BOUND_DIMS)])
     grid = [f"c{i} int" for i in range(min(GRID_DIMS, axes.shape[1]))]
-    placed = units.select("node", "unit").mapInArrow(
-        _project(axes, epsilon), "node long, unit binary, " + ", ".join(grid) + ", x0 double")
+    placed = units.select("node", "copies", "unit").mapInArrow(
+        _project(axes, epsilon), "node long, copies long, unit binary, " + ", ".join(grid) + ", x0 double")
     order = [g.split()[0] for g in grid] + ["x0", "node"]
     sequence = placed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    blocks = keep(sequence.select("node", "unit").mapInArrow(
-        _blocks(axes, block), "part int, number int, ids binary, units binary, low array<double>, high array<double>"))
+    blocks = keep(sequence.select("node", "copies", "unit").mapInArrow(
+        _blocks(axes, block), "part int, number int, ids binary, copies binary, units binary, low array<double>, high array<double>"))
     # numbers along the sequence: blocks of earlier ranges first
     offsets = {}
     at = 0
@@ -220,11 +277,12 @@ def close_links(units: DataFrame, dims: int, threshold: float = THRESHOLD, block
         left = here.select(F.col("id").alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
         right = here.select(F.col("id").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
         pairs = keep(_not_apart(split.join(left, "a").join(right, "b"), epsilon * epsilon).select("a", "b"))
-    left = blocks.select(F.col("block").alias("a"), F.col("ids").alias("ids_a"), F.col("units").alias("units_a"))
-    right = blocks.select(F.col("block").alias("b"), F.col("ids").alias("ids_b"), F.col("units").alias("units_b"))
+    sides = ["ids", "copies", "units"]
+    left = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in sides])
+    right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in sides])
     work = pairs.join(left, "a").join(right, "b").select(
-        "ids_a", "units_a", "ids_b", "units_b", (F.col("a") == F.col("b")).alias("same"))
-    return work.mapInArrow(_close(axes, threshold, epsilon * epsilon), "a long, b long")
+        *[f"{c}_a" for c in sides], *[f"{c}_b" for c in sides], (F.col("a") == F.col("b")).alias("same"))
+    return work.mapInArrow(_close(axes, threshold, epsilon * epsilon), LINKS)
 
 
 def _add_up(batches):
@@ -254,16 +312,15 @@ def embedding_groups(
     units = keep(rows.where("vec_id is not null").mapInArrow(_unit_rows, "vec_id long, unit binary"))
     nodes = units.groupBy("unit").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()))
-    links = spark.createDataFrame([], "a long, b long")
+    links = spark.createDataFrame([], LINKS)
     # one pass for each length of vectors, which a table has one of
     for size in [r[0] for r in nodes.select(F.length("unit")).distinct().collect()]:
         own = nodes.where(F.length("unit") == size)
         links = links.union(close_links(own, size // 8, threshold))
     links = keep(links)
-    both = links.union(links.select("b", "a"))
-    weights = nodes.select(F.col("node").alias("b"), "copies")
-    around = both.join(weights, "b").groupBy("a").agg(F.sum("copies").alias("around")).withColumnRenamed("a", "node")
-    named = nodes.join(around, "node", "left").join(components(links), "node", "left")
+    around = links.groupBy("node").agg(F.sum("links").alias("around"))
+    roots = components(links.select(F.col("node").alias("a"), F.col("near").alias("b")))
+    named = nodes.join(around, "node", "left").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     found = named.join(smallest, "root").select(
