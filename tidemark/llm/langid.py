@@ -244,15 +244,17 @@ def _predict(network: Network | None, languages: list[str]):
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
+                       held_out: tuple[int, int] = HELD_OUT, model: tuple[Network | None, list[str]] | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score.
 
+    ``model`` is what ``fit`` returns; without one it is fitted on ``docs``.
+
     The network labels every byte of every text; a document's score is the mean probability of its
     language over all bytes. Null text and text without a letter are `und` with score 0, as is
     everything where no row has a language to learn. Null identifiers hash as the text 'null'; repeated
     rows get the same answer; an empty table gives an empty result; other columns are not read.
     """
-    network, languages = fit(docs, id_col, text_col, lang_col, held_out)
+    network, languages = model or fit(docs, id_col, text_col, lang_col, held_out)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), (residue(id_col, held_out[0]) == held_out[1]).alias("held_out"),
         F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"))
