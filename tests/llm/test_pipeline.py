@@ -25,7 +25,8 @@ def test_filters_keep_columns_and_clean_documents(stages):
     docs = stages[0]
     for made in stages[1:5]:
         assert made.columns == docs.columns
-    assert stages[1].count() == docs.where("text rlike '\\\\p{L}'").count()
+    labelled = {r["doc_id"] for r in docs.where("lang is not null and text rlike '\\\\p{L}'").collect()}
+    assert labelled <= {r["doc_id"] for r in stages[1].collect()}
     before, after = ({r["doc_id"]: r["text"] for r in s.collect()} for s in stages[1:3])
     seen: dict[str, int] = {}
     for text in before.values():
@@ -38,6 +39,32 @@ def test_filters_keep_columns_and_clean_documents(stages):
             assert len(after[doc]) <= len(text)
 
 
+def _language_docs(spark, langs):
+    texts = ["the cat sat on the mat and slept", "der Hund lief durch den Wald", "0 1 2", None, "the end of the day", "und die Katze"]
+    rows = [(i, t, langs[i % len(langs)], "a", 1) for i, t in enumerate(texts * 4)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_language_stage_follows_the_prediction(spark, monkeypatch):
+    docs = _language_docs(spark, ["en", "de", None, "en", "en", "de"])
+    scores = {0: 0.9, 1: 0.52, 4: 0.53, 5: 1.0}  # the bound of two languages is 0.525
+
+    def answer(named, model):
+        assert len(model[1]) == 2
+        made = [(i, False, "en", scores.get(i, 0.0)) for i in range(24)]
+        return spark.createDataFrame(made, "doc_id long, held_out boolean, lang_pred string, score double")
+
+    monkeypatch.setattr(corpus_pipeline.langid, "identify_languages", answer)
+    assert {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SMALL).collect()} == {0, 4, 5}
+
+
+@pytest.mark.parametrize("langs", [[None], ["en"]])
+def test_without_languages_to_learn_documents_with_letters_stay(spark, langs):
+    docs = _language_docs(spark, langs)
+    made = corpus_pipeline.language_stage(spark, docs, SMALL)
+    assert {r["doc_id"] for r in made.collect()} == {i for i in range(24) if i % 6 not in (2, 3)}
+
+
 def test_one_of_each_group_stays(stages):
     from test_llm import fingerprint_by_hand, roots
 
@@ -48,12 +75,24 @@ def test_one_of_each_group_stays(stages):
 
 
 def test_packed_pieces_are_whole_documents(stages):
-    tokens, documents = {}, {}
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens, documents, places = {}, {}, {}
     for r in stages[5].collect():
         tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + r["length"]
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
     for r in stages[4].collect():
-        documents[r["doc_id"]] = documents.get(r["doc_id"], 0) + 1
-    assert set(tokens) == set(documents)
+        ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids
+        documents[r["doc_id"]] = documents.get(r["doc_id"], 0) + len(ids) + 1
+    assert tokens == documents
+    for pieces in places.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
 
 
 def test_awkward_rows_go_through(spark):
