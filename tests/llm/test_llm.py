@@ -621,6 +621,51 @@ def test_base_spans(parts):
     assert pii.base_spans(text) == spans_by_hand(text)
 
 
+def units_by_hand(text):
+    """Word by word: labels split off, then digit groups one blank apart joined."""
+    parts = []
+    for m in re.finditer(r"\S+", text):
+        label = pii._LABEL.match(m.group())
+        cuts = [m.start(), m.start() + label.end(), m.end()] if label else [m.start(), m.end()]
+        parts += [(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+    out = []
+    for i, (a, b) in enumerate(parts):
+        number = [bool(pii._NUMBER.fullmatch(text[c:d])) for c, d in parts[max(0, i - 1) : i + 1]]
+        if i and all(number) and text[parts[i - 1][1] : a] == " " and text[a] != "+" and text[parts[i - 1][1] - 1] not in ".,;:!?":
+            out[-1] = (out[-1][0], b, out[-1][2])
+        else:
+            out.append((a, b, pii._plain(text[a:b])))
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1 2é.,:+(/-\n\t@", max_size=40))
+def test_units(text):
+    cache = {}
+    assert pii.units(text, cache) == units_by_hand(text)
+    assert pii.plain_units(text, cache) == [u[2] for u in units_by_hand(text)]
+
+
+def test_seed_contexts_do_not_depend_on_distance():
+    text = "mailbox:" + " " * 5000 + "a@example.org" + "\t" * 5000 + "today, or <b@example.org>, x=c@example.org! end"
+    found = pii.units(text, {})
+    ends = [u[1] for u in found]
+    around = [pii._around(text, found, ends, a, b, {}) for _, a, b in pii.base_spans(text)]
+    assert around == [pii.contexts("", "mailbox", "today"), pii.contexts("today", "or", "x=c@example.org"), pii.contexts("b@example.org", "x", "end")]
+
+
+def test_patterns_that_gain_support_late_are_counted(spark):
+    """Identifiers known from one context make another one a pattern, in which further ones are found."""
+    rng = random.Random(9)
+    say = lambda: sentence(rng, 6)
+    rows = [(i, f"{say()} call home: +49 30 555 {1000 + i} thanks") for i in range(40)]
+    rows += [(100 + i, f"{say()} call home: 030-55{70 + i}-{i}111 thanks") for i in range(6)]
+    rows += [(200 + i, f"{say()} reach desk= 030-55{70 + i}-{i}111 soon") for i in range(6)]
+    rows += [(300, f"{say()} reach desk= 040-9999-222 soon"), (301, f"{say()} invoice 040-9999-333 paid")]
+    got = {r["doc_id"]: r["n_found"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[300] == 1 and got[301] == 0 and all(got[i] == 1 for i in got if 100 <= i < 300)
+
+
 def test_personal_data(docs, rows):
     got = {tuple(r) for r in pii.find_personal_data(docs).collect()}
     for r in rows:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,8 +32,6 @@ MIN_DIGITS = 4
 PROPOSES = 0.5
 _MOST_PROPOSALS = 20
 _MOST_ROUNDS = 200
-# Characters on each side in which context words are looked for.
-CONTEXT_REACH = 200
 # Patterns that workers hold at once while they count contexts; more are counted in several passes.
 PATTERNS_AT_ONCE = 200_000
 
@@ -99,6 +98,8 @@ def _plain(word: str) -> str:
 
 def _pieces(word: str) -> list[tuple[int, int, str, bool, bool]]:
     """Label and value of a word, as (start, end, context word, is a number, may go on)."""
+    if not _DIGIT.search(word) and ":" not in word:
+        return [(0, len(word), word.strip(_EDGE).lower() or word[:1], False, False)]
     label = _LABEL.match(word)
     cuts = [0, label.end(), len(word)] if label else [0, len(word)]
     out = []
@@ -108,26 +109,69 @@ def _pieces(word: str) -> list[tuple[int, int, str, bool, bool]]:
     return out
 
 
-def units(text: str, cache: dict[str, list]) -> list[tuple[int, int, str]]:
+# Pieces longer than this are not remembered, so what a worker remembers is bounded in bytes too.
+_REMEMBERED = 64
+
+
+def _of_piece(piece: str) -> tuple[list[tuple[int, int, str]], list[str], bool, bool]:
+    """Units of a text without blanks, their context words, whether digits before may take in the first, and the last those behind."""
+    out: list[tuple[int, int, str]] = []
+    joins = going = False
+    for m in _WORD.finditer(piece):
+        for a, b, plain, number, more in _pieces(m.group()):
+            if not out:
+                joins = number and m.start() == 0 and piece[0] != "+"
+            out.append((m.start() + a, m.start() + b, plain))
+            going = more and m.end() == len(piece)
+    return out, [u[2] for u in out], joins, going
+
+
+def _look_up(piece: str, cache: dict) -> tuple[list[tuple[int, int, str]], list[str], bool, bool]:
+    made = _of_piece(piece)
+    if len(piece) <= _REMEMBERED:
+        if len(cache) > 300_000:
+            cache.clear()
+        cache[piece] = made
+    return made
+
+
+def units(text: str, cache: dict) -> list[tuple[int, int, str]]:
     """What can be an identifier or a context word, as (start, end, context word).
 
     Words, with a label glued to its value split off, and groups of digits one space apart taken together.
     """
-    if len(cache) > 300_000:
-        cache.clear()
     out: list[tuple[int, int, str]] = []
     going = False
-    for m in _WORD.finditer(text):
-        word, at = m.group(), m.start()
-        parts = cache.get(word)
-        if parts is None:
-            parts = cache[word] = _pieces(word)
-        for a, b, plain, number, more in parts:
-            if number and going and word[a] != "+" and text[out[-1][1] : at + a] == " ":
-                out[-1] = (out[-1][0], at + b, out[-1][2])
-            else:
-                out.append((at + a, at + b, plain))
-            going = more
+    at = 0
+    for piece in text.split(" "):
+        if piece.isalpha():
+            out.append((at, at + len(piece), piece.lower()))
+            going = False
+            at += len(piece) + 1
+            continue
+        made, _, joins, more = cache.get(piece) or _look_up(piece, cache)
+        if going and joins:
+            out[-1] = (out[-1][0], at + made[0][1], out[-1][2])
+            made = made[1:]
+        for a, b, plain in made:
+            out.append((at + a, at + b, plain))
+        going = more
+        at += len(piece) + 1
+    return out
+
+
+def plain_units(text: str, cache: dict) -> list[str]:
+    """The context words of ``units`` alone."""
+    out: list[str] = []
+    going = False
+    for piece in text.split(" "):
+        if piece.isalpha():
+            out.append(piece.lower())
+            going = False
+            continue
+        _, plains, joins, more = cache.get(piece) or _look_up(piece, cache)
+        out += plains[1:] if going and joins else plains
+        going = more
     return out
 
 
@@ -140,6 +184,7 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 def free_units(text: str, found: list[tuple[int, int, str]], taken: list[tuple[int, int, int]], wanted) -> Iterator[tuple[int, int, list[str]]]:
     """Units that no base span touches and ``wanted`` (digits, contexts) takes, without punctuation at their edges."""
     busy = sorted((a, b) for _, a, b in taken)
+    plains = [u[2] for u in found]
     position = 0
     for i, (start, end, _) in enumerate(found):
         start, end = _trimmed(text, start, end)
@@ -147,13 +192,13 @@ def free_units(text: str, found: list[tuple[int, int, str]], taken: list[tuple[i
             position += 1
         if start == end or position < len(busy) and busy[position][0] < end:
             continue
-        patterns = _beside(found, i)
+        patterns = _beside(plains, i)
         if wanted(sum(c in "0123456789" for c in text[start:end]), patterns):
             yield start, end, patterns
 
 
-def _beside(found: list[tuple[int, int, str]], i: int) -> list[str]:
-    return contexts(found[i - 2][2] if i > 1 else "", found[i - 1][2] if i else "", found[i + 1][2] if i + 1 < len(found) else "")
+def _beside(plains: list[str], i: int) -> list[str]:
+    return contexts(plains[i - 2] if i > 1 else "", plains[i - 1] if i else "", plains[i + 1] if i + 1 < len(plains) else "")
 
 
 def contexts(left2: str, left1: str, right1: str) -> list[str]:
@@ -163,11 +208,18 @@ def contexts(left2: str, left1: str, right1: str) -> list[str]:
     return [left1, f"{left2} {left1}", f"{left1} _ {right1}"]
 
 
-def _around(text: str, start: int, end: int) -> list[str]:
-    """Contexts of a base span, in the units that totals are counted in."""
-    left = [u[2] for u in units(text[max(0, start - CONTEXT_REACH) : start].rstrip(_EDGE), {})[-2:]]
-    right = units(text[end : end + CONTEXT_REACH].lstrip(_EDGE), {})
-    return contexts(left[0] if len(left) > 1 else "", left[-1] if left else "", right[0][2] if right else "")
+def _around(text: str, found: list[tuple[int, int, str]], ends: list[int], start: int, end: int, cache: dict) -> list[str]:
+    """Contexts of a base span, in the units that totals are counted in; a unit it covers in part gives its rest."""
+    i, j = bisect_right(ends, start), bisect_right(ends, end)
+    left = [u[2] for u in found[max(0, i - 2) : i]]
+    if i < len(found) and found[i][0] < start:
+        left += plain_units(text[found[i][0] : start].rstrip(_EDGE), cache)
+    right: list[str] = []
+    if j < len(found) and found[j][0] < end:
+        right = plain_units(text[end : found[j][1]].lstrip(_EDGE), cache)
+        j += 1
+    right += [u[2] for u in found[j : j + 1]]
+    return contexts(left[-2] if len(left) > 1 else "", left[-1] if left else "", right[0] if right else "")
 
 
 def _digest(text: str, start: int, end: int) -> str:
@@ -184,7 +236,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("k", pa.int32()), ("s", pa.int64()), ("e", pa.int64())]))
     place = pa.list_(pa.struct([
         ("k", pa.int32()), ("s", pa.int64()), ("e", pa.int64()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
-    cache: dict[str, list] = {}
+    cache: dict = {}
     for batch in batches:
         digests, spans, places = [], [], []
         for text in batch.column(1):
@@ -193,10 +245,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed = ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in base)
             digests.append(hashlib.sha256(listed.encode()).hexdigest())
             spans.append([{"k": k, "s": a, "e": b} for k, a, b in base])
-            found = [(k, a, b, _around(text, a, b)) for k, a, b in base]
-            if _DIGIT.search(text):
-                free = free_units(text, units(text, cache), base, lambda digits, _: digits >= MIN_DIGITS)
-                found += [(-1, a, b, patterns) for a, b, patterns in free]
+            listed_units = units(text, cache) if base or _DIGIT.search(text) else []
+            ends = [u[1] for u in listed_units]
+            found = [(k, a, b, _around(text, listed_units, ends, a, b, cache)) for k, a, b in base]
+            free = free_units(text, listed_units, base, lambda digits, _: digits >= MIN_DIGITS)
+            found += [(-1, a, b, patterns) for a, b, patterns in free]
             places.append([{"k": k, "s": a, "e": b, "value": _digest(text, a, b), "patterns": patterns} for k, a, b, patterns in found])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(digests), pa.array(spans, span), pa.array(places, place)], names=["key", "base_sha256", "base", "places"])
@@ -212,15 +265,14 @@ def _count_contexts(wanted: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
-        cache: dict[str, list] = {}
+        cache: dict = {}
         for batch in batches:
             for text in batch.column(0):
-                found = units(text.as_py() or "", cache)
-                for i in range(1, len(found)):
-                    if found[i - 1][2] in heads:
-                        for p in _beside(found, i):
-                            if p in known:
-                                counts[p] += 1
+                plains = plain_units(text.as_py() or "", cache)
+                last = len(plains) - 1
+                for i in [i for i, plain in enumerate(plains) if plain in heads]:
+                    if i < last:
+                        counts.update(p for p in _beside(plains, i + 1) if p in known)
         if counts:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
@@ -234,15 +286,14 @@ def _fill(wanted: list[str]):
     known = set(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, list] = {}
+        cache: dict = {}
         for batch in batches:
             out = []
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                found = units(text, cache)
-                hit = (found[i - 1][2] in heads and not known.isdisjoint(_beside(found, i)) for i in range(1, len(found)))
-                if any(hit):
-                    free = free_units(text, found, base_spans(text), lambda digits, ps: digits < MIN_DIGITS and not known.isdisjoint(ps))
+                plains = plain_units(text, cache)
+                if any(plains[i - 1] in heads and not known.isdisjoint(_beside(plains, i)) for i in range(1, len(plains))):
+                    free = free_units(text, units(text, cache), base_spans(text), lambda digits, ps: digits < MIN_DIGITS and not known.isdisjoint(ps))
                     out += [(key.as_py(), a, b, _digest(text, a, b), ps) for a, b, ps in free]
             if out:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), FILLED, strict=True)]
@@ -276,12 +327,17 @@ def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return out.groupBy("pattern").agg(F.sum("n").alias("total"))
 
 
-def _scored(weights: DataFrame, sure: DataFrame, totals: DataFrame) -> DataFrame:
-    """Confidence of patterns: rows (pattern, k, p)."""
+def _supported(weights: DataFrame, sure: DataFrame) -> DataFrame:
+    """Patterns with enough confident instances of a kind: rows (pattern, k, weight, members)."""
     support = weights.join(sure, "value").groupBy("pattern", "k").agg(
         F.sum(F.col("n") * F.col("confidence")).alias("weight"),
         F.sum((F.col("confidence") >= CONFIDENT).cast("int")).alias("members"))
-    return support.where(F.col("members") >= MIN_SUPPORT).join(totals, "pattern").select(
+    return support.where(F.col("members") >= MIN_SUPPORT)
+
+
+def _scored(weights: DataFrame, sure: DataFrame, totals: DataFrame) -> DataFrame:
+    """Confidence of patterns: rows (pattern, k, p)."""
+    return _supported(weights, sure).join(totals, "pattern").select(
         "pattern", "k", F.least(F.lit(1.0), F.col("weight") / F.greatest("total", "weight")).alias("p"))
 
 
@@ -349,18 +405,26 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     places = extracted.select("key", F.explode("places").alias("place")).select("key", "place.*")
     every = keep(_edges(places))
     spark = docs.sparkSession
-    totals, counted, proposed = None, spark.createDataFrame([], "pattern string"), spark.createDataFrame([], "pattern string")
+    totals = spark.createDataFrame([], "pattern string, total long")
+    counted = proposed = spark.createDataFrame([], "pattern string")
     for _ in range(_MOST_PROPOSALS):
         known = every.groupBy("pattern").agg(F.count_distinct("value").alias("values"))
         useful = keep(known.where(F.col("values") >= MIN_SUPPORT).select("pattern"))
         edges = keep(every.join(useful, "pattern", "left_semi"))
-        fresh = keep(useful.join(counted, "pattern", "left_anti"))
-        counts = keep(_totals(rows.select("text"), fresh))
-        totals = counts if totals is None else totals.unionByName(counts)
-        counted = counted.unionByName(fresh)
-        found = score_graph(edges, totals)
         seeds = edges.where("k >= 0").select("value", "k").distinct().withColumn("confidence", F.lit(1.0))
         weights = edges.groupBy("pattern", "value").agg(F.sum("n").alias("n"))
+        # Only patterns with enough confident instances are scored, so only their places are counted.
+        # A pattern that is not counted yet adds nothing, and confidence only grows, so the end is the
+        # same as with all patterns counted beforehand.
+        for _ in range(_MOST_ROUNDS):
+            found = score_graph(edges, totals)
+            fresh = keep(_supported(weights, seeds.unionByName(found)).select("pattern").distinct().join(counted, "pattern", "left_anti"))
+            if not fresh.limit(1).count():
+                break
+            totals = totals.unionByName(keep(_totals(rows.select("text"), fresh)))
+            counted = counted.unionByName(fresh)
+        else:
+            raise RuntimeError("patterns did not stop gaining support")
         able = _scored(weights, seeds.unionByName(found), totals).where(F.col("p") >= PROPOSES).select("pattern").distinct()
         able = keep(able.join(proposed, "pattern", "left_anti"))
         filled = _proposed(rows, able)
