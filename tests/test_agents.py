@@ -44,13 +44,13 @@ def test_rollup_does_not_fan_out(spark):
 def test_error_categories(spark):
     data = [run(1, "2026-01-01", False, error="timeout"), run(2, "2026-01-01", False, error="odd"), run(3, "2026-01-01"), run(4, "2026-01-01", False)]
     none = spans(spark, [])
-    out = agents.agent_error_classification(runs(spark, data), agents.spans_per_trace(none))
+    out = agents.agent_error_classification(runs(spark, data), agents.failures_per_trace(none))
     assert rows(out, "agent_run_id", "error_category") == {("r1", "timeout"), ("r2", "unknown"), ("r3", "none"), ("r4", "unknown")}
 
 
 def test_error_share_is_of_the_day(spark):
     data = [run(1, "2026-01-01", False, error="timeout"), run(2, "2026-01-01", False, error="timeout"), run(3, "2026-01-01", False, error="api_error"), run(4, "2026-01-02", False)]
-    classified = agents.agent_error_classification(runs(spark, data), agents.spans_per_trace(spans(spark, [])))
+    classified = agents.agent_error_classification(runs(spark, data), agents.failures_per_trace(spans(spark, [])))
     out = agents.error_root_cause(classified)
     assert {(str(a), b, round(c, 4)) for a, b, c in rows(out, "run_date", "error_category", "error_share")} == {
         ("2026-01-01", "timeout", 0.6667), ("2026-01-01", "api", 0.3333), ("2026-01-02", "unknown", 1.0),

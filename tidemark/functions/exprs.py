@@ -80,6 +80,24 @@ def first_time(name: Column | str, wanted: str, time: Column | str) -> Column:
     return F.min(F.when(as_column(name) == wanted, as_column(time)))
 
 
+def extreme_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], carried: Sequence[str], largest: bool = False) -> DataFrame:
+    """The first (or ``largest``) row of each group by ``order``, as keys, order and carried columns.
+
+    ``order[0]`` has a fixed width (a time, a date, a number). Its extreme is found by a hash aggregate
+    that combines map-side; rows are then matched on keys and that value, and only those that tie are
+    compared as structs. Rows are never sorted, and the match deals a hot group by its values. NULL
+    keys are a group; rows with a NULL ``order[0]`` count only where a group has no other.
+    """
+    pick = F.max if largest else F.min
+    best = rows.groupBy(*keys).agg(pick(order[0]).alias("__best"))
+    best = best.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__best")
+    match = F.col(order[0]).eqNullSafe(F.col("__best"))
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    tied = rows.join(best, match, "left_semi")
+    return tied.groupBy(*keys).agg(pick(F.struct(*order, *carried)).alias("__row")).select(*keys, "__row.*")
+
+
 def bucket(value: Column, bounds: Sequence[tuple[float, str]], otherwise: str) -> Column:
     """Label by the first upper bound that is not exceeded."""
     (first_bound, first_label), *rest = bounds

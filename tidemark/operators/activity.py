@@ -12,6 +12,7 @@ from tidemark.functions.exprs import (
     bucket,
     count_rows,
     elapsed_hours,
+    extreme_rows,
     flag,
     pct,
     ratio,
@@ -300,22 +301,11 @@ def activity_streaks(daily: DataFrame, at_least: int = 3) -> DataFrame:
 
 
 def first_successful_task(users: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Earliest exported task of each user (ties by task id) and the time since signup.
-
-    ``min`` over an ordered struct combines map-side, so one user with very many tasks is never
-    sorted in one task.
-    """
+    """Earliest exported task of each user (ties by task id) and the time since signup."""
     done = outcomes.where(F.col("is_successful") & F.col("exported_at").isNotNull())
-    first = done.groupBy("user_id").agg(
-        F.min(
-            F.struct(
-                "exported_at", "task_id", "field_edit_count", "event_count", "task_duration_seconds"
-            )
-        ).alias("t")
-    )
-    joined = first.join(users.select("user_id", "signup_time"), "user_id").select(
-        "user_id", "t.*", "signup_time"
-    )
+    carried = ["field_edit_count", "event_count", "task_duration_seconds"]
+    first = extreme_rows(done, ["user_id"], ["exported_at", "task_id"], carried)
+    joined = first.join(users.select("user_id", "signup_time"), "user_id")
     hours = elapsed_hours("signup_time", "exported_at")
     return joined.select(
         "user_id",
@@ -351,10 +341,8 @@ def latest_task_per_user(outcomes: DataFrame, as_of: Column) -> DataFrame:
         "field_edit_count",
         "task_duration_seconds",
     ]
-    best = outcomes.groupBy("user_id").agg(
-        F.max(F.struct(latest.alias("latest_event_at"), priority.alias("p"), "task_id", *carried)).alias("t")
-    )
-    rows = best.select("user_id", "t.*")
+    ordered = outcomes.withColumn("latest_event_at", latest).withColumn("p", priority)
+    rows = extreme_rows(ordered, ["user_id"], ["latest_event_at", "p", "task_id"], carried, largest=True)
     at = F.col("latest_event_at")
     status = (
         F.when(F.col("exported_at") == at, "exported")

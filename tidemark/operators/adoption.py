@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_date, count_rows, pct, ratio
+from tidemark.functions.exprs import as_date, count_rows, extreme_rows, pct, ratio
 
 # --- fixed values: features, their flags and milestone times -----------------------------------
 FEATURE_FLAGS = {
@@ -95,8 +95,8 @@ def feature_time_to_first_use(
 ) -> DataFrame:
     """Users by days from signup to the first use of each feature (non-negative days only).
 
-    The first use per (user, feature) is a ``min`` over an ordered struct, taken before any join,
-    so the joins see at most one row per user and feature.
+    The first use per (user, feature) is taken before any join, so the joins see at most one row per
+    user and feature.
     """
     uses = explode_features(
         sequence.select("user_id", "task_id", "document_id", *FEATURE_TIMES.values()),
@@ -104,11 +104,8 @@ def feature_time_to_first_use(
         "feature_name",
         "used_at",
     ).where(F.col("used_at").isNotNull())
-    first = (
-        uses.groupBy("user_id", "feature_name")
-        .agg(F.min(F.struct(as_date("used_at").alias("first_use_date"), "task_id", "document_id")).alias("u"))
-        .select("user_id", "feature_name", "u.first_use_date", "u.document_id")
-    )
+    uses = uses.withColumn("first_use_date", as_date("used_at"))
+    first = extreme_rows(uses, ["user_id", "feature_name"], ["first_use_date", "task_id"], ["document_id"])
     days = F.datediff("first_use_date", "signup_date")
     return (
         first.join(users.select("user_id", "user_segment", "device_type", "signup_date"), "user_id", "left")

@@ -43,15 +43,31 @@ def spans_per_trace(spans: DataFrame) -> DataFrame:
         latency(F.col("span_name") == "ocr_extraction").alias("ocr_latency_ms"),
         latency(kind("llm")).alias("llm_latency_ms"),
         latency(F.col("span_name") == "output_validation").alias("validation_latency_ms"),
-        F.max(F.when(failed, F.col("span_name"))).alias("failing_span_name"),
-        F.max(F.when(failed, F.col("error_type"))).alias("span_error_type"),
+    )
+
+
+def failures_per_trace(spans: DataFrame) -> DataFrame:
+    """Failed spans of each trace: their number, and the last span name and error by alphabet.
+
+    Only failed spans are read. They are collapsed by name and error first, where labels are keys of a
+    hash aggregate; the largest labels are then taken from the few rows that are left.
+    """
+    collapsed = (
+        spans.where(F.col("status") == "error")
+        .groupBy("trace_id", "span_name", "error_type")
+        .agg(count_rows("spans"))
+    )
+    return collapsed.groupBy("trace_id").agg(
+        F.sum("spans").alias("failed_span_count"),
+        F.max("span_name").alias("failing_span_name"),
+        F.max("error_type").alias("span_error_type"),
     )
 
 
 def agent_trace_rollup(runs: DataFrame, per_trace: DataFrame) -> DataFrame:
     """One row per run with span counts by type and status and latency by stage."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return runs.join(per_trace.drop("failing_span_name", "span_error_type"), "trace_id", "left").select(
+    return runs.join(per_trace, "trace_id", "left").select(
         "trace_id",
         "agent_run_id",
         "user_id",
@@ -84,14 +100,9 @@ def error_category(categories: Mapping[str, str] = ERROR_CATEGORIES) -> Column:
     return chain.when(~F.col("success_flag"), "unknown").otherwise("none")
 
 
-def agent_error_classification(runs: DataFrame, per_trace: DataFrame) -> DataFrame:
+def agent_error_classification(runs: DataFrame, failures: DataFrame) -> DataFrame:
     """Error category of every run with the failing span and the number of failed spans."""
-    failures = per_trace.select(
-        "trace_id",
-        "failing_span_name",
-        "span_error_type",
-        F.col("failed_span_count").alias("error_span_count"),
-    )
+    failures = failures.withColumnRenamed("failed_span_count", "error_span_count")
     return runs.join(failures, "trace_id", "left").select(
         "agent_run_id",
         "trace_id",

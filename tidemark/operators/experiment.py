@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_date, count_rows, null_safe_join, ratio, stable_round
+from tidemark.functions.exprs import as_date, count_rows, extreme_rows, null_safe_join, ratio, stable_round
 from tidemark.functions.order_stats import exact_percentiles
 from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critical, t_pvalue
 
@@ -22,16 +22,14 @@ from tidemark.functions.tails import Z_975, chi2_pvalue, normal_pvalue, t_critic
 def contaminated_ids(assignments: DataFrame) -> DataFrame:
     """Users in several groups through unflagged rows, plus users with a flagged row.
 
-    A user is in several groups exactly when the smallest and the largest label differ, so one
-    combining aggregate answers both questions.
+    Rows are collapsed to (user, label) before labels are counted: labels are keys and every buffer is
+    of fixed width, so both steps are hash aggregates and assignments are never sorted.
     """
     flagged = F.col("is_intentional_contamination")
     regular = F.when(~flagged, F.col("experiment_group"))
-    per_user = assignments.groupBy("user_id").agg(
-        F.max(flagged).alias("flagged"), F.min(regular).alias("lowest"), F.max(regular).alias("highest")
-    )
-    several = F.coalesce(F.col("lowest") < F.col("highest"), F.lit(False))
-    return per_user.where(F.col("flagged") | several).select("user_id")
+    per_label = assignments.groupBy("user_id", regular.alias("__label")).agg(F.max(flagged).alias("__flagged"))
+    per_user = per_label.groupBy("user_id").agg(F.max("__flagged").alias("flagged"), F.count("__label").alias("labels"))
+    return per_user.where(F.col("flagged") | (F.col("labels") > 1)).select("user_id")
 
 
 def clean_assignments(assignments: DataFrame) -> DataFrame:
@@ -1061,12 +1059,10 @@ def latest_assignment_metrics(
     clean: DataFrame, user_metrics: DataFrame, as_of: Column, control: str = "A"
 ) -> DataFrame:
     """Latest clean assignment of each (experiment, user) with derived ratios."""
-    latest = (
-        clean.where(~F.col("is_contaminated"))
-        .groupBy("experiment_id", "user_id")
-        .agg(F.max(F.struct("assigned_at", "assignment_id", "experiment_group")).alias("a"))
-        .select("experiment_id", "user_id", "a.experiment_group", "a.assigned_at")
-    )
+    latest = extreme_rows(
+        clean.where(~F.col("is_contaminated")),
+        ["experiment_id", "user_id"], ["assigned_at", "assignment_id"], ["experiment_group"], largest=True,
+    ).drop("assignment_id")
     metrics = user_metrics.groupBy("user_id", "experiment_group").agg(
         *[
             F.max(c).alias(c)

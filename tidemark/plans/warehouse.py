@@ -134,7 +134,7 @@ class Warehouse:
 
     @cached_property
     def agent_error_classification(self) -> DataFrame:
-        return agents.agent_error_classification(self.runs, self.spans_per_trace)
+        return agents.agent_error_classification(self.runs, agents.failures_per_trace(self.spans))
 
     @cached_property
     def clean_assignments(self) -> DataFrame:
